@@ -91,9 +91,18 @@ def audit(fields: DataFrame, index: DataFrame | None, lookup: DataFrame | None)
     for f in FIELD_ORDER:
         aggs.append(F.max(F.when(F.col("field") == f, F.col("s_key"))).alias(f))
         aggs.append(F.max(F.when(F.col("field") == f, F.col("s_lookup"))).alias(f + "Lookup"))
-    per_user = c.groupBy("id").agg(*aggs)
-    users = fields.select("id")
-    return users.join(per_user, "id", "left").select("id", *STATUS_COLUMNS)
+    per_user = c.groupBy("id").agg(*aggs).alias("s")
+    # Every user keeps a row, and a field the user lacks has no status.
+    # Reading the fields here (not only the id) also keeps this branch equal
+    # to the claims branch below the fold's shuffle, so Spark reuses it.
+    u = fields.select("id", *FIELD_ORDER).alias("u")
+    j = u.join(per_user, F.col("u.id") == F.col("s.id"), "left")
+    out = [F.col("u.id").alias("id")]
+    for f in FIELD_ORDER:
+        present = F.col(f"u.{f}").isNotNull()
+        out.append(F.when(present, F.col(f"s.{f}")).alias(f))
+        out.append(F.when(present, F.col(f"s.{f}Lookup")).alias(f + "Lookup"))
+    return j.select(*out).select("id", *STATUS_COLUMNS)
 
 
 def status_flat(status: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from keyledger.functions import columns as C
 from keyledger.functions.constants import FIELD_ORDER, USERNAME_KEY
 from keyledger.operators import batches, events, generate, ids, index, objects
-from keyledger.session import scratch_path
+from keyledger.session import scratch_path, stage
 from keyledger.sinks import writers
 from keyledger.sources import eventlog, tables
 from keyledger.streaming import live_insert as live
@@ -145,9 +145,14 @@ def q_uniqueness_lookup(spark, sf):
     return index.lookup_rows(_pop(spark, sf))
 
 
+def _staged_pops(spark, sf):
+    """The current fields and the fields at ``OLD_CUT``, each folded once and
+    staged, because the index, lookup, audit and upsert all read them."""
+    return stage(_pop(spark, sf), "fields"), stage(_pop(spark, sf, OLD_CUT), "fields-old")
+
+
 def _status(spark, sf):
-    pop = _pop(spark, sf)
-    old = _pop(spark, sf, OLD_CUT)
+    pop, old = _staged_pops(spark, sf)
     return index.audit(pop, index.index_rows(old), index.lookup_rows(old))
 
 
@@ -159,20 +164,29 @@ def q_index_status_csv(spark, sf):
     return index.status_lines(_status(spark, sf)).withColumnRenamed("value", "line")
 
 
+def _index_upsert(pop, old):
+    existing = writers.upsert(None, index.index_rows(old), ["key"])
+    return writers.upsert(existing, index.index_rows(pop), ["key"])
+
+
+def _lookup_upsert(pop, old):
+    existing = writers.upsert(None, index.lookup_rows(old), ["id", "key"])
+    return writers.upsert(existing, index.lookup_rows(pop), ["id", "key"])
+
+
 def q_index_upsert(spark, sf):
-    old = writers.upsert(None, index.index_rows(_pop(spark, sf, OLD_CUT)), ["key"])
-    return writers.upsert(old, index.index_rows(_pop(spark, sf)), ["key"])
+    return _index_upsert(*_staged_pops(spark, sf))
 
 
 def q_lookup_upsert(spark, sf):
-    old = writers.upsert(None, index.lookup_rows(_pop(spark, sf, OLD_CUT)), ["id", "key"])
-    return writers.upsert(old, index.lookup_rows(_pop(spark, sf)), ["id", "key"])
+    return _lookup_upsert(*_staged_pops(spark, sf))
 
 
 def q_populate_write(spark, sf):
-    a = q_index_upsert(spark, sf).select(F.lit("index").alias("target"), F.lit(None).cast("string").alias("id"),
-                                         "key", "value")
-    b = q_lookup_upsert(spark, sf).select(F.lit("lookup").alias("target"), "id", "key", "value")
+    pop, old = _staged_pops(spark, sf)
+    a = _index_upsert(pop, old).select(F.lit("index").alias("target"), F.lit(None).cast("string").alias("id"),
+                                       "key", "value")
+    b = _lookup_upsert(pop, old).select(F.lit("lookup").alias("target"), "id", "key", "value")
     return a.unionByName(b)
 
 

@@ -27,6 +27,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
         SparkSession.builder.master(master)
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
@@ -67,3 +68,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, never-reused directory under the checkpoint root."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/keyledger/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stage(df, name: str):
+    """Cut lineage: write ``df`` once as parquet under the checkpoint root and
+    return a frame reading it back.  Used for a result that several outputs
+    read (the folded fields feed the index, the audit, the upsert and the
+    report), so the fold over the event log runs once, and a lost executor
+    costs a re-read instead of a re-fold."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -77,9 +77,21 @@ def read_table(spark: SparkSession, ref: TableRef) -> DataFrame:
     return df
 
 
-def read_parquet_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def ensure_parallelism(df: DataFrame) -> DataFrame:
+    """Spread a scan over the cluster when it has fewer input splits than the
+    default parallelism (a small file with one row group scans as one task).
+    A large table already has more splits than cores and is left as is, so
+    no shuffle is added where the scan is parallel by itself."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
+def read_parquet_table(spark: SparkSession, sf_dir: str, name: str, parallel: bool = True) -> DataFrame:
     """One of the given parquet tables under ``sf_dir``."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return ensure_parallelism(df) if parallel else df
 
 
 def read_text_lines(spark: SparkSession, path: str, column: str = "value") -> DataFrame:

@@ -26,7 +26,7 @@ def mock_ids(n: int | DataFrame, spark=None) -> DataFrame:
 
 
 def seed_core_events(users: DataFrame, n_events: int, anchor_ms: int, max_days: int = 100,
-                     seed: int = 17, node: int = 0) -> DataFrame:
+                     seed: int = 17) -> DataFrame:
     """``n_events`` core events per user id, each at ``anchor_ms`` minus a
     random 1..``max_days`` days; the payload `$set` carries only the id, and
     the other envelope fields keep their defaults.  Output ``(id, time,
@@ -39,6 +39,7 @@ def seed_core_events(users: DataFrame, n_events: int, anchor_ms: int, max_days:
         F.col("_ms").alias("time"), F.lit("").alias("source"),
         F.struct(F.col("id").alias("id")).alias("$set"), F.lit(1).alias("version"),
         F.lit(False).alias("snapshot")))
-    # Distinct uuids per event of one instant: the event number goes to the clock bits.
-    time = timeuuid_from_millis(F.col("_ms"), node=F.lit(node), clock_seq=F.col("event_no"))
+    # Distinct uuids for events of one instant: a hash of the id goes to the
+    # node bits and the event number to the clock bits.
+    time = timeuuid_from_millis(F.col("_ms"), node=F.xxhash64(F.col("id")), clock_seq=F.col("event_no"))
     return ev.select("id", time.alias("time"), payload.alias("payload"))

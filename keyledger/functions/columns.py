@@ -68,6 +68,18 @@ def timeuuid_from_micros(us, node=None, clock_seq=None) -> Column:
     return timeuuid_from_ticks(_c(us).cast("bigint") * F.lit(10) + F.lit(UUID_EPOCH_OFFSET), node, clock_seq)
 
 
+def ntz_epoch_micros(ts) -> Column:
+    """Epoch microseconds of a TIMESTAMP_NTZ read as UTC wall time, whatever
+    the session time zone is."""
+    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
+                            _c(ts).cast("timestamp_ntz"))
+
+
+def ntz_epoch_millis(ts) -> Column:
+    """Epoch milliseconds (floor) of a TIMESTAMP_NTZ read as UTC wall time."""
+    return F.floor(ntz_epoch_micros(ts) / F.lit(1000)).cast("bigint")
+
+
 def to_epoch_millis(ts) -> Column:
     """Timestamp -> epoch milliseconds."""
     return F.unix_millis(_c(ts))

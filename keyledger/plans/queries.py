@@ -231,7 +231,7 @@ def q_batch_readback(spark, sf):
 
 def q_timeuuid_roundtrip(spark, sf):
     ev = _events(spark, sf)
-    ms = F.unix_millis(F.col("ts").cast("timestamp"))
+    ms = C.ntz_epoch_millis(F.col("ts"))
     u = C.timeuuid_from_millis(ms, node=F.col("event_id"))
     return ev.select("event_id", ms.alias("time_ms"), u.alias("time_uuid"),
                      C.timeuuid_millis(u).alias("ms_back"))

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyledger.functions.columns import timeuuid_from_micros
+from keyledger.functions.columns import ntz_epoch_micros, ntz_epoch_millis, timeuuid_from_micros
 from keyledger.functions.constants import MOCK_ID, MOCK_OTHER_ID, MOCK_PHONE, MOCK_USERNAME
 from keyledger.sources.tables import read_parquet_table
 
@@ -29,11 +29,6 @@ CORE_TYPES = ("signup", "purchase", "error")
 CONTACT_TYPES = ("view", "click")
 
 
-def _utc_ts(ts: Column) -> Column:
-    # events.ts is timestamp_ntz; read it as UTC wall time.
-    return ts.cast("timestamp")
-
-
 def _envelope(id_col: Column, ms: Column, set_struct: Column, rem: Column) -> Column:
     return F.to_json(F.struct(
         rem.alias("$rem"),
@@ -51,13 +46,14 @@ def _base(events: DataFrame, types, before: str | None) -> DataFrame:
     df = events.where(F.col("event_type").isin(*types))
     if before is not None:
         df = df.where(F.col("ts") < F.lit(before).cast("timestamp_ntz"))
-    ts = _utc_ts(F.col("ts"))
+    # events.ts is TIMESTAMP_NTZ: read as UTC wall time, independent of the
+    # session time zone.
     return df.select(
         F.concat(F.lit(MOCK_ID), F.col("user_id").cast("string")).alias("id"),
         F.col("event_id"),
         F.col("event_type"),
-        F.unix_millis(ts).alias("_ms"),
-        timeuuid_from_micros(F.unix_micros(ts), node=F.col("event_id")).alias("time"),
+        ntz_epoch_millis(F.col("ts")).alias("_ms"),
+        timeuuid_from_micros(ntz_epoch_micros(F.col("ts")), node=F.col("event_id")).alias("time"),
     )
 
 

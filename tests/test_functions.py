@@ -86,3 +86,14 @@ def test_chunks_n17(spark):
     assert sorted(r["count"] for r in incl.groupBy("c").count().collect()) == [33, 33, 35]
     few = spark.range(2).select(C.chunk_of(F.col("id"), 2, 5).alias("c")).collect()
     assert sorted(r.c for r in few) == [0, 1]
+
+
+def test_ntz_epoch_is_session_tz_independent(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        r = one(spark, C.ntz_epoch_millis(F.lit("2024-01-01 00:00:07.179575").cast("timestamp_ntz")).alias("m"),
+                C.ntz_epoch_micros(F.lit("1969-12-31 23:59:59.999999").cast("timestamp_ntz")).alias("u"))
+        assert r.m == 1704067207179 and r.u == -1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

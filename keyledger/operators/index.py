@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from keyledger.functions.columns import (
     conflict_text, csv_line, field_of_key, key_for, prefix_of_field, value_from,
 )
-from keyledger.functions.constants import FIELD_ORDER, MISSING, PASS, QUERY_EXCEPTION
+from keyledger.functions.constants import FIELDS, FIELD_ORDER, MISSING, PASS, QUERY_EXCEPTION
 from keyledger.schemas import STATUS_COLUMNS
 
 
@@ -64,10 +64,17 @@ def audit(fields: DataFrame, index: DataFrame | None, lookup: DataFrame | None)
     its statuses ``Query Exception`` (K15).
 
     Output: ``id`` and six nullable ``struct<pass, reason>`` columns; a field
-    the user lacks has no status (null), and users without fields keep a row.
+    the user lacks has no status (null, K16), and users without fields keep a
+    row.
+
+    Plan: the key index is checked per claim (a join on the full key, the only
+    value-keyed lookup), and the statuses go back to one row per user.  The
+    lookup index is read wide, one row per owner with the held value of each
+    prefix, so its check is a join on ``id``; both sides of the final join
+    are then partitioned by ``id`` and it needs no shuffle of its own.
     """
-    c = claims(fields).withColumn("prefix", prefix_of_field(F.col("field")))
-    c = c.withColumn("full_key", key_for(F.col("prefix"), F.col("value")))
+    f = fields.select("id", *FIELD_ORDER)
+    c = claims(f).withColumn("full_key", key_for(prefix_of_field(F.col("field")), F.col("value")))
     if index is not None:
         idx = dedup_index(index).select(F.col("key").alias("full_key"), F.col("value").alias("owner"))
         c = c.join(idx, "full_key", "left")
@@ -75,34 +82,30 @@ def audit(fields: DataFrame, index: DataFrame | None, lookup: DataFrame | None)
     else:
         c = c.withColumn("owner", F.lit(None).cast("string"))
         idx_ok = F.lit(False)
+    c = c.select("id", "field",
+                 _status(idx_ok, F.col("owner") == F.col("id"), F.col("owner"), F.col("id")).alias("s"))
+    key_status = c.groupBy("id").agg(
+        *[F.max(F.when(F.col("field") == name, F.col("s"))).alias(f"k_{name}") for name in FIELD_ORDER])
+
     if lookup is not None:
-        lk = dedup_lookup(lookup).select(F.col("id"), F.col("key").alias("prefix"),
-                                         F.col("value").alias("held"))
-        c = c.join(lk, ["id", "prefix"], "left")
+        # One row per owner: the value held under each prefix (greatest, as
+        # the primary-key dedup of the lookup table).
+        held = lookup.groupBy("id").agg(
+            *[F.max(F.when(F.col("key") == FIELDS[name][2], F.col("value"))).alias(f"h_{name}")
+              for name in FIELD_ORDER])
+        w = f.join(held, "id", "left")
         lk_ok = F.lit(True)
     else:
-        c = c.withColumn("held", F.lit(None).cast("string"))
+        w = f.select("*", *[F.lit(None).cast("string").alias(f"h_{name}") for name in FIELD_ORDER])
         lk_ok = F.lit(False)
-    c = c.select(
-        "id", "field",
-        _status(idx_ok, F.col("owner") == F.col("id"), F.col("owner"), F.col("id")).alias("s_key"),
-        _status(lk_ok, F.col("held") == F.col("value"), F.col("held"), F.col("value")).alias("s_lookup"))
-    aggs = []
-    for f in FIELD_ORDER:
-        aggs.append(F.max(F.when(F.col("field") == f, F.col("s_key"))).alias(f))
-        aggs.append(F.max(F.when(F.col("field") == f, F.col("s_lookup"))).alias(f + "Lookup"))
-    per_user = c.groupBy("id").agg(*aggs).alias("s")
-    # Every user keeps a row, and a field the user lacks has no status.
-    # Reading the fields here (not only the id) also keeps this branch equal
-    # to the claims branch below the fold's shuffle, so Spark reuses it.
-    u = fields.select("id", *FIELD_ORDER).alias("u")
-    j = u.join(per_user, F.col("u.id") == F.col("s.id"), "left")
-    out = [F.col("u.id").alias("id")]
-    for f in FIELD_ORDER:
-        present = F.col(f"u.{f}").isNotNull()
-        out.append(F.when(present, F.col(f"s.{f}")).alias(f))
-        out.append(F.when(present, F.col(f"s.{f}Lookup")).alias(f + "Lookup"))
-    return j.select(*out).select("id", *STATUS_COLUMNS)
+    j = w.join(key_status, "id", "left")
+    out = [F.col("id")]
+    for name in FIELD_ORDER:
+        v, h = F.col(name), F.col(f"h_{name}")
+        present = v.isNotNull()
+        out.append(F.when(present, F.col(f"k_{name}")).alias(name))
+        out.append(F.when(present, _status(lk_ok, h == v, h, v)).alias(name + "Lookup"))
+    return j.select(*out)
 
 
 def status_flat(status: DataFrame) -> DataFrame:

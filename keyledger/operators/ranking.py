@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # A per-(partition, key) offset table smaller than this many rows is broadcast.
-BROADCAST_OFFSET_ROWS = 2_000_000
+BROADCAST_OFFSET_ROWS = 200_000
 
 
 def rank_within(df: DataFrame, keys: list[str], order: list[Column | str], *, seq_col: str = "seq",

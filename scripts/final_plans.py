@@ -19,7 +19,8 @@ from keyledger.session import build_session  # noqa: E402
 def main():
     args = sys.argv[1:]
     sf = args.pop(0) if args and args[0].startswith("/") else "/root/testdata/sf0.01"
-    spark = build_session()
+    extra = {"spark.sql.autoBroadcastJoinThreshold": "-1"} if os.environ.get("NO_BROADCAST") == "1" else None
+    spark = build_session(extra=extra)
     verbose = os.environ.get("VERBOSE") == "1"
     for name in args or list(QUERIES):
         df = QUERIES[name](spark, sf)

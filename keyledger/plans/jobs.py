@@ -79,12 +79,15 @@ def generate_index(spark: SparkSession, core: DataFrame, contact: DataFrame | No
 
 
 def _try_read(spark: SparkSession, table_dir: str, schema) -> DataFrame | None:
+    """The newest committed version of an index table, or None when it cannot
+    be read (absent, no committed version, unreadable files): its fields are
+    then reported as ``Query Exception`` (K15)."""
     try:
         df = writers.read_latest(spark, table_dir, schema)
         if df is not None:
             df.schema  # noqa: B018 - resolve now, so an unreadable table is caught here
-        return df if df is not None else spark.createDataFrame([], schema)
-    except Exception:  # noqa: BLE001 - any read failure is reported per field (K15)
+        return df
+    except Exception:  # noqa: BLE001 - any read failure is reported per field
         return None
 
 

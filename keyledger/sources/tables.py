@@ -77,15 +77,22 @@ def read_table(spark: SparkSession, ref: TableRef) -> DataFrame:
     return df
 
 
-def ensure_parallelism(df: DataFrame) -> DataFrame:
-    """Spread a scan over the cluster when it has fewer input splits than the
-    default parallelism (a small file with one row group scans as one task).
-    A large table already has more splits than cores and is left as is, so
-    no shuffle is added where the scan is parallel by itself."""
+# A scan at most this large may be spread by a round-robin shuffle; anything
+# larger keeps its own splits, since moving it would cost more than it saves.
+SMALL_SCAN_BYTES = 1 << 30
+
+
+def ensure_parallelism(df: DataFrame, max_bytes: int = SMALL_SCAN_BYTES) -> DataFrame:
+    """Spread a small scan over the cluster when it has fewer input splits
+    than the default parallelism (a small file with one row group scans as
+    one task, and the JSON work after it would run on one core).  Only scans
+    whose estimated size is at most ``max_bytes`` are moved; a large table
+    keeps its splits and no shuffle is added."""
     target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(target) if size <= max_bytes else df
 
 
 def read_parquet_table(spark: SparkSession, sf_dir: str, name: str, parallel: bool = True) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from keyledger.functions import columns as C
 from keyledger.functions.constants import FIELD_ORDER, USERNAME_KEY
 from keyledger.operators import batches, events, generate, ids, index, objects
-from keyledger.session import scratch_path, stage
+from keyledger.session import scratch_path, stage_all
 from keyledger.sinks import writers
 from keyledger.sources import eventlog, tables
 from keyledger.streaming import live_insert as live
@@ -147,8 +147,9 @@ def q_uniqueness_lookup(spark, sf):
 
 def _staged_pops(spark, sf):
     """The current fields and the fields at ``OLD_CUT``, each folded once and
-    staged, because the index, lookup, audit and upsert all read them."""
-    return stage(_pop(spark, sf), "fields"), stage(_pop(spark, sf, OLD_CUT), "fields-old")
+    staged (written side by side), for plans that read each of them twice."""
+    s = stage_all({"fields": _pop(spark, sf), "fields-old": _pop(spark, sf, OLD_CUT)})
+    return s["fields"], s["fields-old"]
 
 
 def _status(spark, sf):
@@ -175,11 +176,12 @@ def _lookup_upsert(pop, old):
 
 
 def q_index_upsert(spark, sf):
-    return _index_upsert(*_staged_pops(spark, sf))
+    # Each snapshot is read once here: no staging needed.
+    return _index_upsert(_pop(spark, sf), _pop(spark, sf, OLD_CUT))
 
 
 def q_lookup_upsert(spark, sf):
-    return _lookup_upsert(*_staged_pops(spark, sf))
+    return _lookup_upsert(_pop(spark, sf), _pop(spark, sf, OLD_CUT))
 
 
 def q_populate_write(spark, sf):

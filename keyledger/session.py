@@ -79,3 +79,14 @@ def stage(df, name: str):
     path = scratch_path(df.sparkSession, name)
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def stage_all(named: dict) -> dict:
+    """``stage`` several frames at once, as concurrent jobs of one session, so
+    independent inputs are written side by side instead of one after the
+    other."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=max(1, len(named))) as pool:
+        futures = {k: pool.submit(stage, df, k) for k, df in named.items()}
+        return {k: f.result() for k, f in futures.items()}

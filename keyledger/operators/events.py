@@ -159,11 +159,21 @@ def _apply(users: DataFrame, folded: DataFrame) -> DataFrame:
 
 
 def populate(users: DataFrame, core_raw: DataFrame | None, contact_raw: DataFrame | None,
-             on_bad: str = "fail") -> DataFrame:
+             on_bad: str = "fail", only_needed: bool = False) -> DataFrame:
     """Fill each user's missing fields from the event logs.
 
     ``users``: ``id, otherId, username, verifiedPhone`` (fields nullable).
-    Every user row is kept, once per input row (C10, D2)."""
+    Every user row is kept, once per input row (C10, D2).
+
+    ``only_needed`` (C7): first keep only the events of users that still miss
+    a field of that family (a left-semi join).  Worth it when few users need
+    events: AQE then broadcasts the small id set and the fold reads far less.
+    """
+    if only_needed:
+        need_core = users.where(F.col("otherId").isNull() | F.col("username").isNull()).select("id")
+        need_contact = users.where(F.col("verifiedPhone").isNull()).select("id")
+        core_raw = None if core_raw is None else core_raw.join(need_core, "id", "left_semi")
+        contact_raw = None if contact_raw is None else contact_raw.join(need_contact, "id", "left_semi")
     return _apply(users, fold_events(core_raw, contact_raw, on_bad))
 
 

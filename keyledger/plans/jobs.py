@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from keyledger import schemas
 from keyledger.operators import batches, events, generate, ids, index, objects
-from keyledger.session import stage
+from keyledger.session import drop_staged, stage
 from keyledger.sinks import writers
 from keyledger.sources import tables
 from keyledger.streaming import live_insert as live
@@ -74,8 +74,11 @@ def generate_index(spark: SparkSession, core: DataFrame, contact: DataFrame | No
     """Fold the logs into current fields, build both index tables and
     upsert them as new versions."""
     f = _fields(core, contact, on_bad)
-    return {"index": writers.upsert_table(spark, index_dir, index.index_rows(f), ["key"]),
-            "lookup": writers.upsert_table(spark, lookup_dir, index.lookup_rows(f), ["id", "key"])}
+    try:
+        return {"index": writers.upsert_table(spark, index_dir, index.index_rows(f), ["key"]),
+                "lookup": writers.upsert_table(spark, lookup_dir, index.lookup_rows(f), ["id", "key"])}
+    finally:
+        drop_staged(f)
 
 
 def _try_read(spark: SparkSession, table_dir: str, schema) -> DataFrame | None:
@@ -100,10 +103,12 @@ def generate_and_audit(spark: SparkSession, core: DataFrame, contact: DataFrame
     old_i = _try_read(spark, old_index_dir, schemas.UNIQUENESS_INDEX)
     old_l = _try_read(spark, old_lookup_dir, schemas.UNIQUENESS_LOOKUP)
     status = index.audit(f, old_i, old_l)
-    out = {"index": writers.upsert_table(spark, new_index_dir, index.index_rows(f), ["key"]),
-           "lookup": writers.upsert_table(spark, new_lookup_dir, index.lookup_rows(f), ["id", "key"]),
-           "report": writers.write_text(index.status_lines(status), report_path)}
-    return out
+    try:
+        return {"index": writers.upsert_table(spark, new_index_dir, index.index_rows(f), ["key"]),
+                "lookup": writers.upsert_table(spark, new_lookup_dir, index.lookup_rows(f), ["id", "key"]),
+                "report": writers.write_text(index.status_lines(status), report_path)}
+    finally:
+        drop_staged(f)
 
 
 def populate_and_write(spark: SparkSession, core: DataFrame, contact: DataFrame | None, index_dir: str,

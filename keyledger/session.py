@@ -90,3 +90,16 @@ def stage_all(named: dict) -> dict:
     with ThreadPoolExecutor(max_workers=max(1, len(named))) as pool:
         futures = {k: pool.submit(stage, df, k) for k, df in named.items()}
         return {k: f.result() for k, f in futures.items()}
+
+
+def drop_staged(df) -> None:
+    """Delete the files behind a frame returned by ``stage`` once every output
+    that reads it has been written."""
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    for path in df.inputFiles()[:1]:
+        parent = jvm.org.apache.hadoop.fs.Path(path).getParent()
+        root = checkpoint_root(spark).rstrip("/")
+        if "/keyledger/" in parent.toString() and root.split(":")[-1] in parent.toString():
+            parent.getFileSystem(conf).delete(parent, True)

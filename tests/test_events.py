@@ -177,3 +177,15 @@ def test_ordered_events_sequence(spark):
         v.sort()
         assert [s for s, _ in v] == list(range(1, len(v) + 1))
         assert [t for _, t in v] == sorted(t for _, t in v)
+
+
+def test_only_needed_prefilter_gives_same_result(spark):
+    core = [raw("a", NOW, {"otherId": "o1", "username": "n1"}), raw("b", NOW, {"otherId": "o2"}),
+            raw("c", NOW, {"username": "n3"})]
+    contact = [raw("a", NOW, {"phone": "p1"}), raw("b", NOW, {}, ["phone"])]
+    u = users(spark, [("a", "x", "y", None), ("b", None, "nb", "pb"), ("c", None, None, None)])
+    plain = as_dict(E.populate(u, df(spark, core), df(spark, contact)))
+    pre = E.populate(u, df(spark, core), df(spark, contact), only_needed=True)
+    assert as_dict(pre) == plain
+    assert plain == {"a": ("x", "y", "p1"), "b": ("o2", "nb", "pb"), "c": (None, "n3", None)}
+    assert "LeftSemi" in pre._jdf.queryExecution().optimizedPlan().toString()

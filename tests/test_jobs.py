@@ -64,3 +64,16 @@ def test_j9(spark):
     users = spark.createDataFrame([("1", "Ann", "A"), ("2", "Bob", "B")], schemas.USER)
     r = J.connector_roundtrip(spark, kv, users, scratch_path(spark, "j9"), "Ann")
     assert r == {"kv_count": 2, "kv_sum": 7, "users": 2, "matching_first_name": 1}
+
+
+def test_staged_fields_are_removed(spark):
+    from keyledger.session import checkpoint_root
+    core, contact = eventlog.event_logs(spark, SF)
+    base = scratch_path(spark, "j5")
+    J.generate_index(spark, core, contact, base + "/index", base + "/lookup")
+    root = checkpoint_root(spark).replace("file:", "")
+    staged = [d for d in os.listdir(os.path.join(root, "keyledger")) if d.startswith("fields-")]
+    before = set(staged)
+    J.generate_index(spark, core, contact, base + "/index", base + "/lookup")
+    after = {d for d in os.listdir(os.path.join(root, "keyledger")) if d.startswith("fields-")}
+    assert after <= before  # the second run left no staged table behind

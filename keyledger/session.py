@@ -7,7 +7,6 @@ setting is absent (local tests, the bench) do we create one under /tmp.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -46,20 +45,25 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and intermediate tables.
 
-    Read from ``spark.checkpoint.dir``; set a fresh local one only when the
-    session has none (tests, local runs).
+    Read from ``spark.checkpoint.dir`` (or a checkpoint directory already set
+    on the context).  Only a local-mode session (tests, single-node runs) may
+    fall back to a fresh folder under /tmp; on a cluster executors could not
+    share such a folder, so the setting is required there.
     """
-    conf = spark.sparkContext.getConf()
-    configured = conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    current = spark.sparkContext.getCheckpointDir()
+    current = sc.getCheckpointDir()
     if current:
-        return os.path.dirname(current.replace("file:", "")) if current.startswith("file:") else current
-    key = id(spark.sparkContext)
+        # setCheckpointDir(d) makes d/<uuid>; intermediate tables go next to it.
+        return current.rstrip("/").rsplit("/", 1)[0]
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage (e.g. HDFS or an object store)")
+    key = id(sc)
     if key not in _LOCAL_SCRATCH:
         d = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        spark.sparkContext.setCheckpointDir(d)
+        sc.setCheckpointDir(d)
         _LOCAL_SCRATCH[key] = d
     return _LOCAL_SCRATCH[key]
 

@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyledger.functions import columns as C
-from keyledger.functions.constants import FIELD_ORDER, USERNAME_KEY
 from keyledger.operators import batches, events, generate, ids, index, objects
 from keyledger.session import scratch_path, stage_all
 from keyledger.sinks import writers

@@ -1,6 +1,5 @@
 import os
 
-from pyspark.sql import functions as F
 
 from keyledger import schemas
 from keyledger.plans import jobs as J

@@ -1,7 +1,7 @@
 import os
 
 from keyledger import schemas
-from keyledger.functions.constants import OTHER_ID_KEY, USERNAME_KEY
+from keyledger.functions.constants import OTHER_ID_KEY
 from keyledger.session import scratch_path
 from keyledger.sinks import writers as W
 

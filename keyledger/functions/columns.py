@@ -70,9 +70,12 @@ def timeuuid_from_micros(us, node=None, clock_seq=None) -> Column:
 
 def ntz_epoch_micros(ts) -> Column:
     """Epoch microseconds of a TIMESTAMP_NTZ read as UTC wall time, whatever
-    the session time zone is."""
-    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
-                            _c(ts).cast("timestamp_ntz"))
+    the session time zone is (also across daylight-saving changes): the wall
+    fields are rebuilt as an instant in UTC."""
+    t = _c(ts).cast("timestamp_ntz")
+    instant = F.make_timestamp(F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), F.minute(t),
+                               F.date_part(F.lit("SECOND"), t), F.lit("UTC"))
+    return F.unix_micros(instant)
 
 
 def ntz_epoch_millis(ts) -> Column:

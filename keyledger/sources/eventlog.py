@@ -30,7 +30,9 @@ CONTACT_TYPES = ("view", "click")
 
 
 def _envelope(id_col: Column, ms: Column, set_struct: Column, rem: Column) -> Column:
-    return F.to_json(F.struct(
+    # The text of a struct is never null; saying so (coalesce) lets Catalyst
+    # drop later `payload is not null` filters instead of serializing twice.
+    return F.coalesce(F.to_json(F.struct(
         rem.alias("$rem"),
         F.lit("").alias("model"),
         id_col.alias("id"),
@@ -39,7 +41,7 @@ def _envelope(id_col: Column, ms: Column, set_struct: Column, rem: Column) -> Co
         set_struct.alias("$set"),
         F.lit(1).alias("version"),
         F.lit(False).alias("snapshot"),
-    ))
+    )), F.lit(""))
 
 
 def _base(events: DataFrame, types, before: str | None) -> DataFrame:

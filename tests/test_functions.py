@@ -93,7 +93,11 @@ def test_ntz_epoch_is_session_tz_independent(spark):
     try:
         spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
         r = one(spark, C.ntz_epoch_millis(F.lit("2024-01-01 00:00:07.179575").cast("timestamp_ntz")).alias("m"),
-                C.ntz_epoch_micros(F.lit("1969-12-31 23:59:59.999999").cast("timestamp_ntz")).alias("u"))
+                C.ntz_epoch_micros(F.lit("1969-12-31 23:59:59.999999").cast("timestamp_ntz")).alias("u"),
+                C.ntz_epoch_micros(F.lit("2024-07-01 12:00:00.000001").cast("timestamp_ntz")).alias("summer"),
+                C.ntz_epoch_micros(F.lit("2024-03-10 02:30:00").cast("timestamp_ntz")).alias("gap"))
         assert r.m == 1704067207179 and r.u == -1
+        assert r.summer == 1719835200000001      # 2024-07-01T12:00:00.000001Z
+        assert r.gap == 1710037800000000         # a wall time that does not exist in Los Angeles
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)

@@ -1,6 +1,5 @@
 import os
 
-
 from keyledger import schemas
 from keyledger.plans import jobs as J
 from keyledger.session import scratch_path

@@ -28,11 +28,13 @@ def main():
         plan = df._jdf.queryExecution().executedPlan().toString()
         if "== Final Plan ==" in plan:
             plan = plan.split("== Final Plan ==")[1].split("== Initial Plan ==")[0]
-        shuffles = len(re.findall(r"\bExchange (hash|range|Round|Single)", plan))
+        shuffles = len(re.findall(r"\bExchange (hash|range|Single)", plan))
+        spreads = len(re.findall(r"\bExchange RoundRobin", plan))
         reused = plan.count("ReusedExchange")
         bcast = plan.count("BroadcastExchange")
         python = len(re.findall(r"ArrowEvalPython|BatchEvalPython|FlatMapGroupsInPandas|MapInPandas", plan))
-        print(f"{name}: shuffles={shuffles} reused={reused} broadcasts={bcast} python_nodes={python}")
+        print(f"{name}: shuffles={shuffles} small_scan_spreads={spreads} reused={reused} broadcasts={bcast} "
+              f"python_nodes={python}")
         if verbose:
             print(plan)
 

@@ -50,3 +50,10 @@ def test_seed_generator(spark):
     assert r.d == r.n  # every event has its own time uuid
     again = G.seed_core_events(users, n, 1_706_745_600_000, seed=3)
     assert sorted(ev.collect()) == sorted(again.collect())
+
+
+def test_approx_distinct_option(spark):
+    ev = spark.range(5000).select((F.col("id") % 1000).cast("string").alias("id"))
+    exact = I.extraction_counts(ev).collect()[0]
+    approx = I.extraction_counts(ev, approx=True).collect()[0]
+    assert exact.n_ids == 1000 and abs(approx.n_ids - 1000) <= 50

@@ -70,3 +70,32 @@ def test_text_table_and_create(spark):
     u = spark.read.parquet(base + "/user")
     assert u.count() == 2 and u.where("firstName = 'Ann'").count() == 1    # T13
     assert os.path.isdir(base.replace("file:", ""))
+
+
+def test_upsert_matches_a_dict_model(spark):
+    import random
+    rnd = random.Random(5)
+    for insert_only in (False, True):
+        existing = {f"k{i}": f"old{i}" for i in range(0, 40, 2)}
+        incoming = [(f"k{rnd.randrange(60)}", rnd.choice([None, f"v{rnd.randrange(5)}"])) for _ in range(80)]
+        model = dict(existing)
+        per_key = {}
+        for k, v in incoming:
+            per_key.setdefault(k, []).append(v)
+        for k, vs in per_key.items():
+            nn = [v for v in vs if v is not None]
+            best = max(nn) if nn else None
+            if insert_only and k in existing:
+                continue
+            model[k] = best
+        ex = spark.createDataFrame(sorted(existing.items()), schemas.UNIQUENESS_INDEX)
+        inc = spark.createDataFrame(incoming, schemas.UNIQUENESS_INDEX)
+        got = {r.key: r.value for r in W.upsert(ex, inc, ["key"], insert_only=insert_only).collect()}
+        assert got == model, insert_only
+
+
+def test_upsert_multi_column_key(spark):
+    ex = spark.createDataFrame([("a", "k1", "x"), ("a", "k2", "y")], schemas.UNIQUENESS_LOOKUP)
+    inc = spark.createDataFrame([("a", "k1", "z"), ("b", "k1", "w")], schemas.UNIQUENESS_LOOKUP)
+    got = {(r.id, r.key): r.value for r in W.upsert(ex, inc, ["id", "key"]).collect()}
+    assert got == {("a", "k1"): "z", ("a", "k2"): "y", ("b", "k1"): "w"}

@@ -40,9 +40,9 @@ def extraction_counts(events: DataFrame, id_col: str = "id", sum_col: str | None
     return out.withColumn("n_repeated", F.col("n_rows") - F.col("n_ids"))
 
 
-def extraction_diff(first: DataFrame, second: DataFrame, id_col: str = "id") -> DataFrame:
-    """Ids of the first extraction that the second lacks (an anti
-    join; an outer join plus a null test would not be rewritten to one)."""
-    a = first.select(F.col(id_col).alias("id"))
-    b = second.select(F.col(id_col).alias("id"))
-    return a.join(b, "id", "left_anti")
+def extraction_diff(first: DataFrame, second: DataFrame, on: list[str] | str = "id") -> DataFrame:
+    """Rows (distinct on ``on``) of the first extraction that the
+    second lacks.  An anti join: an outer join plus a null test would not be
+    rewritten to one."""
+    cols = [on] if isinstance(on, str) else list(on)
+    return first.select(*cols).join(second.select(*cols), cols, "left_anti").distinct()

@@ -4,7 +4,7 @@ given tables.  Column names equal those of the Spark queries."""
 from __future__ import annotations
 
 from keyledger.functions.constants import FIELDS, FIELD_ORDER, UUID_EPOCH_OFFSET
-from keyledger.plans.queries import BATCH_BUCKETS, DAY2, DAY3, MOCK_OLD, OLD_CUT
+from keyledger.plans.queries import BATCH_BUCKETS, MOCK_OLD, OLD_CUT
 
 CORE = "('signup','purchase','error')"
 
@@ -153,10 +153,9 @@ ORACLE_SQL: dict[str, str] = {
     "extraction_counts": _core("count(*) AS n_rows, count(DISTINCT user_id) AS n_ids, "
                                "CAST(sum((epoch_us(ts) // 1000)) AS BIGINT) AS sum_value, "
                                "count(*) - count(DISTINCT user_id) AS n_repeated"),
-    "extraction_diff": f"""SELECT DISTINCT 'mock:id:'||user_id AS id FROM events a
-  WHERE event_type IN {CORE} AND ts < TIMESTAMP '{DAY2}'
-  AND NOT EXISTS (SELECT 1 FROM events b WHERE b.user_id = a.user_id AND b.event_type IN {CORE}
-                  AND b.ts >= TIMESTAMP '{DAY2}' AND b.ts < TIMESTAMP '{DAY3}')""",
+    "extraction_diff": f"""WITH a AS (SELECT DISTINCT 'mock:id:'||user_id AS id, (epoch_us(ts) // 1000) // 86400000 AS day
+  FROM events WHERE event_type IN {CORE})
+SELECT id, day FROM a WHERE NOT EXISTS (SELECT 1 FROM a b WHERE b.id = a.id AND b.day = a.day + 1)""",
     "typed_filter": "SELECT c_custkey, c_name FROM customer WHERE c_mktsegment = 'HOUSEHOLD'",
     "relevant_core_events": _core(
         "'mock:id:'||user_id AS id, (epoch_us(ts) // 1000) AS time_ms, "

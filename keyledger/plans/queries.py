@@ -3,8 +3,8 @@ over the given tables (or data Spark derives from them), with flat columns
 named as in ``oracle.ORACLE_SQL``.
 
 The old index of the audit queries is the same pipeline run on the event log
-cut at ``OLD_CUT``; the two extractions of ``extraction_diff`` are the users
-active on the first and on the second day of the log.
+cut at ``OLD_CUT`` (the log as it stood then); ``extraction_diff`` compares,
+for every day, the users active that day with those active the next day.
 """
 
 from __future__ import annotations
@@ -23,7 +23,6 @@ from keyledger.sources import eventlog, tables
 from keyledger.streaming import live_insert as live
 
 OLD_CUT = "2024-01-29"
-DAY1, DAY2, DAY3 = "2024-01-01", "2024-01-02", "2024-01-03"
 BATCH_BUCKETS = 2
 MOCK_OLD = "mock:old:value"
 SEED_EVENTS = generate.events_per_user(42)
@@ -69,11 +68,13 @@ def q_extraction_counts(spark, sf):
 
 
 def q_extraction_diff(spark, sf):
-    ev = _events(spark, sf)
-    first = ids.distinct_ids(eventlog.core_event_log(ev.where(F.col("ts") < F.lit(DAY2).cast("timestamp_ntz"))))
-    second = ids.distinct_ids(eventlog.core_event_log(
-        ev.where((F.col("ts") >= F.lit(DAY2).cast("timestamp_ntz")) & (F.col("ts") < F.lit(DAY3).cast("timestamp_ntz")))))
-    return ids.extraction_diff(first, second)
+    # For every day of the log: users active that day (first extraction) and
+    # not the next day (second extraction, the same log shifted back a day).
+    core, _ = _logs(spark, sf)
+    day = F.floor(C.timeuuid_millis(F.col("time")) / F.lit(86_400_000)).cast("bigint")
+    active = core.select("id", day.alias("day"))
+    next_day = active.select("id", (F.col("day") - 1).alias("day"))
+    return ids.extraction_diff(active, next_day, ["id", "day"])
 
 
 def q_typed_filter(spark, sf):

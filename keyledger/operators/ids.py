@@ -45,4 +45,6 @@ def extraction_diff(first: DataFrame, second: DataFrame, on: list[str] | str = "
     second lacks.  An anti join: an outer join plus a null test would not be
     rewritten to one."""
     cols = [on] if isinstance(on, str) else list(on)
-    return first.select(*cols).join(second.select(*cols), cols, "left_anti").distinct()
+    # Both sides are made distinct first (combined map-side); the anti join
+    # then finds both already partitioned on its keys.
+    return first.select(*cols).distinct().join(second.select(*cols).distinct(), cols, "left_anti")

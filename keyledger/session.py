@@ -19,8 +19,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
                   extra: dict | None = None) -> SparkSession:
     """A session configured the way every job in this package expects.
 
-    UTC session time zone (epoch-millisecond semantics), AQE with partition
-    coalescing and skew-join splitting, no UI server.
+    UTC session time zone, AQE with partition coalescing and skew-join
+    splitting, no constraint propagation (see below), no UI server.
     """
     builder = (
         SparkSession.builder.master(master)
@@ -32,6 +32,12 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Inferred not-null filters on join keys copy the derived expressions
+        # behind those keys (time-uuid text and its parse, JSON) into the scan,
+        # so they run twice per row, and they make otherwise equal branches
+        # differ so Spark cannot reuse their shuffle.  The ids here are never
+        # null, so the inferred filters buy nothing.
+        .config("spark.sql.constraintPropagation.enabled", "false")
         .config("spark.driver.memory", "16g")
     )
     for k, v in (extra or {}).items():

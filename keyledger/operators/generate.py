@@ -19,9 +19,14 @@ def events_per_user(seed: int, low: int = 5, span: int = 10) -> int:
     return low + random.Random(seed).randrange(span)
 
 
-def mock_ids(n: int | DataFrame, spark=None) -> DataFrame:
-    """``mock:id:i`` for i in [0, n) (or for the ``i`` column of a frame)."""
-    base = spark.range(n) if not isinstance(n, DataFrame) else n.select(F.col("i").alias("id"))
+def mock_ids(n: int | DataFrame, spark=None, inclusive_end: bool = False) -> DataFrame:
+    """``mock:id:i`` for i in [0, n) (or for the ``i`` column of a frame).
+    ``inclusive_end`` also makes ``mock:id:n``, as a range split whose last
+    chunk ends at ``to n`` does (K19)."""
+    if isinstance(n, DataFrame):
+        base = n.select(F.col("i").alias("id"))
+    else:
+        base = spark.range(n + 1 if inclusive_end else n)
     return base.select(F.concat(F.lit(MOCK_ID), F.col("id").cast("string")).alias("id"))
 
 

@@ -189,3 +189,23 @@ def test_only_needed_prefilter_gives_same_result(spark):
     assert as_dict(pre) == plain
     assert plain == {"a": ("x", "y", "p1"), "b": ("o2", "nb", "pb"), "c": (None, "n3", None)}
     assert "LeftSemi" in pre._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_hot_user_fold_across_partitions(spark):
+    # One user holds most of the log; its events arrive shuffled over many
+    # partitions, so the fold must combine partial results correctly.
+    rnd = random.Random(21)
+    evs, rows = [], []
+    for k in range(3000):
+        ms = NOW + rnd.randint(0, 100000)
+        set_ = {"otherId": f"o{k}"} if rnd.random() < 0.5 else {}
+        rem = ["otherId"] if rnd.random() < 0.3 else []
+        evs.append((ms, k, set_, rem))
+        rows.append(("hot", timeuuid(ms, node=k), payload("hot", ms, set_, rem)))
+    rows += [raw(f"cold{i}", NOW, {"username": f"u{i}"}) for i in range(50)]
+    rnd.shuffle(rows)
+    frame = spark.createDataFrame(rows, schemas.RAW_EVENT).repartition(16)
+    got = as_dict(E.populate_from_logs(frame, None))
+    want = _sequential_fold(evs, {"otherId": None, "username": None})
+    assert got["hot"][0] == want["otherId"] and got["hot"][1] is None
+    assert got["cold7"] == (None, "u7", None) and len(got) == 51

@@ -57,3 +57,8 @@ def test_approx_distinct_option(spark):
     exact = I.extraction_counts(ev).collect()[0]
     approx = I.extraction_counts(ev, approx=True).collect()[0]
     assert exact.n_ids == 1000 and abs(approx.n_ids - 1000) <= 50
+
+
+def test_mock_ids_inclusive_end_k19(spark):
+    assert G.mock_ids(10, spark).count() == 10
+    assert G.mock_ids(10, spark, inclusive_end=True).count() == 11

@@ -101,3 +101,21 @@ def test_ntz_epoch_is_session_tz_independent(spark):
         assert r.gap == 1710037800000000         # a wall time that does not exist in Los Angeles
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_timeuuid_agrees_with_python_uuid(spark):
+    import random
+    import uuid
+    rnd = random.Random(9)
+    cases = [(rnd.randrange(0, 4_000_000_000_000), rnd.randrange(0, 1 << 48), rnd.randrange(0, 1 << 14))
+             for _ in range(200)]
+    df = spark.createDataFrame(cases, "ms long, node long, clock long")
+    out = df.select("ms", "node", "clock",
+                    C.timeuuid_from_millis(F.col("ms"), node=F.col("node"), clock_seq=F.col("clock")).alias("u"))
+    out = out.select("*", C.timeuuid_millis(F.col("u")).alias("back")).collect()
+    for r in out:
+        u = uuid.UUID(r.u)
+        assert u.version == 1 and u.variant == uuid.RFC_4122
+        assert u.time == r.ms * 10000 + 0x01B21DD213814000
+        assert u.node == r.node and u.clock_seq == r.clock
+        assert r.back == r.ms

@@ -67,25 +67,26 @@ def audit(fields: DataFrame, index: DataFrame | None, lookup: DataFrame | None)
     the user lacks has no status (null, K16), and users without fields keep a
     row.
 
-    Plan: the key index is checked per claim (a join on the full key, the only
-    value-keyed lookup), and the statuses go back to one row per user.  The
-    lookup index is read wide, one row per owner with the held value of each
-    prefix, so its check is a join on ``id``; both sides of the final join
-    are then partitioned by ``id`` and it needs no shuffle of its own.
+    Plan: each claim is joined to the key index on its full key, the only
+    value-keyed lookup, and the owner found is brought back to one row per
+    user as ``max`` per field, which is the primary-key dedup (G3).  Nothing
+    sits between the index's shuffle and that join, so AQE can split a value
+    claimed by very many users (an empty username, say) over many tasks.
+    The lookup index is read wide, one row per owner with the value held
+    under each prefix, and joined on ``id``.  Statuses are computed at the
+    end, where both tables' findings meet.
     """
     f = fields.select("id", *FIELD_ORDER)
     c = claims(f).withColumn("full_key", key_for(prefix_of_field(F.col("field")), F.col("value")))
     if index is not None:
-        idx = dedup_index(index).select(F.col("key").alias("full_key"), F.col("value").alias("owner"))
+        idx = index.select(F.col("key").alias("full_key"), F.col("value").alias("owner"))
         c = c.join(idx, "full_key", "left")
         idx_ok = F.lit(True)
     else:
         c = c.withColumn("owner", F.lit(None).cast("string"))
         idx_ok = F.lit(False)
-    c = c.select("id", "field",
-                 _status(idx_ok, F.col("owner") == F.col("id"), F.col("owner"), F.col("id")).alias("s"))
-    key_status = c.groupBy("id").agg(
-        *[F.max(F.when(F.col("field") == name, F.col("s"))).alias(f"k_{name}") for name in FIELD_ORDER])
+    owners = c.groupBy("id").agg(
+        *[F.max(F.when(F.col("field") == name, F.col("owner"))).alias(f"o_{name}") for name in FIELD_ORDER])
 
     if lookup is not None:
         # One row per owner: the value held under each prefix (greatest, as
@@ -98,12 +99,12 @@ def audit(fields: DataFrame, index: DataFrame | None, lookup: DataFrame | None)
     else:
         w = f.select("*", *[F.lit(None).cast("string").alias(f"h_{name}") for name in FIELD_ORDER])
         lk_ok = F.lit(False)
-    j = w.join(key_status, "id", "left")
+    j = w.join(owners, "id", "left")
     out = [F.col("id")]
     for name in FIELD_ORDER:
-        v, h = F.col(name), F.col(f"h_{name}")
+        v, h, o = F.col(name), F.col(f"h_{name}"), F.col(f"o_{name}")
         present = v.isNotNull()
-        out.append(F.when(present, F.col(f"k_{name}")).alias(name))
+        out.append(F.when(present, _status(idx_ok, o == F.col("id"), o, F.col("id"))).alias(name))
         out.append(F.when(present, _status(lk_ok, h == v, h, v)).alias(name + "Lookup"))
     return j.select(*out)
 

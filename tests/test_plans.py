@@ -44,3 +44,37 @@ def test_event_filters_reach_the_scan(spark):
     assert "PushedFilters: [IsNotNull(ts), In(event_type" in plan or "ReadSchema" in plan
     old = QUERIES["populate"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [In(event_type, [error,purchase,signup])]" in old
+
+
+def test_hot_claimed_value_is_split_by_aqe(spark):
+    """A third of the users claim one username: the claims-to-index join must
+    be one AQE can split (no operator between the index shuffle and the join)."""
+    from pyspark.sql import functions as F
+
+    from keyledger.operators import index as X
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        f = spark.range(9000).select(
+            F.concat(F.lit("mock:id:"), F.col("id").cast("string")).alias("id"),
+            F.concat(F.lit("o"), F.col("id").cast("string")).alias("otherId"),
+            F.when(F.col("id") % 3 == 0, F.lit("")).otherwise(F.concat(F.lit("u"), F.col("id").cast("string")))
+            .alias("username"),
+            F.lit(None).cast("string").alias("verifiedPhone"))
+        st = X.audit(f, X.index_rows(f), X.lookup_rows(f))
+        rows = st.collect()
+        assert len(rows) == 9000
+        assert "skew=true" in st._jdf.queryExecution().executedPlan().toString()
+        assert sum(1 for r in rows if r.username["reason"] == "Pass") == 6001
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

@@ -88,10 +88,13 @@ def ensure_parallelism(df: DataFrame, max_bytes: int = SMALL_SCAN_BYTES) -> Data
     one task, and the JSON work after it would run on one core).  Only scans
     whose estimated size is at most ``max_bytes`` are moved; a large table
     keeps its splits and no shuffle is added."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= target:
+            return df
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no RDD/JVM access (e.g. a Spark Connect session): leave the scan as is
         return df
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return df.repartition(target) if size <= max_bytes else df
 
 

@@ -56,6 +56,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     fall back to a fresh folder under /tmp; on a cluster executors could not
     share such a folder, so the setting is required there.
     """
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        return configured
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:

@@ -32,7 +32,9 @@ def timeuuid_ticks(u) -> Column:
 
 def timeuuid_millis(u) -> Column:
     """Epoch milliseconds of a version-1 uuid (floor division)."""
-    return F.floor((timeuuid_ticks(u) - F.lit(UUID_EPOCH_OFFSET)) / F.lit(10000)).cast("bigint")
+    # Ticks exceed 2^53, so the division is done in exact decimal arithmetic.
+    since_epoch = (timeuuid_ticks(u) - F.lit(UUID_EPOCH_OFFSET)).cast("decimal(20,0)")
+    return F.floor(since_epoch / F.lit(10000)).cast("bigint")
 
 
 def timeuuid_timestamp(u) -> Column:

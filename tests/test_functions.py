@@ -119,3 +119,14 @@ def test_timeuuid_agrees_with_python_uuid(spark):
         assert u.time == r.ms * 10000 + 0x01B21DD213814000
         assert u.node == r.node and u.clock_seq == r.clock
         assert r.back == r.ms
+
+
+def test_timeuuid_millis_exact_at_boundaries(spark):
+    from keyledger.functions.constants import UUID_EPOCH_OFFSET
+    rows = []
+    for ms in (1478602390908, 1704067207179, 4102444800000):
+        for r in (0, 1, 9998, 9999):
+            rows.append((ms, ms * 10000 + UUID_EPOCH_OFFSET + r))
+    df = spark.createDataFrame(rows, "ms long, ticks long")
+    out = df.select("ms", C.timeuuid_millis(C.timeuuid_from_ticks(F.col("ticks"))).alias("back")).collect()
+    assert all(r.back == r.ms for r in out)

@@ -82,7 +82,7 @@ def ntz_epoch_micros(ts) -> Column:
 
 def ntz_epoch_millis(ts) -> Column:
     """Epoch milliseconds (floor) of a TIMESTAMP_NTZ read as UTC wall time."""
-    return F.floor(ntz_epoch_micros(ts) / F.lit(1000)).cast("bigint")
+    return F.floor(ntz_epoch_micros(ts).cast("decimal(20,0)") / F.lit(1000)).cast("bigint")
 
 
 def to_epoch_millis(ts) -> Column:

@@ -199,3 +199,60 @@ def ordered_events(raw: DataFrame, family: str, on_bad: str = "fail") -> DataFra
     without gathering a user's events in one task (see ``rank_within``)."""
     ev = relevant(parse_events(raw, family, on_bad), family)
     return rank_within(ev, ["id"], ["time_ms", "ticks", "time"])
+
+
+def event_pages(raw: DataFrame, family: str, page_size: int = 1000, on_bad: str = "fail") -> DataFrame:
+    """E7 as lists: each user's relevant events in fold order, cut into pages
+    of at most ``page_size`` events: ``id, page, events`` where ``events`` is
+    an array of ``struct<seq, time_ms, time, rem, set_...>`` sorted by
+    ``seq``.  Positions come from ``ordered_events``, so no page, and no task,
+    ever holds more than ``page_size`` events of one user."""
+    props = [f.name for f in FAMILIES[family][0].fields]
+    ev = ordered_events(raw, family, on_bad).withColumn("page", F.expr(f"(seq - 1) div {int(page_size)}"))
+    item = F.struct(F.col("seq"), F.col("time_ms"), F.col("time"), F.col("rem"),
+                    *[F.col(f"set_{p}") for p in props])
+    return ev.groupBy("id", "page").agg(F.array_sort(F.collect_list(item)).alias("events"))
+
+
+def fold_pages(pages: DataFrame, family: str) -> DataFrame:
+    """E6 over event lists: fold each page with ``aggregate`` (in order:
+    `$rem` then `$set` inside an event), giving per page and field a touched
+    flag and the value left.  Output rows have the shared shape ``id, page,
+    t_<field>, v_<field>`` for every tracked field."""
+    mine = FAMILIES[family][1]
+    init = F.struct(*[F.lit(False).alias(f"t_{f}") for f in mine],
+                    *[F.lit(None).cast("string").alias(f"v_{f}") for f in mine])
+
+    def step(acc, e):
+        ts, vs = [], []
+        for f in mine:
+            prop = FIELDS[f][1]
+            new = e[f"set_{prop}"]
+            touched = new.isNotNull() | F.coalesce(F.array_contains(e["rem"], F.lit(prop)), F.lit(False))
+            ts.append((acc[f"t_{f}"] | touched).alias(f"t_{f}"))
+            vs.append(F.when(new.isNotNull(), new).when(touched, F.lit(None).cast("string"))
+                      .otherwise(acc[f"v_{f}"]).alias(f"v_{f}"))
+        return F.struct(*ts, *vs)
+
+    s = pages.select("id", "page", F.aggregate("events", init, step).alias("_s"))
+    cols = [F.col("id"), F.col("page")]
+    for f in FIELD_ORDER:
+        if f in mine:
+            cols += [F.col("_s")[f"t_{f}"].alias(f"t_{f}"), F.col("_s")[f"v_{f}"].alias(f"v_{f}")]
+        else:
+            cols += [F.lit(False).alias(f"t_{f}"), F.lit(None).cast("string").alias(f"v_{f}")]
+    return s.select(*cols)
+
+
+def populate_from_pages(users: DataFrame, core_pages: DataFrame | None, contact_pages: DataFrame | None) -> DataFrame:
+    """E8 through the list form: fold every page, then keep per field the
+    value of the last page that touched it.  Equal to ``populate``."""
+    parts = [fold_pages(p, fam) for p, fam in ((core_pages, "core"), (contact_pages, "contact")) if p is not None]
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p)
+    aggs = []
+    for f in FIELD_ORDER:
+        t = F.col(f"t_{f}")
+        aggs += [F.max_by(F.col(f"v_{f}"), F.when(t, F.col("page"))).alias(f"v_{f}"), F.max(t).alias(f"t_{f}")]
+    return _apply(users, rows.groupBy("id").agg(*aggs))

@@ -7,7 +7,8 @@ many partitions.  Each partition counts its rows per key (a tiny table: at most
 partitions + keys rows), a running sum over partitions gives every
 (partition, key) its offset, and the position is offset + place inside the
 partition.  The range repartition has an explicit partition count, so AQE
-leaves it alone and both uses of it read the same partitions.
+leaves it alone, and the numbered rows are checkpointed once (to the shared
+checkpoint folder) so that the statistics and the rows agree.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from keyledger.session import checkpoint_root
+
 # A per-(partition, key) offset table smaller than this many rows is broadcast.
 BROADCAST_OFFSET_ROWS = 200_000
 
@@ -34,10 +37,16 @@ def rank_within(df: DataFrame, keys: list[str], order: list[Column | str], *, se
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sort_cols = [F.col(k) for k in keys] + [F.col(o) if isinstance(o, str) else o for o in order]
+    checkpoint_root(spark)  # make sure the session has a (shared) checkpoint folder
+    # Materialized once: the partition id and position of every row are then
+    # fixed values that both the statistics and the rows read.  Computed
+    # twice, they could differ, because the range bounds come from sampling
+    # the input and the two readers may see it in different orders.
     s = (df.repartitionByRange(n, *sort_cols)
          .sortWithinPartitions(*sort_cols)
          .withColumn("_pid", F.spark_partition_id())
-         .withColumn("_mono", F.monotonically_increasing_id()))
+         .withColumn("_mono", F.monotonically_increasing_id())
+         .checkpoint(eager=True))
     stats = s.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_mono").alias("_first"))
     before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = stats.select(

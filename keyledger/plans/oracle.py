@@ -147,6 +147,7 @@ def _core(cols: str) -> str:
 ORACLE_SQL: dict[str, str] = {
     "populate": _pop(),
     "populate_users": _pop(),
+    "populate_arrays": _pop(),
     "populate_partial": _partial_sql(),
     "distinct_ids": _core("DISTINCT 'mock:id:'||user_id AS id"),
     "id_counts": _core("'mock:id:'||user_id AS id, count(*) AS n") + " GROUP BY 1",

@@ -25,6 +25,7 @@ from keyledger.streaming import live_insert as live
 OLD_CUT = "2024-01-29"
 BATCH_BUCKETS = 2
 MOCK_OLD = "mock:old:value"
+PAGE_SIZE = 16  # events per page in populate_arrays: small, so users span several pages
 SEED_EVENTS = generate.events_per_user(42)
 SEED_ANCHOR_MS = 1_706_745_600_000  # 2024-02-01T00:00:00Z
 
@@ -124,6 +125,15 @@ def q_populate_users(spark, sf):
     return events.populate(users, core, contact)
 
 
+def q_populate_arrays(spark, sf):
+    # E7 -> E6 in list form: pages of at most PAGE_SIZE events per user, each
+    # folded with `aggregate`, pages combined in order.  Same result as populate.
+    core, contact = _logs(spark, sf)
+    users = ids.bare_fields(ids.distinct_ids(core))
+    return events.populate_from_pages(users, events.event_pages(core, "core", PAGE_SIZE),
+                                      events.event_pages(contact, "contact", PAGE_SIZE))
+
+
 def q_populate_partial(spark, sf):
     core, contact = _logs(spark, sf)
     n = _user_num("id")
@@ -287,6 +297,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "populate": q_populate,
     "populate_users": q_populate_users,
     "populate_partial": q_populate_partial,
+    "populate_arrays": q_populate_arrays,
     "distinct_ids": q_distinct_ids,
     "id_counts": q_id_counts,
     "extraction_counts": q_extraction_counts,

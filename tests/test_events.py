@@ -209,3 +209,26 @@ def test_hot_user_fold_across_partitions(spark):
     want = _sequential_fold(evs, {"otherId": None, "username": None})
     assert got["hot"][0] == want["otherId"] and got["hot"][1] is None
     assert got["cold7"] == (None, "u7", None) and len(got) == 51
+
+
+def test_pages_fold_equals_sequential_fold(spark):
+    rnd = random.Random(33)
+    rows, evs = [], {}
+    for u in ("hot", "b", "c"):
+        n = 400 if u == "hot" else rnd.randint(0, 9)
+        for k in range(n):
+            ms = NOW + rnd.randint(0, 500)
+            set_ = {f: f"{f}-{u}-{k}" for f in ("otherId", "username") if rnd.random() < 0.4}
+            rem = rnd.sample(["otherId", "username"], rnd.randint(0, 1))
+            evs.setdefault(u, []).append((ms, k, set_, rem))
+            rows.append((u, timeuuid(ms, node=k), payload(u, ms, set_, rem)))
+    frame = spark.createDataFrame(rows, schemas.RAW_EVENT).repartition(8)
+    pages = E.event_pages(frame, "core", page_size=7)
+    assert pages.agg({"page": "max"}).collect()[0][0] >= 30          # the hot user spans many pages
+    assert max(len(r.events) for r in pages.collect()) <= 7            # no page is larger than asked
+    u = bare_fields(spark.createDataFrame([("hot",), ("b",), ("c",), ("none",)], "id string"))
+    got = {r.id: (r.otherId, r.username) for r in E.populate_from_pages(u, pages, None).collect()}
+    for name in ("hot", "b", "c"):
+        want = _sequential_fold(evs.get(name, []), {"otherId": None, "username": None})
+        assert got[name] == (want["otherId"], want["username"]), name
+    assert got["none"] == (None, None)

@@ -38,6 +38,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
         # differ so Spark cannot reuse their shuffle.  The ids here are never
         # null, so the inferred filters buy nothing.
         .config("spark.sql.constraintPropagation.enabled", "false")
+        # Remove checkpoint files once nothing references them (rank_within
+        # checkpoints its numbered rows; they are not needed after the query).
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", "16g")
     )
     for k, v in (extra or {}).items():

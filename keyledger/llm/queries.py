@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from keyledger.llm import exact_dedup, mixing, packing, quality, simhash
+from keyledger.llm import embeddings, exact_dedup, licences, mixing, packing, quality, secrets, simhash
 
 QUERIES = {
+    "op1_secret_scan": secrets.op1_secret_scan,
     "op3_mixing": mixing.op3_mixing,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_simhash_near_dedup": simhash.op5_simhash_near_dedup,
     "op6_quality_classifier": quality.op6_quality_classifier,
     "op8_packing": packing.op8_packing,
+    "op9_licence_scan": licences.op9_licence_scan,
+    "op10_embedding_near_dedup": embeddings.op10_embedding_near_dedup,
 }
 
 ORACLE_SQL = {
     "op3_mixing": mixing.ORACLE,
     "op4_exact_dedup": exact_dedup.ORACLE,
+    "op9_licence_scan": licences.ORACLE,
 }

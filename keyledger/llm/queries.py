@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from keyledger.llm import embeddings, exact_dedup, licences, mixing, packing, quality, secrets, simhash
+from keyledger.llm import embeddings, exact_dedup, kneser_ney, licences, mixing, packing, quality, secrets, simhash
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_simhash_near_dedup": simhash.op5_simhash_near_dedup,
     "op6_quality_classifier": quality.op6_quality_classifier,
+    "op7_lm_scoring": kneser_ney.op7_lm_scoring,
     "op8_packing": packing.op8_packing,
     "op9_licence_scan": licences.op9_licence_scan,
     "op10_embedding_near_dedup": embeddings.op10_embedding_near_dedup,

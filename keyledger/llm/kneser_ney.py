@@ -84,7 +84,7 @@ def token_keys(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(keys), np.concatenate(sizes)) if keys else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
 
 
-def to_blocks(docs: DataFrame) -> DataFrame:
+def to_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Blocks of documents as numbers of the block's own sorted word list."""
     from pyspark import TaskContext
 
@@ -102,7 +102,7 @@ def to_blocks(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for i, h, t in zip(*(batch.column(c) for c in ("doc_id", "held_out", "text")), strict=True):
                 text = t.as_py()
-                if texts and size + len(text) > BLOCK_BYTES:
+                if texts and size + len(text) > block_bytes:
                     yield block(no, ids, held, texts)
                     ids, held, texts, size, no = [], [], [], 0, no + 1
                 ids.append(i.as_py())
@@ -306,9 +306,9 @@ def _sums(answers: DataFrame, n: int) -> list[int]:
     return [int(x) for x in r]
 
 
-def score_documents(docs: DataFrame, shard_entries: int = SHARD_ENTRIES) -> DataFrame:
+def score_documents(docs: DataFrame, shard_entries: int = SHARD_ENTRIES, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per row of ``docs`` with the contract's columns."""
-    blocks = write_blocks(to_blocks(docs), "lm")
+    blocks = write_blocks(to_blocks(docs, block_bytes), "lm")
     n_train, n_tokens, n_words = blocks.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in (
         "n_train", "n_tokens", "n_words")]).first()
     word_shards, pair_shards = max(1, -(-n_words // shard_entries)), max(1, -(-n_tokens // shard_entries))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from keyledger.llm import embeddings, exact_dedup, kneser_ney, licences, mixing, packing, quality, secrets, simhash
+from keyledger.llm import embeddings, exact_dedup, kneser_ney, licences, mixing, packing, quality, secrets, simhash, suffix_dedup
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
+    "op2_suffix_array_dedup": suffix_dedup.op2_suffix_array_dedup,
     "op3_mixing": mixing.op3_mixing,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_simhash_near_dedup": simhash.op5_simhash_near_dedup,

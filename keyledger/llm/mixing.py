@@ -36,7 +36,7 @@ PIECE = 16.0
 RECIPE = {"src0": 0.20, **{f"src{i}": 0.05 for i in range(1, 10)}}
 OTHER = 0.35
 DIGITS = 13  # hex digits of a digest used as a number: 52 bits, exact in a double
-KEY_COLUMN = "__llm_order"
+RATE, COPIES, COPY, ORDER = "__llm_rate", "__llm_copies", "__llm_copy", "__llm_order"  # no column of a table is so named
 
 
 def cumulative(mean: float) -> list[float]:
@@ -76,12 +76,12 @@ def rates(docs: DataFrame, recipe: dict[str, float], other: float, total_epochs:
 
 def replicate(docs: DataFrame, recipe: dict[str, float] = RECIPE, other: float = OTHER, seed: str = SEED,
               total_epochs: float = 1.0) -> DataFrame:
-    """``docs`` with the columns mix_rate, n_copies, copy_no and mix_order: one
-    row for each copy, not yet shuffled."""
+    """``docs`` with four columns more, RATE, COPIES, COPY and ORDER: one row for
+    each copy, not yet shuffled."""
     spark = docs.sparkSession
     rows = [(p, rate, pieces, cumulative(rate / pieces)) for p, rate in rates(docs, recipe, other, total_epochs)
             for pieces in [max(1, math.ceil(rate / PIECE))]]
-    table = spark.createDataFrame(rows, "__llm_pool string, mix_rate double, __llm_pieces int, __llm_cdf array<double>")
+    table = spark.createDataFrame(rows, f"__llm_pool string, {RATE} double, __llm_pieces int, __llm_cdf array<double>")
     drawn = docs.withColumn("__llm_pool", pool_of(recipe)).join(F.broadcast(table), "__llm_pool")
     doc = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
     draw = lambda piece: F.size(F.filter("__llm_cdf", lambda c: c <= uniform(F.lit(seed), doc, piece)))
@@ -89,21 +89,23 @@ def replicate(docs: DataFrame, recipe: dict[str, float] = RECIPE, other: float =
     many = F.aggregate(F.sequence(F.lit(0), F.col("__llm_pieces") - 1), F.lit(0),
                        lambda total, piece: total + draw(piece.cast("string")))
     counted = (drawn.withColumn("__llm_u", uniform(F.lit(seed), doc, F.lit("0")))
-               .withColumn("n_copies", F.when(F.col("__llm_pieces") == 1, one).otherwise(many).cast("bigint"))
-               .where(F.col("n_copies") > 0))
-    copies = counted.withColumn("copy_no", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n_copies") - 1)))
-    order = F.substring(F.md5(F.concat_ws("|", F.lit(seed), F.lit("order"), doc, F.col("copy_no").cast("string"))), 1, 16)
-    return copies.withColumn("mix_order", order).drop("__llm_pool", "__llm_pieces", "__llm_cdf", "__llm_u")
+               .withColumn(COPIES, F.when(F.col("__llm_pieces") == 1, one).otherwise(many).cast("bigint"))
+               .where(F.col(COPIES) > 0))
+    copies = counted.withColumn(COPY, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(COPIES) - 1)))
+    order = F.substring(F.md5(F.concat_ws("|", F.lit(seed), F.lit("order"), doc, F.col(COPY).cast("string"))), 1, 16)
+    return copies.withColumn(ORDER, order).drop("__llm_pool", "__llm_pieces", "__llm_cdf", "__llm_u")
 
 
 def shuffled(copies: DataFrame) -> DataFrame:
     """The copies in the order of their hash, over all partitions."""
-    return copies.orderBy("mix_order", "doc_id", "copy_no")
+    return copies.orderBy(ORDER, "doc_id", COPY)
 
 
 def op3_mixing(spark, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "source", "text")
-    return shuffled(replicate(docs)).select("doc_id", "source", "mix_rate", "n_copies", "copy_no", "mix_order", "text")
+    return shuffled(replicate(docs)).select(
+        "doc_id", "source", F.col(RATE).alias("mix_rate"), F.col(COPIES).alias("n_copies"), F.col(COPY).alias("copy_no"),
+        F.col(ORDER).alias("mix_order"), "text")
 
 
 def stage_mixing(spark, docs: DataFrame, sf_dir: str) -> DataFrame:

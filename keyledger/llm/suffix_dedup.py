@@ -206,8 +206,9 @@ def _segment_requests(blocks: DataFrame, states: DataFrame, shards: int) -> Data
 
 
 def _hot_windows(b: Block, got: dict) -> tuple[np.ndarray, np.ndarray]:
-    """Windows of the hot segments and their hashes, ordered by hash."""
-    seg = b.entry[_states(got, b) == HOT]
+    """Windows of the hot segments and their hashes, ordered by hash, equal ones
+    by place."""
+    seg = np.sort(b.entry[_states(got, b) == HOT])
     window = _flat(b.first[seg], b.last[seg] - b.first[seg] + 1)
     h = b.hash(window, window + MATCH) if len(window) else np.zeros(0, np.uint64)
     order = np.argsort(h, kind="stable")

@@ -66,17 +66,6 @@ FIELD_STATUS = T.StructType([
 STATUS_COLUMNS = ["otherId", "otherIdLookup", "username", "usernameLookup",
                   "verifiedPhone", "verifiedPhoneLookup"]
 
-INDEX_STATUS = T.StructType(
-    [T.StructField("id", S, False)] + [T.StructField(c, FIELD_STATUS, True) for c in STATUS_COLUMNS]
-)
-
-UNIQUENESS_FIELDS = T.StructType([
-    T.StructField("id", S, True),
-    T.StructField("otherIds", T.ArrayType(S), False),
-    T.StructField("usernames", T.ArrayType(S), False),
-    T.StructField("verifiedPhones", T.ArrayType(S), False),
-])
-
 KEY_VALUE = T.StructType([
     T.StructField("key", S, False),
     T.StructField("value", T.IntegerType(), True),

@@ -5,9 +5,8 @@ queue, groups of 10 messages per request), so its batches depend on how the
 data happens to be partitioned.  Here a batch is defined by a bucket of the id
 (a hash by default) and the id's position in its bucket, so the result repeats
 from run to run.  Positions come from ``rank_within``: the ids are range
-partitioned on (bucket, id), so a large bucket is spread over many tasks, and
-the per-partition offset table is bounded by partitions + buckets and is
-broadcast.  Gathering a batch collects at most ``batch_size`` ids.
+partitioned on (bucket, id), so a large bucket is spread over many tasks.
+Gathering a batch collects at most ``batch_size`` ids.
 """
 
 from __future__ import annotations
@@ -20,18 +19,25 @@ from keyledger.functions.constants import IDS_PER_MESSAGE, MESSAGES_PER_REQUEST
 from keyledger.operators.ranking import rank_within
 
 
-def hash_bucket(id_col: str = "id", n_buckets: int = 64) -> Column:
+N_BUCKETS = 64  # of the default bucket, whatever the cluster's settings: batches do not depend on them
+
+
+def hash_bucket(id_col: str = "id", n_buckets: int = N_BUCKETS) -> Column:
     """Default bucket: a 64-bit hash of the id modulo ``n_buckets``."""
     return F.pmod(F.xxhash64(F.col(id_col)), F.lit(n_buckets))
 
 
-def _positions(ids: DataFrame, bucket: Column | None, n_buckets: int | None) -> DataFrame:
-    spark = ids.sparkSession
-    if bucket is None:
-        n_buckets = n_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        bucket = hash_bucket("id", n_buckets)
-    b = ids.select(bucket.cast("bigint").alias("bucket"), F.col("id"))
-    return rank_within(b, ["bucket"], ["id"], max_groups=n_buckets)
+def _positions(ids: DataFrame, bucket: Column | None, n_buckets: int) -> DataFrame:
+    bucket = hash_bucket("id", n_buckets) if bucket is None else bucket
+    return rank_within(ids.select(bucket.cast("bigint").alias("bucket"), F.col("id")), ["bucket"], ["id"])
+
+
+def run_uuid(run_id: str, *parts: Column) -> Column:
+    """A uuid text that differs from run to run and is the same however
+    often a task of the run is tried: the hash of the run and the parts."""
+    h = F.md5(F.concat_ws("|", F.lit(run_id), *parts))
+    return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.substring(h, 13, 4), F.substring(h, 17, 4),
+                       F.substring(h, 21, 12))
 
 
 def _gather(ranked: DataFrame, group_cols: list[str]) -> DataFrame:
@@ -41,11 +47,11 @@ def _gather(ranked: DataFrame, group_cols: list[str]) -> DataFrame:
 
 
 def topic_messages(ids: DataFrame, batch_size: int = IDS_PER_MESSAGE, bucket: Column | None = None,
-                   n_buckets: int | None = None) -> DataFrame:
+                   n_buckets: int = N_BUCKETS) -> DataFrame:
     """One message per ``batch_size`` ids of a bucket, ordered by id:
     ``bucket, batch_no, n_ids, ids, body`` where ``body`` is the JSON array
     of ids (S10, S17).  ``bucket`` may be any integer column expression over
-    ``id``; ``n_buckets`` bounds its number of values."""
+    ``id``; the default is a hash modulo ``n_buckets``."""
     r = _positions(ids, bucket, n_buckets).withColumn("batch_no", F.expr(f"(seq - 1) div {int(batch_size)}"))
     g = _gather(r, ["bucket", "batch_no"])
     return g.select("bucket", "batch_no", F.size("ids").cast("bigint").alias("n_ids"), "ids",
@@ -53,15 +59,15 @@ def topic_messages(ids: DataFrame, batch_size: int = IDS_PER_MESSAGE, bucket: Co
 
 
 def queue_messages(ids: DataFrame, batch_size: int = IDS_PER_MESSAGE, per_request: int = MESSAGES_PER_REQUEST,
-                   bucket: Column | None = None, n_buckets: int | None = None,
-                   random_entry_ids: bool = False) -> DataFrame:
+                   bucket: Column | None = None, n_buckets: int = N_BUCKETS, run_id: str | None = None) -> DataFrame:
     """Entries of ``batch_size`` ids, ``per_request`` entries per send
     request: ``bucket, request_no, entry_no, entry_id, n_ids, body``.
 
-    ``entry_id`` is ``bucket-entry_no`` so the output repeats; with
-    ``random_entry_ids`` it is a random uuid (S18), as a live sender uses."""
+    ``entry_id`` is ``bucket-entry_no`` so the output repeats; with a
+    ``run_id`` it is a uuid of that run (S18), as a live sender uses."""
     m = topic_messages(ids, batch_size, bucket, n_buckets).withColumnRenamed("batch_no", "entry_no")
-    entry_id = F.expr("uuid()") if random_entry_ids else F.concat_ws("-", F.col("bucket"), F.col("entry_no"))
+    place = [F.col("bucket").cast("string"), F.col("entry_no").cast("string")]
+    entry_id = F.concat_ws("-", *place) if run_id is None else run_uuid(run_id, *place)
     return m.select("bucket", F.expr(f"entry_no div {int(per_request)}").alias("request_no"), "entry_no",
                     entry_id.alias("entry_id"), "n_ids", "body")
 

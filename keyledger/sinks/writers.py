@@ -7,7 +7,6 @@ leaves the previous version whole and a retried job simply writes again.
 
 from __future__ import annotations
 
-import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -62,19 +61,19 @@ def upsert(existing: DataFrame | None, incoming: DataFrame, pk: list[str], inser
     per-key maxima combined on the map side.
     """
     values = [c for c in incoming.columns if c not in pk]
+    # One struct per row: with several value columns the greatest row wins as a
+    # whole, never a mixture of two rows.
+    row = F.struct(*values) if values else F.struct(F.lit(1))
     if existing is None:
-        return incoming.groupBy(*pk).agg(*[F.max(c).alias(c) for c in values]).select(*incoming.columns)
+        best = incoming.groupBy(*pk).agg(F.max(row).alias("_row"))
+        return best.select(*[F.col("_row")[c].alias(c) if c in values else F.col(c) for c in incoming.columns])
     tagged = (existing.select(*incoming.columns).withColumn("_new", F.lit(False))
               .unionByName(incoming.withColumn("_new", F.lit(True))))
-    new, old = F.col("_new"), ~F.col("_new")
-    g = tagged.groupBy(*pk).agg(
-        F.max(new.cast("int")).alias("_has_new"), F.max(old.cast("int")).alias("_has_old"),
-        *[F.max(F.when(new, F.col(c))).alias(f"_n_{c}") for c in values],
-        *[F.max(F.when(old, F.col(c))).alias(f"_o_{c}") for c in values])
-    take_new = (F.col("_has_old") == 0) if insert_only else (F.col("_has_new") == 1)
-    return g.select(*[F.col(k) for k in pk],
-                    *[F.when(take_new, F.col(f"_n_{c}")).otherwise(F.col(f"_o_{c}")).alias(c) for c in values]
-                    ).select(*incoming.columns)
+    new = F.col("_new")
+    g = tagged.groupBy(*pk).agg(F.max(F.when(new, row)).alias("_n"), F.max(F.when(~new, row)).alias("_o"))
+    best = F.coalesce("_o", "_n") if insert_only else F.coalesce("_n", "_o")
+    return g.select(*pk, best.alias("_row")).select(
+        *[F.col("_row")[c].alias(c) if c in values else F.col(c) for c in incoming.columns])
 
 
 def _fs(spark: SparkSession, path: str):
@@ -85,15 +84,18 @@ def _fs(spark: SparkSession, path: str):
 
 
 def list_versions(spark: SparkSession, table_dir: str) -> list[str]:
-    """Committed version directories of a versioned table, oldest first."""
+    """Committed version directories of a versioned table, oldest first.
+
+    A table with version folders of which none is committed raises: it was
+    written without success markers, and treating it as empty would lose its
+    rows at the next upsert."""
     fs, p = _fs(spark, table_dir)
     if not fs.exists(p):
         return []
-    names = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("v=") and fs.exists(st.getPath().suffix("/_SUCCESS")):
-            names.append(name)
+    found = [st.getPath() for st in fs.listStatus(p) if st.isDirectory() and st.getPath().getName().startswith("v=")]
+    names = [v.getName() for v in found if fs.exists(v.suffix("/_SUCCESS"))]
+    if found and not names:
+        raise RuntimeError(f"{table_dir} has versions but no committed one (is the success marker switched off?)")
     return [f"{table_dir.rstrip('/')}/{n}" for n in sorted(names)]
 
 
@@ -107,10 +109,11 @@ def read_latest(spark: SparkSession, table_dir: str, schema: T.StructType | None
 
 
 def write_version(df: DataFrame, table_dir: str) -> str:
-    """Write ``df`` as a new version of a versioned table; never touches the
-    versions it may have been computed from."""
-    name = f"v={time.strftime('%Y%m%d%H%M%S')}-{int(time.time() * 1e6) % 1_000_000:06d}-{uuid.uuid4().hex[:8]}"
-    path = f"{table_dir.rstrip('/')}/{name}"
+    """Write ``df`` as the next version of a versioned table, numbered one above
+    the last; never touches the versions it may have been computed from."""
+    versions = list_versions(df.sparkSession, table_dir)
+    last = int(versions[-1].rsplit("v=", 1)[1].split("-")[0]) if versions else 0
+    path = f"{table_dir.rstrip('/')}/v={last + 1:012d}-{uuid.uuid4().hex[:8]}"
     df.write.mode("errorifexists").parquet(path)
     return path
 
@@ -122,15 +125,21 @@ def upsert_table(spark: SparkSession, table_dir: str, incoming: DataFrame, pk: l
     return write_version(upsert(read_latest(spark, table_dir), incoming, pk, insert_only), table_dir)
 
 
-def write_outbox(messages: DataFrame, path: str) -> str:
-    """B10 / B11 transport stand-in: messages as JSON lines, one directory
-    per run.  A sender reading the outbox delivers at least once, as the
-    original does (a retried task sends its batches again)."""
-    messages.write.mode("overwrite").json(path)
+def write_outbox(messages: DataFrame, path: str, run_id: str) -> str:
+    """B10 / B11 transport stand-in: messages as JSON lines, in the folder
+    ``run=<run_id>`` of the outbox.  Earlier runs stay; a run that is sent again
+    replaces itself.  A sender reading the outbox delivers at least once, as the
+    original does."""
+    messages.write.mode("overwrite").json(f"{path.rstrip('/')}/run={run_id}")
     return path
 
 
 def write_objects(objects: DataFrame, path: str) -> str:
-    """The keyed-object table, one row per object key."""
-    objects.write.mode("overwrite").parquet(path)
-    return path
+    """The keyed-object table, one row per object key; putting a key again
+    replaces it, and all other objects stay."""
+    return upsert_table(objects.sparkSession, path, objects, ["object_key"])
+
+
+def read_objects(spark: SparkSession, path: str) -> DataFrame | None:
+    """The keyed objects as they are now."""
+    return read_latest(spark, path)

@@ -69,7 +69,7 @@ def test_text_table_and_create(spark):
     W.write_table(users, base + "/user", columns=["id", "firstName", "lastName"])
     u = spark.read.parquet(base + "/user")
     assert u.count() == 2 and u.where("firstName = 'Ann'").count() == 1    # T13
-    assert os.path.isdir(base.replace("file:", ""))
+    assert os.path.isdir(base.replace("file://", ""))
 
 
 def test_upsert_matches_a_dict_model(spark):
@@ -99,3 +99,32 @@ def test_upsert_multi_column_key(spark):
     inc = spark.createDataFrame([("a", "k1", "z"), ("b", "k1", "w")], schemas.UNIQUENESS_LOOKUP)
     got = {(r.id, r.key): r.value for r in W.upsert(ex, inc, ["id", "key"]).collect()}
     assert got == {("a", "k1"): "z", ("a", "k2"): "y", ("b", "k1"): "w"}
+
+
+def test_upsert_never_mixes_rows(spark):
+    inc = spark.createDataFrame([("k", "z", "1"), ("k", "a", "9")], "key string, x string, y string")
+    assert [tuple(r) for r in W.upsert(None, inc, ["key"]).collect()] == [("k", "z", "1")]
+    old = spark.createDataFrame([("k", "zz", "0"), ("l", None, None)], "key string, x string, y string")
+    assert sorted(map(str, W.upsert(old, inc, ["key"]).collect())) == sorted(
+        map(str, spark.createDataFrame([("k", "z", "1"), ("l", None, None)], "key string, x string, y string").collect()))
+
+
+def test_versions_are_numbered_and_an_uncommitted_table_raises(spark, tmp_path):
+    import pytest
+    table = f"{tmp_path}/t"
+    kv = spark.createDataFrame([("k", "v")], schemas.UNIQUENESS_INDEX)
+    names = [os.path.basename(W.upsert_table(spark, table, kv, ["key"])) for _ in range(12)]
+    assert [int(n[2:14]) for n in names] == list(range(1, 13))
+    assert [os.path.basename(v) for v in W.list_versions(spark, table)] == names
+    for n in names:
+        os.remove(f"{table}/{n}/_SUCCESS")
+    with pytest.raises(RuntimeError):
+        W.upsert_table(spark, table, kv, ["key"])
+
+
+def test_objects_put_again_replace_and_others_stay(spark):
+    path = scratch_path(spark, "objects")
+    put = lambda rows: W.write_objects(spark.createDataFrame(rows, "object_key string, content string"), path)
+    put([("a", "1"), ("b", "1")])
+    put([("b", "0"), ("c", "2")])
+    assert {r.object_key: r.content for r in W.read_objects(spark, path).collect()} == {"a": "1", "b": "0", "c": "2"}

@@ -34,6 +34,11 @@ def _lenient_bool(s: Column) -> Column:
     return F.when(t == "true", True).when(num.isNotNull(), num != 0).otherwise(False)
 
 
+def _lenient_whole(s: Column, kind: str) -> Column:
+    """A whole number from number or text: decimals are cut, other text is 0."""
+    return F.coalesce(s.try_cast(kind), s.try_cast("decimal(38,9)").try_cast(kind), F.lit(0).cast(kind))
+
+
 def parse_events(raw: DataFrame, family: str, on_bad: str = "fail", keep_null_payload: bool = False) -> DataFrame:
     """Raw ``(id, time, payload)`` -> typed events.
 
@@ -42,11 +47,14 @@ def parse_events(raw: DataFrame, family: str, on_bad: str = "fail", keep_null_pa
 
     * null payloads are dropped (C4), or kept with null fields when
       ``keep_null_payload`` (user membership in the fused fold);
-    * ``on_bad='fail'`` (default): malformed JSON, or an absent or null
-      envelope field, fails the job; ``'drop'`` drops such rows;
-      ``'quarantine'`` keeps them flagged in ``_bad``;
-    * ``time`` / ``version`` accept numbers and numeric text, other text reads
-      as 0; ``snapshot`` accepts booleans, numbers and their text.
+    * ``on_bad='fail'`` (default): malformed JSON, or an absent envelope field,
+      fails the job; ``'drop'`` drops such rows; ``'quarantine'`` keeps them
+      flagged in ``_bad``;
+    * ``time`` / ``version`` accept numbers and numeric text, decimals are cut to
+      whole numbers, other text reads as 0; ``snapshot`` accepts booleans,
+      numbers and their text;
+    * a field that is there but null reads as the text ``null`` (``id``,
+      ``model``, ``source``), 0, false or empty.
     """
     if on_bad not in ("fail", "drop", "quarantine"):
         raise ValueError(f"on_bad must be fail, drop or quarantine, not {on_bad!r}")
@@ -58,10 +66,13 @@ def parse_events(raw: DataFrame, family: str, on_bad: str = "fail", keep_null_pa
     # check below, relevance later) cannot be pushed beneath it, so the JSON
     # is parsed once per row instead of once per field a filter reads.
     df = df.select("id", "time", "payload", F.explode(F.array(p)).alias("_p"))
-    missing = F.col("_p").isNull()
+    any_null = F.lit(False)
     for name in _REQUIRED:
-        missing = missing | F.col("_p").getField(name).isNull()
-    bad = F.col("payload").isNotNull() & missing
+        any_null = any_null | F.col("_p").getField(name).isNull()
+    # Only a row with a null field has its keys read, to tell null from absent.
+    absent = F.size(F.array_except(F.array(*[F.lit(n) for n in _REQUIRED]), F.json_object_keys("payload"))) > 0
+    bad = F.when(F.col("payload").isNull(), False).when(F.col("_p").isNull(), True).when(
+        any_null, F.coalesce(absent, F.lit(True))).otherwise(False)
     if on_bad == "fail":
         df = df.where(F.when(bad, F.raise_error(F.concat(F.lit("malformed event payload: "), F.col("payload"))))
                       .otherwise(F.lit(True)).cast("boolean"))
@@ -70,15 +81,15 @@ def parse_events(raw: DataFrame, family: str, on_bad: str = "fail", keep_null_pa
     pp = F.col("_p")
     cols = [
         F.col("id"), F.col("time"),
-        F.coalesce(pp.getField("time").try_cast("bigint"), F.lit(0)).cast("bigint").alias("time_ms"),
+        _lenient_whole(pp.getField("time"), "bigint").alias("time_ms"),
         timeuuid_ticks(F.col("time")).alias("ticks"),
         F.coalesce(pp.getField("$rem"), F.array().cast("array<string>")).alias("rem"),
     ]
     cols += [pp.getField("$set").getField(f.name).alias(f"set_{f.name}") for f in set_schema.fields]
     cols += [
-        pp.getField("id").alias("payload_id"), pp.getField("model").alias("model"),
-        pp.getField("source").alias("source"),
-        F.coalesce(pp.getField("version").try_cast("int"), F.lit(0)).alias("version"),
+        *[F.when(F.col("payload").isNotNull(), F.coalesce(pp.getField(n), F.lit("null"))).alias(c)
+          for n, c in (("id", "payload_id"), ("model", "model"), ("source", "source"))],
+        _lenient_whole(pp.getField("version"), "int").alias("version"),
         _lenient_bool(pp.getField("snapshot")).alias("snapshot"),
     ]
     if on_bad == "quarantine":
@@ -132,6 +143,8 @@ def fold_events(core_raw: DataFrame | None, contact_raw: DataFrame | None, on_ba
     ``id, v_otherId, t_otherId, v_username, t_username, v_verifiedPhone,
     t_verifiedPhone``.  One shuffle for both logs."""
     parts = []
+    if core_raw is None and contact_raw is None:
+        raise ValueError("a core or a contact log is needed")
     if core_raw is not None:
         parts.append(touch_rows(relevant(parse_events(core_raw, "core", on_bad), "core"), "core", False))
     if contact_raw is not None:
@@ -169,6 +182,8 @@ def populate(users: DataFrame, core_raw: DataFrame | None, contact_raw: DataFram
     a field of that family (a left-semi join).  Worth it when few users need
     events: AQE then broadcasts the small id set and the fold reads far less.
     """
+    if core_raw is None and contact_raw is None:
+        return users.select("id", *FIELD_ORDER)
     if only_needed:
         need_core = users.where(F.col("otherId").isNull() | F.col("username").isNull()).select("id")
         need_contact = users.where(F.col("verifiedPhone").isNull()).select("id")
@@ -198,7 +213,8 @@ def ordered_events(raw: DataFrame, family: str, on_bad: str = "fail") -> DataFra
     with its 1-based position ``seq`` in the user's sequence.  Computed
     without gathering a user's events in one task (see ``rank_within``)."""
     ev = relevant(parse_events(raw, family, on_bad), family)
-    return rank_within(ev, ["id"], ["time_ms", "ticks", "time"])
+    props = [f"set_{f.name}" for f in FAMILIES[family][0].fields]
+    return rank_within(ev.select("id", "time", "time_ms", "ticks", "rem", *props), ["id"], ["time_ms", "ticks", "time"])
 
 
 def event_pages(raw: DataFrame, family: str, page_size: int = 1000, on_bad: str = "fail") -> DataFrame:
@@ -248,6 +264,8 @@ def populate_from_pages(users: DataFrame, core_pages: DataFrame | None, contact_
     """E8 through the list form: fold every page, then keep per field the
     value of the last page that touched it.  Equal to ``populate``."""
     parts = [fold_pages(p, fam) for p, fam in ((core_pages, "core"), (contact_pages, "contact")) if p is not None]
+    if not parts:
+        return users.select("id", *FIELD_ORDER)
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p)

@@ -32,19 +32,24 @@ def mock_ids(n: int | DataFrame, spark=None, inclusive_end: bool = False) -> Dat
 
 def seed_core_events(users: DataFrame, n_events: int, anchor_ms: int, max_days: int = 100,
                      seed: int = 17) -> DataFrame:
-    """``n_events`` core events per user id, each at ``anchor_ms`` minus a
-    random 1..``max_days`` days; the payload `$set` carries only the id, and
-    the other envelope fields keep their defaults.  Output ``(id, time,
-    payload)`` ready to append to an event table."""
+    """``n_events`` core events per user id, each at ``anchor_ms`` minus 1 to
+    ``max_days`` days; the payload `$set` carries only the id, and the other
+    envelope fields keep their defaults.  Output ``(id, time, payload)`` ready to
+    append to an event table.
+
+    The day comes from a hash of seed, id and event number, so the same call
+    gives the same rows however its input is partitioned or retried."""
     ev = users.select("id", F.explode(F.sequence(F.lit(0), F.lit(n_events - 1))).alias("event_no"))
-    days = (F.floor(F.rand(seed) * max_days) + 1).cast("bigint")
+    draw = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("id"), F.col("event_no").cast("string")))
+    days = F.pmod(F.conv(F.substring(draw, 1, 8), 16, 10).cast("bigint"), F.lit(max_days)) + 1
     ev = ev.withColumn("_ms", F.lit(anchor_ms).cast("bigint") - days * F.lit(DAY_MS))
     payload = F.to_json(F.struct(
         F.array().cast("array<string>").alias("$rem"), F.lit("").alias("model"), F.col("id").alias("id"),
         F.col("_ms").alias("time"), F.lit("").alias("source"),
         F.struct(F.col("id").alias("id")).alias("$set"), F.lit(1).alias("version"),
         F.lit(False).alias("snapshot")))
-    # Distinct uuids for events of one instant: a hash of the id goes to the
-    # node bits and the event number to the clock bits.
-    time = timeuuid_from_millis(F.col("_ms"), node=F.xxhash64(F.col("id")), clock_seq=F.col("event_no"))
+    # Distinct uuids for a user's events of one instant: the event number fills
+    # the 48 node bits, a hash of the id the clock bits.
+    clock = F.conv(F.substring(F.md5(F.col("id")), 1, 4), 16, 10).cast("bigint")
+    time = timeuuid_from_millis(F.col("_ms"), node=F.col("event_no"), clock_seq=clock)
     return ev.select("id", time.alias("time"), payload.alias("payload"))

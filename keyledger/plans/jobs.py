@@ -5,14 +5,12 @@ arguments.  Event tables are passed as DataFrames of ``(id, time, payload)``
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyledger import schemas
 from keyledger.operators import batches, events, generate, ids, index, objects
-from keyledger.session import drop_staged, stage
+from keyledger.session import stage, staging
 from keyledger.sinks import writers
 from keyledger.sources import tables
 from keyledger.streaming import live_insert as live
@@ -46,23 +44,33 @@ def seed_extract_verify(spark: SparkSession, n_users: int, table_dir: str, text_
 
 
 def live_extraction_compare(spark: SparkSession, n_users: int, base_dir: str, rows_per_batch: int,
-                            batches_during: int = 2, seed: int = 7) -> dict:
-    """Seed and extract (J3), then insert new users through a stream while
-    extracting again, and compare: ids of the first extraction missing from
-    the second (expected none), distinct counts of both, and their
-    difference.  Each extraction is written to its own directory."""
-    first = seed_extract_verify(spark, n_users, f"{base_dir}/events", f"{base_dir}/ids-1", seed)
-    live.insert_batches(spark, n_users, f"{base_dir}/inserted", f"{base_dir}/checkpoint", rows_per_batch,
-                        batches_during)
-    current = spark.read.parquet(f"{base_dir}/events").unionByName(
-        live.read_inserted(spark, f"{base_dir}/inserted").select("id", "time", "payload"))
-    extract_ids_to_text(current, f"{base_dir}/ids-2")
+                            batches_during: int = 2, seed: int = 7, trigger_seconds: float = 1.0,
+                            watch=None) -> dict:
+    """Seed and extract (J3), start inserting new users into the same event
+    table, extract again while the inserts go on, stop them, and compare.
+
+    The second extraction starts once ``batches_during`` batches are in and runs
+    with the stream active (``watch``, if given, is called with the running query
+    right after it).  ``lost`` is a frame of the ids that the first extraction
+    found and the second did not (expected: none)."""
+    table = f"{base_dir}/events"
+    first = seed_extract_verify(spark, n_users, f"{table}/batch_id=-1", f"{base_dir}/ids-1", seed)
+    query = live.start_live_insert(spark, n_users, table, f"{base_dir}/checkpoint", rows_per_batch,
+                                   trigger_seconds=trigger_seconds)
+    try:
+        live.await_batches(query, batches_during)
+        extract_ids_to_text(live.event_table(spark, table), f"{base_dir}/ids-2")
+        active = query.isActive
+        if watch is not None:
+            watch(query)
+    finally:
+        query.stop()
     one = tables.read_text_lines(spark, f"{base_dir}/ids-1", "id")
     two = tables.read_text_lines(spark, f"{base_dir}/ids-2", "id")
-    lost = ids.extraction_diff(one, two).count()
     n1 = one.agg(F.count_distinct("id")).collect()[0][0]
     n2 = two.agg(F.count_distinct("id")).collect()[0][0]
-    return {"first": first, "ids_first": n1, "ids_second": n2, "new_ids": n2 - n1, "lost_ids": lost}
+    return {"first": first, "ids_first": n1, "ids_second": n2, "new_ids": n2 - n1, "stream_active": active,
+            "lost": ids.extraction_diff(one, two)}
 
 
 def _fields(core: DataFrame, contact: DataFrame | None, on_bad: str) -> DataFrame:
@@ -73,12 +81,10 @@ def generate_index(spark: SparkSession, core: DataFrame, contact: DataFrame | No
                    lookup_dir: str, on_bad: str = "fail") -> dict:
     """Fold the logs into current fields, build both index tables and
     upsert them as new versions."""
-    f = _fields(core, contact, on_bad)
-    try:
+    with staging(spark):
+        f = _fields(core, contact, on_bad)
         return {"index": writers.upsert_table(spark, index_dir, index.index_rows(f), ["key"]),
                 "lookup": writers.upsert_table(spark, lookup_dir, index.lookup_rows(f), ["id", "key"])}
-    finally:
-        drop_staged(f)
 
 
 def _try_read(spark: SparkSession, table_dir: str, schema) -> DataFrame | None:
@@ -99,16 +105,14 @@ def generate_and_audit(spark: SparkSession, core: DataFrame, contact: DataFrame
                        on_bad: str = "fail") -> dict:
     """J5 into new tables, plus the audit of the old tables against the
     folded fields, written as ``id, status x 6`` text lines."""
-    f = _fields(core, contact, on_bad)
-    old_i = _try_read(spark, old_index_dir, schemas.UNIQUENESS_INDEX)
-    old_l = _try_read(spark, old_lookup_dir, schemas.UNIQUENESS_LOOKUP)
-    status = index.audit(f, old_i, old_l)
-    try:
+    with staging(spark):
+        f = _fields(core, contact, on_bad)
+        old_i = _try_read(spark, old_index_dir, schemas.UNIQUENESS_INDEX)
+        old_l = _try_read(spark, old_lookup_dir, schemas.UNIQUENESS_LOOKUP)
+        status = index.audit(f, old_i, old_l, unique=True)  # upserted tables have one row per key
         return {"index": writers.upsert_table(spark, new_index_dir, index.index_rows(f), ["key"]),
                 "lookup": writers.upsert_table(spark, new_lookup_dir, index.lookup_rows(f), ["id", "key"]),
                 "report": writers.write_text(index.status_lines(status), report_path)}
-    finally:
-        drop_staged(f)
 
 
 def populate_and_write(spark: SparkSession, core: DataFrame, contact: DataFrame | None, index_dir: str,
@@ -117,17 +121,19 @@ def populate_and_write(spark: SparkSession, core: DataFrame, contact: DataFrame
     return generate_index(spark, core, contact, index_dir, lookup_dir, on_bad)
 
 
-def send_ids(core: DataFrame, outbox: str, mode: str = "queue", n_buckets: int | None = None) -> str:
+def send_ids(core: DataFrame, outbox: str, run_id: str, mode: str = "queue",
+             n_buckets: int = batches.N_BUCKETS) -> str:
     """Distinct ids cut into topic messages or queue entries, written to
-    a JSON outbox for the sender."""
-    u = ids.distinct_ids(core)
-    if mode == "topic":
-        m = batches.topic_messages(u, n_buckets=n_buckets).drop("ids")
-    elif mode == "queue":
-        m = batches.queue_messages(u, n_buckets=n_buckets)
-    else:
-        raise ValueError("mode is 'topic' or 'queue'")
-    return writers.write_outbox(m, outbox)
+    the run's folder of a JSON outbox for the sender."""
+    with staging(core.sparkSession):
+        u = ids.distinct_ids(core)
+        if mode == "topic":
+            m = batches.topic_messages(u, n_buckets=n_buckets).drop("ids")
+        elif mode == "queue":
+            m = batches.queue_messages(u, n_buckets=n_buckets, run_id=run_id)
+        else:
+            raise ValueError("mode is 'topic' or 'queue'")
+        return writers.write_outbox(m, outbox, run_id)
 
 
 def connector_roundtrip(spark: SparkSession, kv: DataFrame, users: DataFrame, base_dir: str,
@@ -142,6 +148,3 @@ def connector_roundtrip(spark: SparkSession, kv: DataFrame, users: DataFrame, ba
     return {"kv_count": agg.n, "kv_sum": agg.s, "users": u.count(),
             "matching_first_name": u.where(F.col("firstName") == first_name).count()}
 
-
-def rows_per_batch_for(n_users: int, batches_: int) -> int:
-    return max(1, math.ceil(n_users / max(1, batches_)))

@@ -4,7 +4,9 @@ given tables.  Column names equal those of the Spark queries."""
 from __future__ import annotations
 
 from keyledger.functions.constants import FIELDS, FIELD_ORDER, UUID_EPOCH_OFFSET
-from keyledger.plans.queries import BATCH_BUCKETS, MOCK_OLD, OLD_CUT
+from keyledger.plans.queries import (
+    BATCH_BUCKETS, ENTRY_IDS, MERGE_PAGE, MOCK_OLD, OLD_CUT, RUN_ID, SEED_ANCHOR_MS, SEED_EVENTS,
+)
 
 CORE = "('signup','purchase','error')"
 
@@ -109,15 +111,14 @@ def _partial_sql() -> str:
 
 
 def _merge_sql() -> str:
-    rows = _index(_pop())
-    k = f"""SELECT value AS id,
+    k = f"""SELECT value AS id, (row_number() OVER (PARTITION BY value ORDER BY key) - 1) // {MERGE_PAGE} AS page,
   CASE WHEN contains(key, '{FIELDS['otherId'][2]}') THEN 'otherId'
        WHEN contains(key, '{FIELDS['username'][2]}') THEN 'username'
        WHEN contains(key, '{FIELDS['verifiedPhone'][2]}') THEN 'verifiedPhone' END AS field,
-  split_part(key, ':', -1) AS v FROM ({rows})"""
+  split_part(key, ':', -1) AS v FROM ({_upsert_index_sql()})"""
     aggs = [f"coalesce(string_agg(v, ',' ORDER BY v) FILTER (WHERE field = '{f}'), '') AS {n}"
             for f, n in [("otherId", "other_ids"), ("username", "usernames"), ("verifiedPhone", "verified_phones")]]
-    return f"SELECT id, {', '.join(aggs)} FROM ({k}) GROUP BY id"
+    return f"SELECT id, page, {', '.join(aggs)} FROM ({k}) GROUP BY id, page"
 
 
 def _batches(per_request: bool) -> str:
@@ -132,6 +133,66 @@ def _batches(per_request: bool) -> str:
   CAST(bucket AS VARCHAR) || '-' || CAST(batch_no AS VARCHAR) AS entry_id, n_ids, body FROM ({g})"""
 
 
+def _requests_sql() -> str:
+    h = f"md5(concat_ws('|', '{RUN_ID}', bucket, entry_no))"
+    entry_id = f"concat_ws('-', {h}[1:8], {h}[9:12], {h}[13:16], {h}[17:20], {h}[21:32])"
+    r = f"""SELECT user_id % {BATCH_BUCKETS} AS bucket, 'mock:id:'||user_id AS id,
+  row_number() OVER (PARTITION BY user_id % {BATCH_BUCKETS} ORDER BY 'mock:id:'||user_id) AS seq
+  FROM ({_users(None)})"""
+    e = f"""SELECT bucket, (seq - 1) // {ENTRY_IDS} AS entry_no, count(*) AS n,
+  '[' || string_agg('"' || id || '"', ',' ORDER BY seq) || ']' AS body FROM ({r}) GROUP BY 1, 2"""
+    return f"""SELECT bucket, entry_no // 10 AS request_no, sum(n)::BIGINT AS n_ids, count(*) AS n_entries,
+  string_agg({entry_id} || ' ' || body, chr(10) ORDER BY entry_no) AS entries FROM ({e}) GROUP BY 1, 2"""
+
+
+def _seed_sql(users: str, n_events: int, seed: int) -> str:
+    day = f"(('0x' || md5(concat_ws('|', '{seed}', id, n))[1:8])::BIGINT % 100 + 1)"
+    t = f"(ms * 10000 + {UUID_EPOCH_OFFSET})"
+    return f"""SELECT id, printf('%08x-%04x-%04x-%04x-%012x', {t} & 4294967295, ({t} >> 32) & 65535,
+  (({t} >> 48) & 4095) | 4096, (('0x' || md5(id)[1:4])::BIGINT & 16383) | 32768, n) AS time,
+  '{{"$rem":[],"model":"","id":"' || id || '","time":' || ms || ',"source":"","$set":{{"id":"' || id ||
+  '"}},"version":1,"snapshot":false}}' AS payload
+  FROM (SELECT id, n, {SEED_ANCHOR_MS} - {day} * 86400000 AS ms
+        FROM ({users}), (SELECT unnest(range({n_events})) AS n))"""
+
+
+def _lenient(cols: str) -> str:
+    """The loose core log's rows: the values its payloads stand for."""
+    return f"""SELECT {cols} FROM (SELECT *, CASE event_id % 7 WHEN 5 THEN 0 WHEN 6 THEN 0
+    ELSE (epoch_us(ts) // 1000) // 3600000 * 3600000 END AS time_ms
+  FROM events WHERE event_type IN {CORE} AND event_id % 11 <> 0)"""
+
+
+def _lenient_fold_sql() -> str:
+    order = "(time_ms, ts, event_id)"
+    fold = f"""SELECT user_id,
+  max_by(struct_pack(v := CASE WHEN event_type='signup' THEN 'mock:otherId:'||(event_id%400) END), {order})
+    FILTER (event_type='signup' OR (event_type='error' AND event_id%2=0)) AS o,
+  max_by(struct_pack(v := CASE WHEN event_type IN ('signup','purchase') THEN
+    CASE WHEN event_id % 13 = 0 THEN '' ELSE 'mock:username:'||event_id END END), {order})
+    FILTER (event_type IN ('signup','purchase') OR (event_type='error' AND event_id%2=1)) AS n
+  FROM ({_lenient('*')}) GROUP BY 1"""
+    return f"""SELECT 'mock:id:'||u.user_id AS id, f.o.v AS "otherId", f.n.v AS username
+  FROM ({_users(None)}) u LEFT JOIN ({fold}) f USING (user_id)"""
+
+
+def _lenient_fields_sql() -> str:
+    t = f"(epoch_us(ts) * 10 + {UUID_EPOCH_OFFSET})"
+    return _lenient(f"""'mock:id:'||user_id AS id,
+  printf('%08x-%04x-%04x-%04x-%012x', {t} & 4294967295, ({t} >> 32) & 65535, (({t} >> 48) & 4095) | 4096, 32768, event_id) AS time,
+  time_ms, ['m', 'null', '7'][event_id % 3 + 1] AS model, ['null', 's'][event_id % 2 + 1] AS source,
+  [1, 2, 0, 3][event_id % 4 + 1] AS version, [true, true, false, true, false][event_id % 5 + 1] AS snapshot""")
+
+
+def _objects_sql() -> str:
+    ids = f"SELECT DISTINCT user_id, 'mock:id:'||user_id AS id FROM events WHERE event_type IN {CORE}"
+    content = "content AS content, base64(unhex(md5(content))) AS content_md5, strlen(content) AS content_length"
+    return f"""WITH new AS ({ids} AND user_id % 2 = 0), old AS ({ids} AND ts < TIMESTAMP '{OLD_CUT}')
+SELECT 'output/id/' || id AS object_key, {content} FROM (
+  SELECT id, 'new:' || id AS content FROM new
+  UNION ALL SELECT id, 'old:' || id FROM old WHERE id NOT IN (SELECT id FROM new))"""
+
+
 def _timeuuid_sql() -> str:
     t = f"((epoch_us(ts) // 1000) * 10000 + {UUID_EPOCH_OFFSET})"
     return f"""SELECT event_id, (epoch_us(ts) // 1000) AS time_ms,
@@ -184,7 +245,8 @@ SELECT id, day FROM a WHERE NOT EXISTS (SELECT 1 FROM a b WHERE b.id = a.id AND
     "populate_write": f"""SELECT 'index' AS target, CAST(NULL AS VARCHAR) AS id, key, value FROM ({_upsert_index_sql()})
 UNION ALL SELECT 'lookup' AS target, id, key, value FROM ({_upsert_lookup_sql()})""",
     "uniqueness_fields_merge": _merge_sql(),
-    "clean_key": f"SELECT key, replace(key, '''', '''''') AS cleaned FROM ({_index(_pop())})",
+    "clean_key": f"""SELECT key, replace(key, '''', '''''') AS cleaned
+  FROM (SELECT key || '''s ' || repeat('''', length(value) % 3) AS key FROM ({_index(_pop())}))""",
     "keyed_objects": _core("'output/id/mock:id:'||user_id AS object_key, max('mock:id:'||user_id) AS content, "
                            "base64(unhex(md5(max('mock:id:'||user_id)))) AS content_md5, "
                            "strlen(max('mock:id:'||user_id)) AS content_length") + " GROUP BY 1",
@@ -199,4 +261,27 @@ SELECT least(event_id // greatest(c.n // 3, 1), 2) AS chunk, count(*) AS n_rows,
     "text_roundtrip": _core("DISTINCT 'mock:id:'||user_id AS id"),
     "live_insert": f"""WITH c AS (SELECT count(DISTINCT user_id) AS n FROM events WHERE event_type IN {CORE})
 SELECT 'mock:id:' || (n + v % n) AS id, v AS seq_no FROM (SELECT n, unnest(range(3 * ((n + 2) // 3))) AS v FROM c)""",
+    "populate_only_needed": _partial_sql(),
+    "queue_requests": _requests_sql(),
+    "object_upsert": _objects_sql(),
+    "upsert_versions": _upsert_lookup_sql(),
+    "epoch_roundtrip": "SELECT event_id, epoch_us(ts) // 1000 AS time_ms, epoch_us(ts) // 1000 AS ms_back FROM events",
+    "registered_tables": f"""SELECT CASE WHEN event_type IN {CORE} THEN 'core' ELSE 'contact' END AS family,
+  'mock:id:'||user_id AS id, count(*) AS n_events
+  FROM events WHERE event_type IN ('signup','purchase','error','view','click') GROUP BY 1, 2""",
+    "lenient_payloads": _lenient_fold_sql(),
+    "lenient_fields": _lenient_fields_sql(),
+    "seed_events": _seed_sql(_core("DISTINCT 'mock:id:'||user_id AS id"), SEED_EVENTS, 17),
+    "live_compare": f"SELECT count(DISTINCT user_id) AS ids_first, 0::BIGINT AS lost_ids, true AS found_new, "
+                    f"true AS stream_active FROM events WHERE event_type IN {CORE}",
+    "job_ids_text": _core("DISTINCT 'mock:id:'||user_id AS id"),
+    "job_ids_objects": _core("DISTINCT 'output/id/mock:id:'||user_id AS object_key, 0::BIGINT AS content_length"),
+    "job_seed_verify": f"""WITH c AS (SELECT count(DISTINCT user_id) AS n FROM events WHERE event_type IN {CORE})
+SELECT 'mock:id:' || unnest(range(n)) AS id, (n * {SEED_EVENTS})::INT AS events, n::INT AS ids_read_back FROM c""",
+    "job_generate_index": _dedup_index(_index(_pop(OLD_CUT))),
+    "job_audit_report": _status_csv_sql(),
+    "job_populate_write": _upsert_lookup_sql(),
+    "job_send_ids": f"SELECT id FROM ({_core("DISTINCT 'mock:id:'||user_id AS id")}), (SELECT unnest([1, 2]))",
+    "job_roundtrip": """SELECT count(*) AS n_customers, count(*) AS kv_count, sum(c_nationkey)::BIGINT AS kv_sum,
+  count(*) AS users, count(*) FILTER (c_mktsegment = 'BUILDING') AS matching_first_name FROM customer""",
 }

@@ -15,8 +15,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from keyledger import schemas
 from keyledger.functions import columns as C
 from keyledger.operators import batches, events, generate, ids, index, objects
+from keyledger.plans import jobs
 from keyledger.session import scratch_path, stage_all
 from keyledger.sinks import writers
 from keyledger.sources import eventlog, tables
@@ -26,6 +28,10 @@ OLD_CUT = "2024-01-29"
 BATCH_BUCKETS = 2
 MOCK_OLD = "mock:old:value"
 PAGE_SIZE = 16  # events per page in populate_arrays: small, so users span several pages
+MERGE_PAGE = 2  # keys per page in uniqueness_fields_merge: small, so owners span several pages
+ENTRY_IDS = 5   # ids per queue entry in queue_requests: small, so a bucket needs several requests
+RUN_ID = "run-1"
+INSERT_START_MS = 1_704_067_200_000
 SEED_EVENTS = generate.events_per_user(42)
 SEED_ANCHOR_MS = 1_706_745_600_000  # 2024-02-01T00:00:00Z
 
@@ -136,13 +142,22 @@ def q_populate_arrays(spark, sf):
 
 def q_populate_partial(spark, sf):
     core, contact = _logs(spark, sf)
+    return events.populate(_partial_users(core), core, contact)
+
+
+def _partial_users(core):
     n = _user_num("id")
-    users = ids.distinct_ids(core).select(
+    return ids.distinct_ids(core).select(
         "id",
         F.when(n % 3 == 0, F.lit(MOCK_OLD)).alias("otherId"),
         F.when(n % 5 == 0, F.lit(MOCK_OLD)).alias("username"),
         F.when(n % 2 == 0, F.lit(MOCK_OLD)).alias("verifiedPhone"))
-    return events.populate(users, core, contact)
+
+
+def q_populate_only_needed(spark, sf):
+    # The events of users that miss nothing of a family are not folded.
+    core, contact = _logs(spark, sf)
+    return events.populate(_partial_users(core), core, contact, only_needed=True)
 
 
 # ------------------------------------------------------------------ index
@@ -203,14 +218,17 @@ def q_populate_write(spark, sf):
 
 
 def q_uniqueness_fields_merge(spark, sf):
-    u = index.uniqueness_fields(index.index_rows(_pop(spark, sf)))
-    return u.select("id", *[F.array_join(c, ",").alias(n) for c, n in
+    # The upserted index keeps stale keys, so owners hold several keys of a kind.
+    u = index.uniqueness_fields(_index_upsert(_pop(spark, sf), _pop(spark, sf, OLD_CUT)), MERGE_PAGE)
+    return u.select("id", "page", *[F.array_join(c, ",").alias(n) for c, n in
                             [("otherIds", "other_ids"), ("usernames", "usernames"),
                              ("verifiedPhones", "verified_phones")]])
 
 
 def q_clean_key(spark, sf):
-    idx = index.index_rows(_pop(spark, sf))
+    # Values as users type them: with quotes, single and doubled.
+    key = F.concat("key", F.lit("'s "), F.repeat(F.lit("'"), F.length("value") % 3))
+    idx = index.index_rows(_pop(spark, sf)).select(key.alias("key"))
     return idx.select("key", C.clean_key(F.col("key")).alias("cleaned"))
 
 
@@ -223,20 +241,46 @@ def q_keyed_objects(spark, sf):
 
 def q_topic_batches(spark, sf):
     core, _ = _logs(spark, sf)
-    m = batches.topic_messages(ids.distinct_ids(core), bucket=_batch_bucket(), n_buckets=BATCH_BUCKETS)
+    m = batches.topic_messages(ids.distinct_ids(core), bucket=_batch_bucket())
     return m.select("bucket", "batch_no", "n_ids", "body")
 
 
 def q_queue_batches(spark, sf):
     core, _ = _logs(spark, sf)
-    return batches.queue_messages(ids.distinct_ids(core), bucket=_batch_bucket(), n_buckets=BATCH_BUCKETS)
+    return batches.queue_messages(ids.distinct_ids(core), bucket=_batch_bucket())
 
 
 def q_batch_readback(spark, sf):
     core, _ = _logs(spark, sf)
-    msgs = batches.queue_messages(ids.distinct_ids(core), bucket=_batch_bucket(), n_buckets=BATCH_BUCKETS)
-    path = writers.write_outbox(msgs.select("entry_id", "body"), scratch_path(spark, "outbox"))
-    return tables.read_message_ids(spark, path).distinct()
+    msgs = batches.queue_messages(ids.distinct_ids(core), bucket=_batch_bucket())
+    path = writers.write_outbox(msgs.select("entry_id", "body"), scratch_path(spark, "outbox"), RUN_ID)
+    return tables.read_message_ids(spark, path)
+
+
+def q_queue_requests(spark, sf):
+    core, _ = _logs(spark, sf)
+    msgs = batches.queue_messages(ids.distinct_ids(core), batch_size=ENTRY_IDS, bucket=_batch_bucket(), run_id=RUN_ID)
+    r = batches.queue_requests(msgs)
+    return r.select("bucket", "request_no", "n_ids", F.size("entries").cast("bigint").alias("n_entries"),
+                    F.array_join(F.transform("entries", lambda e: F.concat_ws(" ", e["entry_id"], e["body"])), "\n").alias("entries"))
+
+
+def q_object_upsert(spark, sf):
+    # Objects of the log as it stood at the cut, then of the whole log: an id's
+    # object is replaced where it is put again, and the others stay.
+    path = scratch_path(spark, "objects")
+    for name, cut in (("old", OLD_CUT), ("new", None)):
+        core, _ = _logs(spark, sf, cut)
+        part = core if name == "old" else core.where(_user_num() % 2 == 0)
+        writers.write_objects(objects.keyed_objects(part, content=F.concat(F.lit(f"{name}:"), F.col("id"))), path)
+    return writers.read_objects(spark, path)
+
+
+def q_upsert_versions(spark, sf):
+    path = scratch_path(spark, "versions")
+    for cut in (OLD_CUT, None):
+        writers.upsert_table(spark, path, index.lookup_rows(_pop(spark, sf, cut)), ["id", "key"])
+    return writers.read_latest(spark, path, schemas.UNIQUENESS_LOOKUP)
 
 
 # ------------------------------------------------------------------ scalar functions
@@ -273,8 +317,132 @@ def q_table_roundtrip(spark, sf):
 
 def q_text_roundtrip(spark, sf):
     core, _ = _logs(spark, sf)
-    path = writers.write_text(ids.distinct_ids(core), scratch_path(spark, "ids"), "id")
-    return tables.read_text_lines(spark, path, "id").distinct()
+    path = scratch_path(spark, "ids")
+    writers.write_text(core.select("id"), path, "id")        # B8: cleared by the write that follows
+    writers.write_text(ids.distinct_ids(core), path, "id")
+    return tables.read_text_lines(spark, path, "id")
+
+
+def q_epoch_roundtrip(spark, sf):
+    # Time uuid -> timestamp -> epoch milliseconds -> timestamp.
+    ms = C.ntz_epoch_millis(F.col("ts"))
+    t = C.timeuuid_timestamp(C.timeuuid_from_millis(ms, node=F.col("event_id")))
+    return _events(spark, sf).select("event_id", C.to_epoch_millis(t).alias("time_ms"),
+                                     C.to_epoch_millis(C.from_epoch_millis(ms)).alias("ms_back"))
+
+
+def q_registered_tables(spark, sf):
+    # Event tables created empty, filled, read by logical name.
+    base = scratch_path(spark, "registry")
+    registry = tables.TableRegistry()
+    for family, log in zip(("core", "contact"), _logs(spark, sf), strict=True):
+        path = f"{base}/{family}"
+        writers.create_table(spark, schemas.RAW_EVENT, path)
+        writers.append(log, path)
+        registry.add(tables.TableRef("identity", f"{family}_events", path))
+    names = tables.from_rows(spark, [("core",), ("contact",)], schemas.T.StructType([schemas.T.StructField("family", schemas.S)]))
+    counts = None
+    for family in ("core", "contact"):
+        n = registry.read(spark, "identity", f"{family}_events").groupBy("id").agg(F.count(F.lit(1)).alias("n_events"))
+        n = n.withColumn("family", F.lit(family))
+        counts = n if counts is None else counts.unionByName(n)
+    return names.join(counts, "family").select("family", "id", "n_events")
+
+
+def q_lenient_payloads(spark, sf):
+    # S8 over a log whose payloads vary: times as numbers, decimals, exponents,
+    # text and null, missing payloads (C4), events that remove and set one field
+    # (K1), events of equal time (K2), empty text (K10), null scalars.
+    ev = _events(spark, sf).where(F.col("event_type").isin(*eventlog.CORE_TYPES))
+    core = eventlog.lenient_core_log(ev)
+    return events.populate_from_logs(core, None).select("id", "otherId", "username")
+
+
+def q_lenient_fields(spark, sf):
+    ev = _events(spark, sf).where(F.col("event_type").isin(*eventlog.CORE_TYPES))
+    p = events.parse_events(eventlog.lenient_core_log(ev), "core")
+    return p.select("id", "time", "time_ms", "model", "source", "version", "snapshot")
+
+
+# ------------------------------------------------------------------ jobs
+
+def _job_dir(spark, name):
+    return scratch_path(spark, f"job-{name}")
+
+
+def q_job_ids_text(spark, sf):  # J1
+    core, _ = _logs(spark, sf)
+    return tables.read_text_lines(spark, jobs.extract_ids_to_text(core, _job_dir(spark, "ids-text")), "id")
+
+
+def q_job_ids_objects(spark, sf):  # J2
+    core, _ = _logs(spark, sf)
+    path = _job_dir(spark, "ids-objects")
+    jobs.extract_ids_to_objects(core, path)
+    return writers.read_objects(spark, path).select("object_key", "content_length")
+
+
+def q_job_seed_verify(spark, sf):  # J3
+    core, _ = _logs(spark, sf)
+    n = ids.distinct_ids(core).count()
+    base = _job_dir(spark, "seed")
+    r = jobs.seed_extract_verify(spark, n, f"{base}/events", f"{base}/ids", seed=42)
+    back = tables.read_text_lines(spark, f"{base}/ids", "id")
+    return back.select("id", F.lit(r["events"]).alias("events"), F.lit(r["ids_read_back"]).alias("ids_read_back"))
+
+
+def q_live_compare(spark, sf):  # J4, F2
+    core, _ = _logs(spark, sf)
+    n = ids.distinct_ids(core).count()
+    r = jobs.live_extraction_compare(spark, n, _job_dir(spark, "live"), max(1, n // 3), batches_during=1)
+    none = r["lost"].agg(F.count(F.lit(1)).alias("lost_ids"))
+    return none.select(F.lit(r["ids_first"]).cast("bigint").alias("ids_first"), "lost_ids",
+                       F.lit(r["new_ids"] > 0).alias("found_new"), F.lit(r["stream_active"]).alias("stream_active"))
+
+
+def _job_indexes(spark, sf, name):
+    base = _job_dir(spark, name)
+    core, contact = _logs(spark, sf, OLD_CUT)
+    jobs.generate_index(spark, core, contact, f"{base}/index", f"{base}/lookup")
+    return base
+
+
+def q_job_generate_index(spark, sf):  # J5
+    return writers.read_latest(spark, f"{_job_indexes(spark, sf, 'index')}/index", schemas.UNIQUENESS_INDEX)
+
+
+def q_job_audit_report(spark, sf):  # J6
+    base = _job_indexes(spark, sf, "audit")
+    core, contact = _logs(spark, sf)
+    out = jobs.generate_and_audit(spark, core, contact, f"{base}/index", f"{base}/lookup", f"{base}/new-index",
+                                  f"{base}/new-lookup", f"{base}/report")
+    return tables.read_text_lines(spark, out["report"], "line")
+
+
+def q_job_populate_write(spark, sf):  # J7
+    base = _job_indexes(spark, sf, "populate")
+    core, contact = _logs(spark, sf)
+    jobs.populate_and_write(spark, core, contact, f"{base}/index", f"{base}/lookup")
+    return writers.read_latest(spark, f"{base}/lookup", schemas.UNIQUENESS_LOOKUP)
+
+
+def q_job_send_ids(spark, sf):  # J8
+    core, _ = _logs(spark, sf)
+    path = _job_dir(spark, "send")
+    jobs.send_ids(core, path, "a", "topic")
+    jobs.send_ids(core, path, "b", "queue")  # another run: the first one's messages stay
+    return tables.read_message_ids(spark, path)
+
+
+def q_job_roundtrip(spark, sf):  # J9
+    cust = tables.read_parquet_table(spark, sf, "customer")
+    kv = cust.select(F.col("c_name").alias("key"), F.col("c_nationkey").cast("int").alias("value"))
+    users = cust.select(F.col("c_custkey").cast("string").alias("id"), F.col("c_mktsegment").alias("firstName"),
+                        F.col("c_name").alias("lastName"))
+    r = jobs.connector_roundtrip(spark, kv, users, _job_dir(spark, "roundtrip"), "BUILDING")
+    one = cust.agg(F.count(F.lit(1)).alias("n_customers"))
+    return one.select("n_customers", *[F.lit(r[k]).cast("bigint").alias(k)
+                                       for k in ("kv_count", "kv_sum", "users", "matching_first_name")])
 
 
 # ------------------------------------------------------------------ generation, streaming
@@ -289,7 +457,7 @@ def q_live_insert(spark, sf):
     n = ids.distinct_ids(core).count()  # one scalar: the number of existing users
     per_batch = math.ceil(n / 3)
     target = scratch_path(spark, "live")
-    live.insert_batches(spark, n, target + "/events", target + "/checkpoint", per_batch, 3)
+    live.insert_batches(spark, n, target + "/events", target + "/checkpoint", per_batch, 3, INSERT_START_MS)
     return live.read_inserted(spark, target + "/events").select("id", "seq_no")
 
 
@@ -326,4 +494,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "text_roundtrip": q_text_roundtrip,
     "seed_events": q_seed_events,
     "live_insert": q_live_insert,
+    "populate_only_needed": q_populate_only_needed,
+    "queue_requests": q_queue_requests,
+    "object_upsert": q_object_upsert,
+    "upsert_versions": q_upsert_versions,
+    "epoch_roundtrip": q_epoch_roundtrip,
+    "registered_tables": q_registered_tables,
+    "lenient_payloads": q_lenient_payloads,
+    "lenient_fields": q_lenient_fields,
+    "live_compare": q_live_compare,
+    "job_ids_text": q_job_ids_text,
+    "job_ids_objects": q_job_ids_objects,
+    "job_seed_verify": q_job_seed_verify,
+    "job_generate_index": q_job_generate_index,
+    "job_audit_report": q_job_audit_report,
+    "job_populate_write": q_job_populate_write,
+    "job_send_ids": q_job_send_ids,
+    "job_roundtrip": q_job_roundtrip,
 }

@@ -1,83 +1,59 @@
 """Session construction and the shared scratch folder.
 
 Jobs never invent a machine-local folder on a cluster: intermediate tables go
-under ``spark.checkpoint.dir``, which the cluster names.  Only when that
-setting is absent (local tests, the bench) do we create one under /tmp.
+under ``spark.checkpoint.dir``, which the cluster names.  Only a local-mode
+session that names none (a single machine) gets a fresh folder of its own.
 """
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import SparkSession
 
-_LOCAL_SCRATCH: dict[int, str] = {}
+_LOCAL_SCRATCH: dict[str, str] = {}
+_STAGED = threading.local()
 
 
-def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "keyledger",
-                  extra: dict | None = None) -> SparkSession:
-    """A session configured the way every job in this package expects.
-
-    UTC session time zone, AQE with partition coalescing and skew-join
-    splitting, no constraint propagation (see below), no UI server.
-    """
+def build_session(scratch: str, app: str = "keyledger", extra: dict | None = None) -> SparkSession:
+    """A session configured the way every job in this package expects: UTC
+    session time zone, AQE with partition coalescing and skew-join splitting, no
+    UI server, intermediate tables under ``scratch`` (a folder that all
+    executors share).  Master, memory and partition counts are the submitter's
+    (``spark-submit`` or ``extra``)."""
     builder = (
-        SparkSession.builder.master(master)
-        .appName(app)
+        SparkSession.builder.appName(app)
+        .config("spark.checkpoint.dir", scratch)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        # Inferred not-null filters on join keys copy the derived expressions
-        # behind those keys (time-uuid text and its parse, JSON) into the scan,
-        # so they run twice per row, and they make otherwise equal branches
-        # differ so Spark cannot reuse their shuffle.  The ids here are never
-        # null, so the inferred filters buy nothing.
-        .config("spark.sql.constraintPropagation.enabled", "false")
-        # Remove checkpoint files once nothing references them (rank_within
-        # checkpoints its numbered rows; they are not needed after the query).
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
-        .config("spark.driver.memory", "16g")
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_root(spark)
     return spark
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder for lineage cuts and intermediate tables.
-
-    Read from ``spark.checkpoint.dir`` (or a checkpoint directory already set
-    on the context).  Only a local-mode session (tests, single-node runs) may
-    fall back to a fresh folder under /tmp; on a cluster executors could not
-    share such a folder, so the setting is required there.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared folder for intermediate tables: ``spark.checkpoint.dir``.
+    Only a local-mode session may do without; on a cluster executors could not
+    share a folder of this machine, so the setting is required there."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if configured:
         return configured
     sc = spark.sparkContext
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    current = sc.getCheckpointDir()
-    if current:
-        # setCheckpointDir(d) makes d/<uuid>; intermediate tables go next to it.
-        return current.rstrip("/").rsplit("/", 1)[0]
     if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage (e.g. HDFS or an object store)")
-    key = id(sc)
-    if key not in _LOCAL_SCRATCH:
-        d = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        sc.setCheckpointDir(d)
-        _LOCAL_SCRATCH[key] = d
-    return _LOCAL_SCRATCH[key]
+    if sc.applicationId not in _LOCAL_SCRATCH:
+        _LOCAL_SCRATCH[sc.applicationId] = tempfile.mkdtemp(prefix="run-")
+    return _LOCAL_SCRATCH[sc.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -89,12 +65,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def stage(df, name: str):
     """Cut lineage: write ``df`` once as parquet under the checkpoint root and
     return a frame reading it back.  Used for a result that several outputs
-    read (the folded fields feed the index, the audit, the upsert and the
-    report), so the fold over the event log runs once, and a lost executor
-    costs a re-read instead of a re-fold."""
+    read, so a lost executor costs a re-read instead of computing it again."""
     path = scratch_path(df.sparkSession, name)
     df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    if (paths := getattr(_STAGED, "paths", None)) is not None:
+        paths.append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def stage_all(named: dict) -> dict:
@@ -108,14 +84,24 @@ def stage_all(named: dict) -> dict:
         return {k: f.result() for k, f in futures.items()}
 
 
-def drop_staged(df) -> None:
-    """Delete the files behind a frame returned by ``stage`` once every output
-    that reads it has been written."""
-    spark = df.sparkSession
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``scratch_path`` made."""
+    if not path.startswith(f"{checkpoint_root(spark).rstrip('/')}/keyledger/"):
+        raise ValueError(f"not a scratch folder: {path}")
     jvm = spark.sparkContext._jvm
-    conf = spark._jsparkSession.sessionState().newHadoopConf()
-    for path in df.inputFiles()[:1]:
-        parent = jvm.org.apache.hadoop.fs.Path(path).getParent()
-        root = checkpoint_root(spark).rstrip("/")
-        if "/keyledger/" in parent.toString() and root.split(":")[-1] in parent.toString():
-            parent.getFileSystem(conf).delete(parent, True)
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
+
+
+@contextlib.contextmanager
+def staging(spark: SparkSession):
+    """Delete, at the end, every table that this thread has staged meanwhile:
+    for jobs, which have written their outputs by then.  A frame returned to a
+    caller is read later, so what a query stages stays in the scratch folder."""
+    outer, _STAGED.paths = getattr(_STAGED, "paths", None), []
+    try:
+        yield
+    finally:
+        mine, _STAGED.paths = _STAGED.paths, outer
+        for path in mine:
+            drop_path(spark, path)

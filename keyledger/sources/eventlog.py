@@ -86,3 +86,39 @@ def event_logs(spark: SparkSession, sf_dir: str, before: str | None = None) -> t
     """(core, contact) raw event logs of the given ``events`` table."""
     events = read_parquet_table(spark, sf_dir, "events")
     return core_event_log(events, before), contact_event_log(events, before)
+
+
+def lenient_core_log(events: DataFrame) -> DataFrame:
+    """A core log as loose writers leave it, derived from core-type rows of
+    ``events``: payload text whose scalars vary with the event id.
+
+    time: cut to the hour (so events tie) and written as a number, a decimal, an
+    exponent, text, decimal text, null or other text; version as a number, a
+    decimal or null; model and source as text or null; snapshot as a boolean, its
+    text, a number or null; every eleventh payload missing.  A signup whose id
+    divides by five also removes the otherId it sets; a username whose event id
+    divides by thirteen is empty.
+    """
+    eid, et = F.col("event_id"), F.col("event_type")
+    whole = F.floor(ntz_epoch_millis(F.col("ts")) / F.lit(3_600_000)).cast("bigint") * F.lit(3_600_000)
+    n = whole.cast("string")
+    exponent = F.concat(F.floor(whole / F.lit(1000)).cast("string"), F.lit(".0E3"))
+    pick = lambda choices: F.element_at(F.array(*choices), (eid % len(choices) + 1).cast("int"))
+    time = pick([n, F.concat(n, F.lit(".0")), exponent, F.concat(F.lit('"'), n, F.lit('"')),
+                 F.concat(F.lit('"'), n, F.lit('.5"')), F.lit("null"), F.lit('"soon"')])
+    text = F.lit("")
+    other = F.when(et == "signup", F.concat(F.lit(f',"otherId":"{MOCK_OTHER_ID}'), (eid % 400).cast("string"), F.lit('"'))).otherwise(text)
+    user = (F.when(~et.isin("signup", "purchase"), text).when(eid % 13 == 0, F.lit(',"username":""'))
+            .otherwise(F.concat(F.lit(f',"username":"{MOCK_USERNAME}'), eid.cast("string"), F.lit('"'))))
+    rem = (F.when((et == "error") & (eid % 2 == 0), F.lit('"otherId"')).when(et == "error", F.lit('"username"'))
+           .when((et == "signup") & (eid % 5 == 0), F.lit('"otherId"')).otherwise(text))
+    id_col = F.concat(F.lit(MOCK_ID), F.col("user_id").cast("string"))
+    payload = F.concat(
+        F.lit('{"$rem":['), rem, F.lit('],"model":'), pick([F.lit('"m"'), F.lit("null"), F.lit("7")]),
+        F.lit(',"id":"'), id_col, F.lit('","time":'), time, F.lit(',"source":'), pick([F.lit("null"), F.lit('"s"')]),
+        F.lit(',"$set":{"id":"'), id_col, F.lit('"'), other, user, F.lit('},"version":'),
+        pick([F.lit("1"), F.lit("2.0"), F.lit("null"), F.lit('"3"')]), F.lit(',"snapshot":'),
+        pick([F.lit("true"), F.lit('"true"'), F.lit("0"), F.lit("2"), F.lit("null")]), F.lit("}"))
+    return events.select(
+        id_col.alias("id"), timeuuid_from_micros(ntz_epoch_micros(F.col("ts")), node=eid).alias("time"),
+        F.when(eid % 11 != 0, payload).alias("payload"))

@@ -43,18 +43,25 @@ def _append_batch(target: str):
     return write
 
 
+def event_table(spark: SparkSession, target: str) -> DataFrame:
+    """The event table as it is at this moment: batches committed later, or
+    being written, are not read."""
+    return spark.read.parquet(target).select("id", "time", "payload")
+
+
 def start_live_insert(spark: SparkSession, n_existing: int, target: str, checkpoint: str,
                       rows_per_batch: int, trigger_seconds: float | None = None,
-                      available_now: bool = False) -> StreamingQuery:
-    """Start appending new-user events to ``target``.
+                      available_now: bool = False, start_ms: int | None = None) -> StreamingQuery:
+    """Start appending new-user events to ``target``, dated from ``start_ms``
+    (default: now) and a trigger interval further with every batch.
 
     ``available_now``: run exactly one micro-batch of ``rows_per_batch`` rows
     and stop (bounded runs, tests).  Otherwise run every ``trigger_seconds``
     until stopped: ``rows_per_batch / trigger_seconds`` rows per second."""
     src = (spark.readStream.format("rate-micro-batch")
            .option("rowsPerBatch", int(rows_per_batch))
-           .option("startTimestamp", 1_704_067_200_000)  # fixed, so runs repeat
-           .option("advanceMillisPerBatch", 1000)
+           .option("startTimestamp", int(time.time() * 1000) if start_ms is None else start_ms)
+           .option("advanceMillisPerBatch", int(1000 * (trigger_seconds or 1)))
            .load())
     w = new_user_events(src, n_existing).writeStream.foreachBatch(_append_batch(target)) \
         .option("checkpointLocation", checkpoint)
@@ -63,20 +70,24 @@ def start_live_insert(spark: SparkSession, n_existing: int, target: str, checkpo
 
 
 def insert_batches(spark: SparkSession, n_existing: int, target: str, checkpoint: str,
-                   rows_per_batch: int, batches: int, timeout_s: float = 600) -> None:
+                   rows_per_batch: int, batches: int, start_ms: int | None = None) -> None:
     """Run ``batches`` micro-batches to completion, one after the other,
     resuming from the same checkpoint each time."""
-    deadline = time.time() + timeout_s
     for _ in range(batches):
-        q = start_live_insert(spark, n_existing, target, checkpoint, rows_per_batch, available_now=True)
-        q.awaitTermination(max(1.0, deadline - time.time()))
-        if q.isActive:
-            q.stop()
-            raise TimeoutError("live insert did not finish in time")
+        q = start_live_insert(spark, n_existing, target, checkpoint, rows_per_batch, available_now=True, start_ms=start_ms)
+        q.awaitTermination()
         if q.exception() is not None:
             raise q.exception()
 
 
+def await_batches(query: StreamingQuery, batches: int) -> None:
+    """Wait until a running insert has finished ``batches`` batches."""
+    while query.lastProgress is None or query.lastProgress["batchId"] < batches - 1:
+        if not query.isActive:
+            raise query.exception() or RuntimeError("the live insert was stopped")
+        time.sleep(0.1)
+
+
 def read_inserted(spark: SparkSession, target: str) -> DataFrame:
     """The events appended so far (``id, time, payload, seq_no, batch_id``)."""
     return spark.read.parquet(target)

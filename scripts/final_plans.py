@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import re
 import sys
+import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -19,8 +20,10 @@ from keyledger.session import build_session  # noqa: E402
 def main():
     args = sys.argv[1:]
     sf = args.pop(0) if args and args[0].startswith("/") else "/root/testdata/sf0.01"
-    extra = {"spark.sql.autoBroadcastJoinThreshold": "-1"} if os.environ.get("NO_BROADCAST") == "1" else None
-    spark = build_session(extra=extra)
+    extra = {"spark.master": "local[8]", "spark.sql.shuffle.partitions": "8"}
+    if os.environ.get("NO_BROADCAST") == "1":
+        extra["spark.sql.autoBroadcastJoinThreshold"] = "-1"
+    spark = build_session(tempfile.mkdtemp(prefix="run-"), extra=extra)
     verbose = os.environ.get("VERBOSE") == "1"
     for name in args or list(QUERIES):
         df = QUERIES[name](spark, sf)
@@ -29,11 +32,10 @@ def main():
         if "== Final Plan ==" in plan:
             plan = plan.split("== Final Plan ==")[1].split("== Initial Plan ==")[0]
         shuffles = len(re.findall(r"\bExchange (hash|range|Single)", plan))
-        spreads = len(re.findall(r"\bExchange RoundRobin", plan))
         reused = plan.count("ReusedExchange")
         bcast = plan.count("BroadcastExchange")
         python = len(re.findall(r"ArrowEvalPython|BatchEvalPython|FlatMapGroupsInPandas|MapInPandas", plan))
-        print(f"{name}: shuffles={shuffles} small_scan_spreads={spreads} reused={reused} broadcasts={bcast} "
+        print(f"{name}: shuffles={shuffles} reused={reused} broadcasts={bcast} "
               f"python_nodes={python}")
         if verbose:
             print(plan)

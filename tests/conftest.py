@@ -12,8 +12,10 @@ UUID_EPOCH_OFFSET = 122192928000000000
 
 
 @pytest.fixture(scope="session")
-def spark():
-    s = build_session(master="local[4]", shuffle_partitions=8, app="keyledger-tests")
+def spark(tmp_path_factory):
+    s = build_session(f"file://{tmp_path_factory.mktemp('scratch')}", app="keyledger-tests", extra={
+        "spark.master": "local[4]", "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "6g",
+        "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse"))})
     yield s
     s.stop()
 

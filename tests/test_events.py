@@ -1,3 +1,4 @@
+import json
 import random
 
 import pytest
@@ -232,3 +233,32 @@ def test_pages_fold_equals_sequential_fold(spark):
         want = _sequential_fold(evs.get(name, []), {"otherId": None, "username": None})
         assert got[name] == (want["otherId"], want["username"]), name
     assert got["none"] == (None, None)
+
+
+def test_times_and_versions_of_any_form(spark):
+    forms = {"1700000000000": 1700000000000, "1700000000000.0": 1700000000000, "1.7E12": 1700000000000, "1.7e+12": 1700000000000,
+             '"1700000000000"': 1700000000000, '"1700000000000.5"': 1700000000000, '"x"': 0, "null": 0, "true": 0, '""': 0, "-5.9": -5}
+    rows = [(f, timeuuid(1), '{"$rem":[],"model":null,"id":"a","time":%s,"source":null,"$set":{},"version":2.0,"snapshot":null}' % f)
+            for f in forms]
+    got = {r.id: r for r in E.parse_events(df(spark, rows), "core").collect()}
+    assert {k: r.time_ms for k, r in got.items()} == forms
+    assert all((r.version, r.snapshot, r.model, r.source) == (2, False, "null", "null") for r in got.values())
+
+
+def test_null_is_not_absent(spark):
+    import pytest
+    full = {"$rem": [], "model": "", "id": "a", "time": 1, "source": "", "$set": {}, "version": 1, "snapshot": False}
+    for name in full:
+        null = df(spark, [("a", timeuuid(1), json.dumps({**full, name: None}))])
+        assert E.parse_events(null, "core").count() == 1, name
+        absent = df(spark, [("a", timeuuid(1), json.dumps({k: v for k, v in full.items() if k != name}))])
+        with pytest.raises(Exception, match="malformed event payload"):
+            E.parse_events(absent, "core").collect()
+        assert E.parse_events(absent, "core", "drop").count() == 0
+        assert [r._bad for r in E.parse_events(absent.unionByName(null), "core", "quarantine").orderBy("_bad").collect()] == [False, True]
+
+
+def test_no_log_at_all_leaves_the_users(spark):
+    u = users(spark, [("a", "x", None, None)])
+    assert as_dict(E.populate(u, None, None))["a"] == ("x", None, None)
+    assert as_dict(E.populate_from_pages(u, None, None))["a"] == ("x", None, None)

@@ -62,3 +62,14 @@ def test_approx_distinct_option(spark):
 def test_mock_ids_inclusive_end_k19(spark):
     assert G.mock_ids(10, spark).count() == 10
     assert G.mock_ids(10, spark, inclusive_end=True).count() == 11
+
+
+def test_seeded_events_do_not_depend_on_partitions(spark):
+    users = G.mock_ids(300, spark)
+    seed = lambda u: sorted(map(tuple, G.seed_core_events(u, 20, 1_706_745_600_000, seed=3).collect()))
+    rows = seed(users.repartition(3))
+    assert rows == seed(users.repartition(7, "id"))
+    assert len({(i, t) for i, t, _ in rows}) == len(rows) == 6000
+    # more events of one user and instant than a clock sequence can tell apart
+    many = G.seed_core_events(G.mock_ids(1, spark), 40_000, 1_706_745_600_000, max_days=1)
+    assert many.select("time").distinct().count() == 40_000

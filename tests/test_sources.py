@@ -37,10 +37,3 @@ def test_event_log_derivation(spark):
     old_core, _ = eventlog.event_logs(spark, SF, before="2024-01-15")
     assert old_core.count() < core.count()
 
-
-def test_small_scans_are_spread_large_ones_kept(spark):
-    from keyledger.sources.tables import ensure_parallelism
-    raw = spark.read.parquet(f"{SF}/events.parquet")
-    assert raw.rdd.getNumPartitions() == 1
-    assert ensure_parallelism(raw).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert ensure_parallelism(raw, max_bytes=1).rdd.getNumPartitions() == 1

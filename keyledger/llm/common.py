@@ -47,12 +47,15 @@ def seeded_uint(seed: int, name: str) -> int:
 def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` whose (id, text) is in ``kept`` (columns ``id_col``
     and ``text_key``, unique), each once: a row that repeats id and text is
-    dropped.  Texts move once, by the join key; nothing is broadcast by hand.
+    dropped.  Texts move once: the join and the numbering of repeated rows share
+    one key (a null id is folded into the key of its text), and nothing is
+    broadcast by hand.
     """
-    keyed = docs.withColumn("__llm_key", text_key())
-    k = kept.select(F.col(id_col).alias("__llm_id"), F.col("text_key").alias("__llm_k"))
-    joined = keyed.join(k, keyed[id_col].eqNullSafe(k["__llm_id"]) & (keyed["__llm_key"] == k["__llm_k"]), "left_semi")
-    w = Window.partitionBy(id_col, "__llm_key").orderBy(id_col)
+    names = ["__llm_id", "__llm_key"]
+    known = lambda key: [F.coalesce(F.col(id_col), F.lit(0)).alias(names[0]),
+                         F.when(F.col(id_col).isNull(), F.bitwise_not(key)).otherwise(key).alias(names[1])]
+    joined = docs.select("*", *known(text_key())).join(kept.select(*known(F.col("text_key"))), names, "left_semi")
+    w = Window.partitionBy(*names).orderBy(names[0])
     return (joined.withColumn("__llm_copy", F.row_number().over(w)).where(F.col("__llm_copy") == 1)
             .select(*docs.columns))
 

@@ -35,11 +35,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keyledger.llm.common import documents, text_or_empty
-from keyledger.llm.exchange import BLOCK_BYTES, answered, packed, parts_of, served, shard_of, unpacked, write_blocks
+from keyledger.llm.exchange import answered, packed, parts_of, served, shard_of, unpacked, write_blocks
 from keyledger.llm.kneser_ney import _table
 from keyledger.llm.words import PrefixHash, mix
 from keyledger.session import stage
 
+BLOCK_BYTES = 3 << 20       # text of a block, about; a task needs some hundred bytes for each
 MATCH = 100
 ANCHOR = 32
 HOT_SEGMENTS = 500

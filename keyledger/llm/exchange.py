@@ -44,6 +44,15 @@ def unpacked(value: bytes) -> list[np.ndarray]:
     return out
 
 
+def arrow_rows(schema: str, rows: list[tuple]) -> pa.Table:
+    """Rows as an Arrow table with the columns that a DDL schema names."""
+    names = [f.split()[0] for f in schema.split(", ")]
+    types = {"bigint": pa.int64(), "binary": pa.binary(), "string": pa.string(), "array<bigint>": pa.list_(pa.int64()),
+             "double": pa.float64(), "boolean": pa.bool_()}
+    kinds = [types[f.split()[1]] for f in schema.split(", ")]
+    return pa.table([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
+
+
 def parts_of(shard: np.ndarray) -> Iterator[tuple[int, slice]]:
     """(shard, slice) of an ascending array of shard numbers."""
     if len(shard):

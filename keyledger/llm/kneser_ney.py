@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keyledger.llm.common import documents, text_or_empty
-from keyledger.llm.exchange import (BLOCK_BYTES, SortedArrays, answered, packed, parts_of, served, shard_of, unpacked,
+from keyledger.llm.exchange import (BLOCK_BYTES, SortedArrays, answered, arrow_rows, packed, parts_of, served, shard_of, unpacked,
                                     write_blocks)
 from keyledger.llm.words import BLOCK_BYTES as CHUNK_BYTES
 from keyledger.llm.words import Words, mix
@@ -56,14 +56,6 @@ SCORE = ("doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, trai
          "base_score double, score double")
 
 
-def _table(schema: str, rows: list[tuple]) -> pa.Table:
-    names = [f.split()[0] for f in schema.split(", ")]
-    types = {"bigint": pa.int64(), "binary": pa.binary(), "string": pa.string(), "array<bigint>": pa.list_(pa.int64()),
-             "double": pa.float64(), "boolean": pa.bool_()}
-    kinds = [types[f.split()[1]] for f in schema.split(", ")]
-    return pa.table([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
-
-
 def token_keys(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all tokens (each text's words, then its end) and how many
     tokens each text has."""
@@ -95,7 +87,7 @@ def to_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
         doc = [np.array([i or 0 for i in ids], dtype=np.int64), np.array([i is None for i in ids]), held, sizes]
         row = (TaskContext.get().partitionId() << 32 | no, len(ids), int((~held).sum()), len(tokens), len(words), packed(*doc),
                packed(tokens.astype(np.int32)), packed(words))
-        return _table(BLOCK, [row]).to_batches()[0]
+        return arrow_rows(BLOCK, [row]).to_batches()[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, held, texts, size, no = [], [], [], 0, 0
@@ -146,7 +138,7 @@ def _word_requests(blocks: DataFrame, shards: int) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 words, count = unpacked(row["words"])[0], Block(row).word_counts()
-                yield from _table(REQUEST, [(s, row["block"], packed(words[at], count[at].astype(np.int32)))
+                yield from arrow_rows(REQUEST, [(s, row["block"], packed(words[at], count[at].astype(np.int32)))
                                             for s, at in parts_of(shard_of(words, shards))]).to_batches()
 
     return blocks.mapInArrow(run, REQUEST)
@@ -163,7 +155,7 @@ def _number_words(shards: int):
             for block, (words, _) in parts:
                 at = model.find(words)
                 rows.append(("word", block, shard, packed(model.values[0][at], model.values[1][at]), None))
-        return _table(ANSWER, rows)
+        return arrow_rows(ANSWER, rows)
 
     return run
 
@@ -198,7 +190,7 @@ def _pair_requests(blocks: DataFrame, words: DataFrame, n_train: int, shards: in
             start = _runs(first[at])
             rows.append((s, row["block"], packed(number[first[at][start]], np.diff(np.r_[start, at.stop - at.start]).astype(np.int32),
                                                  number[second[at]], seen[at].astype(np.int32))))
-        return _table(REQUEST, rows)
+        return arrow_rows(REQUEST, rows)
 
     return answered(blocks, words, run, REQUEST)
 
@@ -228,7 +220,7 @@ def _count_pairs(word_shards: int):
         words, follows = words[order], follows[order]
         rows += [("follow", s, shard, packed(words[at], follows[at].astype(np.int32)), None)
                  for s, at in parts_of(words % word_shards)]
-        return _table(ANSWER, rows)
+        return arrow_rows(ANSWER, rows)
 
     return run
 
@@ -249,7 +241,7 @@ def _follow_counts(words: DataFrame, follows: DataFrame) -> DataFrame:
                 at = model.find(number).clip(0, max(len(keys) - 1, 0))
                 n = np.where(model.keys[at] == number, model.values[0][at], 0) if len(keys) else np.zeros(len(number), np.int64)
                 rows.append(("follow", r["dest"], r["shard"], packed(n.astype(np.int64)), None))
-        return _table(ANSWER, rows)
+        return arrow_rows(ANSWER, rows)
 
     return (words.withColumnRenamed("src", "shard").groupBy("shard")
             .cogroup(follows.withColumnRenamed("dest", "shard").groupBy("shard")).applyInArrow(run, ANSWER))
@@ -297,8 +289,8 @@ def score_block(row: dict, got: dict, m: dict) -> pa.Table:
     add = lambda x: np.bincount(b.doc, weights=x, minlength=n_docs)
     columns = [b.doc_ids, b.held_out, b.sizes.astype(np.int64), add(known > 0).astype(np.int64),
                np.full(n_docs, m["train_tokens"], np.int64), add(base), add(np.log10(p)[place])]
-    return pa.table([pa.array(c, f.type) for c, f in zip(columns, _table(SCORE, []).schema, strict=True)],
-                    names=_table(SCORE, []).column_names)
+    return pa.table([pa.array(c, f.type) for c, f in zip(columns, arrow_rows(SCORE, []).schema, strict=True)],
+                    names=arrow_rows(SCORE, []).column_names)
 
 
 def _sums(answers: DataFrame, n: int) -> list[int]:

@@ -35,8 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keyledger.llm.common import documents, text_or_empty
-from keyledger.llm.exchange import answered, packed, parts_of, served, shard_of, unpacked, write_blocks
-from keyledger.llm.kneser_ney import _table
+from keyledger.llm.exchange import answered, arrow_rows, packed, parts_of, served, shard_of, unpacked, write_blocks
 from keyledger.llm.words import PrefixHash, mix
 from keyledger.session import stage
 
@@ -65,7 +64,7 @@ def to_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
         docs = packed(np.array([i or 0 for i in ids], dtype=np.int64), np.array([i is None for i in ids]),
                       np.array([len(t) for _, t in rows], dtype=np.int64))
         text = b"".join(t for _, t in rows)
-        return _table(BLOCK, [(TaskContext.get().partitionId() << 32 | no, len(text), docs,
+        return arrow_rows(BLOCK, [(TaskContext.get().partitionId() << 32 | no, len(text), docs,
                                packed(np.frombuffer(text, dtype=np.uint8)))]).to_batches()[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,7 +148,7 @@ def _anchor_requests(blocks: DataFrame, shards: int) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 b = Block(row)
-                yield from _table(REQUEST, [
+                yield from arrow_rows(REQUEST, [
                     (s, row["block"], packed(b.anchor[at], b.segment[at], b.order_id[b.doc[b.entry[at]]]))
                     for s, at in parts_of(shard_of(b.anchor, shards))]).to_batches()
 
@@ -176,7 +175,7 @@ def settle(hot_segments: int = HOT_SEGMENTS):
         rows = [("sums", -1, shard, None, [int((state == SHARED).sum()), int((state == HOT).sum())])]
         rows += [("state", block, shard, packed(out[e - n:e]), None) for (block, _), e, n in
                  zip(parts, ends.tolist(), sizes.tolist(), strict=True)]
-        return _table(ANSWER, rows)
+        return arrow_rows(ANSWER, rows)
 
     return run
 
@@ -201,7 +200,7 @@ def _segment_requests(blocks: DataFrame, states: DataFrame, shards: int) -> Data
         rows = [(s, row["block"], packed(entry[at], b.order_id[b.doc[seg[at]]], b.first[seg[at]], sizes[at],
                                          b.text[_flat(b.first[seg[at]], sizes[at])]))
                 for s, at in parts_of(shard_of(b.anchor[entry], shards))]
-        return _table(REQUEST, rows)
+        return arrow_rows(REQUEST, rows)
 
     return answered(blocks, states, run, REQUEST)
 
@@ -221,7 +220,7 @@ def _window_requests(blocks: DataFrame, states: DataFrame, shards: int) -> DataF
         b = Block(row)
         window, h = _hot_windows(b, got)
         doc = b.order_id[np.searchsorted(b.ends, window, side="right")]
-        return _table(REQUEST, [(s, row["block"], packed(h[at], np.zeros(at.stop - at.start, np.uint64), doc[at]))
+        return arrow_rows(REQUEST, [(s, row["block"], packed(h[at], np.zeros(at.stop - at.start, np.uint64), doc[at]))
                                 for s, at in parts_of(shard_of(h, shards))])
 
     return answered(blocks, states, run, REQUEST)
@@ -361,7 +360,7 @@ def _sort_segments(shard: int, parts) -> pa.Table:
     segment, offset = segment[order], offset[order]
     rows = [("window", parts[i][0], shard, packed(entry[segment[at]].astype(np.int32), offset[at].astype(np.int32)), None)
             for i, at in parts_of(part[segment])]
-    return _table(ANSWER, rows)
+    return arrow_rows(ANSWER, rows)
 
 
 def remove(row: dict, got: dict) -> pa.Table:
@@ -386,7 +385,7 @@ def remove(row: dict, got: dict) -> pa.Table:
         kept = b.text[start:start + size][~g]
         out.append((doc_id, size, int(g.sum()), spans, hashlib.sha256(kept.tobytes()).hexdigest()))
         start += size
-    return _table(RESULT, out)
+    return arrow_rows(RESULT, out)
 
 
 def _count(answers: DataFrame) -> tuple[int, int]:

@@ -44,7 +44,7 @@ MATCH = 100
 ANCHOR = 32
 HOT_SEGMENTS = 500
 SHARD_ENTRIES = 2_000_000
-SHARD_BYTES = 6 << 20       # bytes that a suffix array is built of, about
+SHARD_BYTES = 3 << 20       # bytes that a suffix array is built of, about
 SEPARATOR = 255             # never a byte of UTF-8
 
 BLOCK = "block bigint, n_bytes bigint, docs binary, texts binary"

@@ -96,12 +96,15 @@ class SortedArrays:
 def write_blocks(blocks: DataFrame, name: str) -> DataFrame:
     """``blocks`` written as a table bucketed by its column ``block``, in as many
     buckets as a shuffle of the session has partitions, so that answers meet it
-    without moving it."""
+    without moving it.  The catalog's entry is dropped at once; the files stay in
+    the scratch folder for the frame that reads them."""
     spark = blocks.sparkSession
     table = f"keyledger_{name}_{uuid.uuid4().hex[:12]}"
     (blocks.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block")
      .option("path", scratch_path(spark, name)).saveAsTable(table))
-    return spark.table(table)
+    out = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")
+    return out
 
 
 def answered(blocks: DataFrame, answers: DataFrame, run, schema: str) -> DataFrame:

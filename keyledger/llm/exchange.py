@@ -4,12 +4,12 @@ them.
 A block is one row that holds a few megabytes of whole documents.  Blocks are
 written once as a table bucketed by block, so joining answers to them moves
 only the answers.  A shard answers for a range of keys; a block sends it one
-row with all the keys it has there, each key once.
+row with all the keys it has there, each key once, so the rows are never more
+than the keys however many blocks and shards there are.
 """
 
 from __future__ import annotations
 
-import json
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -24,23 +24,32 @@ from keyledger.session import scratch_path
 BLOCK_BYTES = 8 << 20  # text of a block, about; a longer document is a block of its own
 
 
+_TYPES = [np.dtype(t) for t in ("bool", "u1", "i4", "i8", "u8")]
+
+
 def packed(*arrays: np.ndarray) -> bytes:
-    """Arrays as one compressed value: their bytes transposed, so that the high
-    bytes of small numbers lie together, then zstd."""
-    head = json.dumps([(a.dtype.str, len(a)) for a in arrays]).encode()
+    """Arrays as one value: a byte for how many, a type and a length for each, and
+    their bytes transposed, so that the high bytes of small numbers lie together;
+    compressed where that makes them smaller, so a value of few entries costs
+    little more than these."""
+    head = bytes([len(arrays)]) + b"".join(bytes([_TYPES.index(a.dtype)]) + len(a).to_bytes(4, "little") for a in arrays)
     body = b"".join(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.dtype.itemsize).T.tobytes() if len(a) else b""
                     for a in arrays)
-    return len(head).to_bytes(4, "little") + head + zstandard.ZstdCompressor(level=1).compress(body)
+    small = zstandard.ZstdCompressor(level=1).compress(body) if len(body) > 64 else body
+    return head + (b"\1" + small if len(small) < len(body) else b"\0" + body)
 
 
 def unpacked(value: bytes) -> list[np.ndarray]:
-    size = int.from_bytes(value[:4], "little")
-    body, at, out = zstandard.ZstdDecompressor().decompress(value[4 + size:]), 0, []
-    for dtype, n in json.loads(value[4:4 + size]):
-        width = np.dtype(dtype).itemsize
-        part = np.frombuffer(body, dtype=np.uint8, count=n * width, offset=at).reshape(width, n).T
-        out.append(np.ascontiguousarray(part).view(dtype).reshape(n))
-        at += n * width
+    n = value[0]
+    body = value[2 + 5 * n:]
+    if value[1 + 5 * n]:
+        body = zstandard.ZstdDecompressor().decompress(body)
+    at, out = 0, []
+    for i in range(n):
+        dtype, size = _TYPES[value[1 + 5 * i]], int.from_bytes(value[2 + 5 * i:6 + 5 * i], "little")
+        part = np.frombuffer(body, dtype=np.uint8, count=size * dtype.itemsize, offset=at).reshape(dtype.itemsize, size).T
+        out.append(np.ascontiguousarray(part).view(dtype).reshape(size))
+        at += size * dtype.itemsize
     return out
 
 

@@ -23,6 +23,9 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -37,11 +40,11 @@ ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{24,}"  # a run is taken whole, so runs that are too short can be left out here
 LOGIN = r"""(?i)\b(?:user(?:_?name|_?id)?|login|account|client_?id)["']?\x20*[:=]\x20*["']?([A-Za-z0-9_.@-]{3,64})"""
-OPAQUE = (r"(?<![A-Za-z0-9+/_-])(?=[a-z0-9+/_-]*[A-Z])(?=[A-Z0-9+/_-]*[a-z])(?=[A-Za-z+/_-]*[0-9])"
-          r"[A-Za-z0-9+/_-]{20,}")
-ENDPOINT = r"""(?i)\b(?:https?|s?ftp|ssh|postgres(?:ql)?|mysql|mongodb|redis|amqp|s3)://[^\s"'<>]{3,}"""
+OPAQUE = r"[A-Za-z0-9+/_-]{20,}"
+ENDPOINT = r"""(?i)\b(?:https?|s?ftp|ssh|postgres(?:ql)?|mysql|mongodb|redis|amqp|s3)://[^\x20\x09-\x0D"'<>]{3,}"""
+MIXED = ["[A-Z]", "[a-z]", "[0-9]"]  # an opaque token holds one of each
 
-#: name, pattern, group whose length is tested (None: the match), least length, class
+#: name, pattern, group whose length is tested (0: the match), least length, class
 KINDS = [
     ("assign", ASSIGN, 2, 6, "secret"),
     ("access", ACCESS, 0, 20, "id"),
@@ -60,9 +63,10 @@ def _matches(no: int):
     _, pattern, group, least, _ = KINDS[no]
     found, tested = F.col(f"m{no}"), F.col(f"g{no}") if group else F.col(f"m{no}")
     gaps = F.split("text", pattern, -1)
+    mixed = lambda m: [m.rlike(c) for c in (MIXED if pattern == OPAQUE else [])]
     row = F.transform(F.arrays_zip(found.alias("m"), tested.alias("t"), F.transform(F.slice(gaps, 1, F.size(found)), F.length).alias("gap")),
                       lambda x: F.struct(F.lit(no).alias("kind"), x["gap"].alias("gap"), F.length(x["m"]).alias("size"),
-                                         (F.length(x["t"]) >= least).alias("ok")))
+                                         reduce(and_, mixed(x["m"]), F.length(x["t"]) >= least).alias("ok")))
     numbered = F.transform(row, lambda x, i: F.struct(x["kind"].alias("kind"), i.alias("no"), x["gap"].alias("gap"),
                                                       x["size"].alias("size"), x["ok"].alias("ok")))
     return F.when(F.size(found) > 0, numbered).otherwise(
@@ -143,3 +147,43 @@ def find_secrets(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
 
 def op1_secret_scan(spark, sf_dir: str) -> DataFrame:
     return find_secrets(documents(spark, sf_dir))
+
+
+def _oracle() -> str:
+    """DuckDB: the same scan; the interval join written as a plain one."""
+    quote = lambda s: "'" + s.replace("'", "''") + "'"
+    found = "\nUNION ALL ".join(
+        f"SELECT doc_id, {i} AS kind, regexp_extract_all(t, {quote(p)}, 0) AS m, regexp_extract_all(t, {quote(p)}, {g}) AS g, "
+        f"regexp_split_to_array(t, {quote(p)}) AS gaps, {least} AS least FROM d"
+        for i, (_, p, g, least, _) in enumerate(KINDS))
+    opaque = next(i for i, k in enumerate(KINDS) if k[1] == OPAQUE)
+    mixed = " AND ".join(f"regexp_matches(m, '{c}')" for c in MIXED)
+    names, classes = ("[" + ", ".join(f"'{k[j]}'" for k in KINDS) + "][kind + 1]" for j in (0, 4))
+    near = lambda c: f"max(o.class = '{c}')"
+    show = "string_agg(name || ':' || start || ':' || stop, ',' ORDER BY start, kind)"
+    counts = ", ".join(f"count(*) FILTER (kind = {i})::BIGINT AS n_{KINDS[i][0]}" for i in range(BASE))
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+found AS ({found}),
+rows AS (SELECT doc_id, kind, least, unnest(range(1, len(m) + 1)) AS no, unnest(m) AS m, unnest(g) AS g, unnest(gaps[1:len(m)]) AS gap
+         FROM found WHERE len(m) > 0),
+placed AS (SELECT *, sum(length(gap) + length(m)) OVER (PARTITION BY doc_id, kind ORDER BY no)::BIGINT AS stop FROM rows),
+spans AS (SELECT doc_id, kind, stop - length(m) AS start, stop, {names} AS name, {classes} AS class
+          FROM placed WHERE length(g) >= least AND (kind <> {opaque} OR ({mixed}))),
+open AS (SELECT * FROM (SELECT *, max(CASE WHEN kind < {BASE} THEN stop END) OVER (PARTITION BY doc_id ORDER BY start, kind) AS covered
+                        FROM spans) WHERE kind < {BASE} OR coalesce(covered, 0) <= start),
+met AS (SELECT w.doc_id, w.kind, w.start, w.stop, w.name, {near('id')} AS has_id, {near('secret')} AS has_secret, {near('place')} AS has_place
+        FROM open w JOIN open o ON o.doc_id = w.doc_id AND o.start <= w.stop + {SCOPE} AND o.stop >= w.start - {SCOPE}
+        WHERE w.kind >= {BASE} GROUP BY ALL),
+shown AS (SELECT doc_id, kind, start, stop, name FROM open WHERE kind < {BASE}
+          UNION ALL SELECT doc_id, kind, start, stop, name FROM met
+          WHERE CASE name WHEN 'login' THEN has_secret WHEN 'opaque' THEN has_id OR has_place ELSE has_id AND has_secret END),
+per AS (SELECT doc_id, {counts}, count(*) FILTER (kind >= {BASE})::BIGINT AS n_linked,
+               coalesce({show} FILTER (kind < {BASE}), '') AS base, {show} AS spans FROM shown GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       coalesce(n_linked, 0) AS n_linked, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN per USING (doc_id)
+"""
+
+
+ORACLE = _oracle()

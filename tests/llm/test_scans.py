@@ -18,7 +18,8 @@ def brute_parts(text):
     for kind, (_, pattern, group, least, _) in enumerate(secrets.KINDS):
         if kind == 2:
             pattern = r"[0-9a-f]+"
-        out += [(m.start(), kind, m.end()) for m in re.finditer(pattern, text, re.ASCII) if len(m.group(group)) >= least]
+        out += [(m.start(), kind, m.end()) for m in re.finditer(pattern, text, re.ASCII) if len(m.group(group)) >= least
+                and (kind != 4 or all(re.search(c, m.group()) for c in "[A-Z] [a-z] [0-9]".split()))]
     return sorted(out)
 
 

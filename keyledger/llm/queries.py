@@ -19,6 +19,7 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op1_secret_scan": secrets.ORACLE,
+    "op2_suffix_array_dedup": suffix_dedup.ORACLE,
     "op3_mixing": mixing.ORACLE,
     "op4_exact_dedup": exact_dedup.ORACLE,
     "op9_licence_scan": licences.ORACLE,

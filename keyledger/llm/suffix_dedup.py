@@ -412,3 +412,23 @@ def suffix_dedup(docs: DataFrame, hot_segments: int = HOT_SEGMENTS, block_bytes:
 
 def op2_suffix_array_dedup(spark, sf_dir: str) -> DataFrame:
     return suffix_dedup(documents(spark, sf_dir))
+
+
+#: DuckDB: every window of every text by its digest (texts as hexadecimal, two
+#: digits a byte), the runs that copies cover, and what lies between them.
+ORACLE = f"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, p, md5_number(substr(h, 2 * p + 1, {2 * MATCH})) AS s
+      FROM (SELECT doc_id, h, unnest(range(len(h) // 2 - {MATCH - 1})) AS p FROM d WHERE len(h) >= {2 * MATCH})),
+copies AS (SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY s ORDER BY doc_id, p) AS n FROM w) WHERE n > 1),
+steps AS (SELECT doc_id, p, CASE WHEN p <= lag(p) OVER (PARTITION BY doc_id ORDER BY p) + {MATCH} THEN 0 ELSE 1 END AS fresh FROM copies),
+runs AS (SELECT doc_id, min(p) AS start, max(p) + {MATCH} AS stop
+         FROM (SELECT doc_id, p, sum(fresh) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM steps) GROUP BY doc_id, run),
+between AS (SELECT doc_id, start, stop, coalesce(lag(stop) OVER (PARTITION BY doc_id ORDER BY start), 0) AS before FROM runs),
+per AS (SELECT doc_id, sum(stop - start)::BIGINT AS n_removed, count(*) AS n_spans, max(stop) AS last,
+               string_agg(substr(h, 2 * before + 1, 2 * (start - before)), '' ORDER BY start) AS head
+        FROM between JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN per USING (doc_id)
+"""

@@ -260,3 +260,20 @@ def near_dedup(vectors: DataFrame, min_cosine: float = MIN_COSINE) -> DataFrame:
 
 def op10_embedding_near_dedup(spark, sf_dir: str) -> DataFrame:
     return near_dedup(table(spark, sf_dir, "embeddings"))
+
+
+#: DuckDB: all pairs of a label by their cosine, and what links reach.
+ORACLE = f"""
+WITH RECURSIVE v AS (SELECT DISTINCT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= {MIN_COSINE}),
+reach(a, b) AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b),
+first AS (SELECT a, min(b) AS least FROM reach GROUP BY a),
+n AS (SELECT a, count(*) AS n_links FROM link GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, least(vec_id, coalesce(least, vec_id)) AS component_id,
+       vec_id <= coalesce(least, vec_id) AS kept
+FROM embeddings LEFT JOIN first ON first.a = vec_id LEFT JOIN n ON n.a = vec_id
+"""

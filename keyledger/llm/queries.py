@@ -23,4 +23,5 @@ ORACLE_SQL = {
     "op3_mixing": mixing.ORACLE,
     "op4_exact_dedup": exact_dedup.ORACLE,
     "op9_licence_scan": licences.ORACLE,
+    "op10_embedding_near_dedup": embeddings.ORACLE,
 }

@@ -21,7 +21,6 @@ repeat an id are packed each on its own.  An empty table gives an empty result.
 from __future__ import annotations
 
 import base64
-import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -41,16 +40,12 @@ SHARD_TOKENS = 1_500_000      # tokens of a shard, about
 QUERY_TERMS = 12              # rarest ids of a seed that query the index
 NEIGHBOURS = 24               # hits read at a time
 K1, B = 1.2, 0.75
-CACHE_WORDS = 400_000         # words whose ids a worker remembers
-
-_BLANKS = re.compile(r"\s (?:\s|\Z)")
-
 
 @lru_cache(maxsize=2)
 def tokenizer(name: str):
     """The public vocabulary as a tiktoken encoding: its ids are those of the
     tokenizers file of the same name (a test holds them together), at a third of
-    the time."""
+    the time.  A worker reads the file once."""
     import public_tokenizers
     import tiktoken
 
@@ -59,33 +54,12 @@ def tokenizer(name: str):
     return tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-class Encoder:
-    """Token ids of whole texts as little-endian uint16 bytes.  A text is cut
-    before each single space that follows a character other than white space:
-    the tokenizer's pattern always ends a piece there, so words can be encoded
-    once and remembered.  Where blanks meet, the text is encoded whole."""
-
-    def __init__(self, name: str):
-        self.encode, self.known = tokenizer(name).encode_ordinary, {}
-
-    def _word(self, word: str) -> bytes:
-        ids = np.array(self.encode(word), dtype="<u2").tobytes()
-        if len(self.known) < CACHE_WORDS:
-            self.known[word] = ids
-        return ids
-
-    def __call__(self, text: str) -> bytes:
-        end = END.to_bytes(2, "little")
-        if not text:
-            return end
-        if _BLANKS.search(text):
-            return np.array(self.encode(text), dtype="<u2").tobytes() + end
-        first, *words = text.split(" ")
-        known, word = self.known, self._word
-        out = [word(first)] if first else []
-        out += [known.get(w) or word(w) for w in [" " + w for w in words]]
-        out.append(end)
-        return b"".join(out)
+def token_ids(text: str, name: str = TOKENIZER) -> bytes:
+    """Token ids of a whole text and the end, as little-endian uint16 bytes.
+    Strings of special tokens are ordinary text."""
+    ids = tokenizer(name).encode_ordinary(text)
+    ids.append(END)
+    return np.array(ids, dtype="<u2").tobytes()
 
 
 def tokenized(docs: DataFrame, name: str = TOKENIZER) -> DataFrame:
@@ -93,9 +67,9 @@ def tokenized(docs: DataFrame, name: str = TOKENIZER) -> DataFrame:
     (content signature) and salt."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, row = Encoder(name), 0
+        row = 0
         for batch in batches:
-            ids = [encoder(t.as_py()) for t in batch.column("text")]
+            ids = [token_ids(t.as_py(), name) for t in batch.column("text")]
             n = [len(x) // 2 for x in ids]
             sig, salt = [], []
             for x in ids:

@@ -140,23 +140,21 @@ def test_mixing_odd_rows(spark, docs):
     assert mixing.stage_mixing(spark, no_text, fx.SF).count() == 0  # a mixture of no characters
 
 
-def test_words_encode_as_the_whole_text_does():
+def test_token_ids_are_those_of_the_tokenizers_file():
     import public_tokenizers
     from tokenizers import Tokenizer
 
     whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    encoder = packing.Encoder(packing.TOKENIZER)
     texts = [t or "" for _, t, *_ in fx.rows()] + ["a  b", " a", "a ", "a \n b", "é è  ö", "don't  stop's", "x  y", "a 　b",
                                                   "　 a", "a　 　b", "\n a", "  ", " ", "1 2  3", "a\x1c b", "tab\t x"]
     for t in texts * 2:
-        assert np.frombuffer(encoder(t), dtype="<u2").tolist() == whole.encode(t, add_special_tokens=False).ids + [1], repr(t[:50])
+        assert np.frombuffer(packing.token_ids(t), dtype="<u2").tolist() == whole.encode(t, add_special_tokens=False).ids + [1], repr(t[:50])
 
 
 @pytest.mark.parametrize("window,shard_tokens", [(2048, 1_500_000), (256, 20_000)])
 def test_packing_holds_every_token_once(spark, docs, window, shard_tokens):
     rows = packing.pack(fx.with_extra(docs), window, shard_tokens).collect()
-    encoder = packing.Encoder(packing.TOKENIZER)
-    want = Counter((i, encoder(t)) for i, t in fx.pairs(docs))
+    want = Counter((i, packing.token_ids(t)) for i, t in fx.pairs(docs))
     by_sequence = defaultdict(list)
     for r in rows:
         by_sequence[r.sequence_id].append(r)

@@ -78,7 +78,8 @@ def test_queries_are_registered_and_match_duckdb(spark):
     assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
     con = duckdb.connect()
     sf = "/root/testdata/sf0.01"
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{sf}/documents.parquet')")
+    for t in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
     for name, sql in queries.ORACLE_SQL.items():
         df = names[name](spark, sf)
         want = con.execute(f"SELECT {', '.join(df.columns)} FROM ({sql})").fetchall()

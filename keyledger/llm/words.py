@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 BLOCK_BYTES = 2 << 20  # texts worked on at a time (one longer text makes a block of its own)
+ROWS_AT_ONCE = 512      # rows of an Arrow batch whose texts are copied at a time
 
 _rng = np.random.default_rng(0x5EED)
 _TABLE = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -103,7 +104,7 @@ def blocks_of_texts(batches: Iterator[pa.RecordBatch], columns: list[str], text:
                     block_bytes: int = BLOCK_BYTES) -> Iterator[tuple[list[bytes], list[pa.Array]]]:
     """Cut Arrow batches into runs of rows with about ``block_bytes`` of text:
     the texts as UTF-8 (null as empty) and the columns named."""
-    for batch in batches:
+    for batch in (whole.slice(at, ROWS_AT_ONCE) for whole in batches for at in range(0, whole.num_rows, ROWS_AT_ONCE)):
         texts = batch.column(text).cast(pa.large_binary()).to_pylist()
         first, held = 0, 0
         for i, t in enumerate(texts):

@@ -20,7 +20,7 @@ repeat an id are packed each on its own.  An empty table gives an empty result.
 
 from __future__ import annotations
 
-import base64
+import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -39,27 +39,38 @@ TOKENIZER = "byte_bpe_50k"    # a name for public_tokenizers.path
 SHARD_TOKENS = 1_500_000      # tokens of a shard, about
 QUERY_TERMS = 12              # rarest ids of a seed that query the index
 NEIGHBOURS = 24               # hits read at a time
+ENCODE_CHARS = 1 << 18        # characters encoded at a time; a longer text goes alone
 K1, B = 1.2, 0.75
 
 @lru_cache(maxsize=2)
 def tokenizer(name: str):
-    """The public vocabulary as a tiktoken encoding: its ids are those of the
-    tokenizers file of the same name (a test holds them together), at a third of
-    the time.  A worker reads the file once."""
+    """The public vocabulary as its tokenizers file has it, added tokens
+    included.  A worker reads the file once and encodes in the task's own thread."""
     import public_tokenizers
-    import tiktoken
+    from tokenizers import Tokenizer
 
-    with open(public_tokenizers.path(f"{name}.tiktoken"), "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    return Tokenizer.from_file(public_tokenizers.path(f"{name}.json"))
+
+
+def encoded(texts: list[str], name: str = TOKENIZER) -> Iterator[bytes]:
+    """Token ids of whole texts, each with the end, as little-endian uint16
+    bytes.  The string of an added token is that token's id.  Texts are encoded
+    some at a time: the encoder keeps much more of a token than its id."""
+    whole, at = tokenizer(name), 0
+    while at < len(texts):
+        stop, size = at + 1, len(texts[at])
+        while stop < len(texts) and size + len(texts[stop]) <= ENCODE_CHARS:
+            size += len(texts[stop])
+            stop += 1
+        for e in whole.encode_batch_fast(texts[at:stop], add_special_tokens=False):
+            yield np.array([*e.ids, END], dtype="<u2").tobytes()
+        at = stop
 
 
 def token_ids(text: str, name: str = TOKENIZER) -> bytes:
-    """Token ids of a whole text and the end, as little-endian uint16 bytes.
-    Strings of special tokens are ordinary text."""
-    ids = tokenizer(name).encode_ordinary(text)
-    ids.append(END)
-    return np.array(ids, dtype="<u2").tobytes()
+    """Token ids of one whole text and the end."""
+    return next(encoded([text], name))
 
 
 def tokenized(docs: DataFrame, name: str = TOKENIZER) -> DataFrame:
@@ -69,7 +80,7 @@ def tokenized(docs: DataFrame, name: str = TOKENIZER) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = 0
         for batch in batches:
-            ids = [token_ids(t.as_py(), name) for t in batch.column("text")]
+            ids = list(encoded(batch.column("text").to_pylist(), name))
             n = [len(x) // 2 for x in ids]
             sig, salt = [], []
             for x in ids:

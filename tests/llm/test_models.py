@@ -151,6 +151,26 @@ def test_token_ids_are_those_of_the_tokenizers_file():
         assert np.frombuffer(packing.token_ids(t), dtype="<u2").tolist() == whole.encode(t, add_special_tokens=False).ids + [1], repr(t[:50])
 
 
+def test_token_ids_of_added_tokens_and_long_blanks(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    ids = lambda t: np.frombuffer(packing.token_ids(t), dtype="<u2").tolist()
+    assert ids("a <|endoftext|> b") == [64, 220, 50256, 275, 1]
+    texts = ["<|endoftext|>", "a<|endoftext|><|endoftext|>b <|endoftext", "a" + " " * 1_000_000 + "b", "\n" * 1_100_000, "", "a b"]
+    want = [whole.encode(t, add_special_tokens=False).ids + [1] for t in texts]
+    assert [ids(t) for t in texts] == want
+    assert [np.frombuffer(x, dtype="<u2").tolist() for x in packing.encoded(texts)] == want
+    rows = packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
+    covered = Counter()
+    for r in rows:
+        covered[r.doc_id] += r.length
+        piece = np.array(want[r.doc_id][r.start:r.start + r.length], dtype="<u4")
+        assert r.ids_crc32 == zlib.crc32(piece.tobytes()) and r.doc_tokens == len(want[r.doc_id])
+    assert covered == {i: len(x) for i, x in enumerate(want)}
+
+
 @pytest.mark.parametrize("window,shard_tokens", [(2048, 1_500_000), (256, 20_000)])
 def test_packing_holds_every_token_once(spark, docs, window, shard_tokens):
     rows = packing.pack(fx.with_extra(docs), window, shard_tokens).collect()

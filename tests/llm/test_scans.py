@@ -53,6 +53,20 @@ def test_secrets_against_brute_force(spark, docs):
     assert sum(r[4] for r in want) > 50  # those within the scope of the one secret among 6000 logins, and the chains
 
 
+def test_secrets_inside_long_parts(spark):
+    """Opaque tokens and logins beside the middle of a part of thousands of code points."""
+    token, path = "Zm9vYmFyQmF6UXV4MTIz", "p/" * 400
+    rows = [(1, f"https://db.example.com/{path}?{token}&{path}~{token}&{path}"), (2, f"https://db.example.com/{path}?{token}&{path} " + "x " * 50 + token),
+            (3, "user=" + "a1b2." * 500 + " token=abcdef123"), (4, "user=" + "a.b_" * 40 + " " * 100 + "token=abcdef123"),
+            (5, "token=" + "ab" * 1500 + " user=bob " + " " * 300 + "login=zed"), (6, f"{token} " + "x " * 300 + "https://h.example/" + path)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r[0]: tuple(r)[1:] for r in secrets.find_secrets(docs).collect()}
+    assert got == {i: brute_secrets(t) for i, t in rows}
+    start = rows[0][1].index(token)
+    assert f"opaque:{start}:{start + 20}" in got[1][-1].split(",")
+    assert f"login:0:{5 + 160}" in got[4][-1].split(",")
+
+
 def test_secrets_of_given_documents(spark):
     given = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = {r[0]: tuple(r)[1:] for r in secrets.find_secrets(given).collect()}

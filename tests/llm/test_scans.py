@@ -1,5 +1,6 @@
 import hashlib
 import re
+import textwrap
 
 import pytest
 from pyspark.sql import functions as F
@@ -106,6 +107,39 @@ def test_licences_against_brute_force(spark, docs):
     assert by_id[400_004] == "GPL-3.0-or-later" and by_id[100024] == "Apache-2.0,MIT"
 
 
+def test_wrapped_licences_and_spdx_tags(spark):
+    wrap = lambda lead, *names, width=60: "\n".join(lead + line for n in names for line in [
+        *textwrap.wrap(licences.SENTENCES[n][0], width), ""])
+    mit, bsd2 = ("MITperm", "MITnotice", "MITasis", "MITliable"), ("BSDredist", "BSDsource", "BSDbinary")
+    apache = ('/*\n * Licensed under the Apache License, Version 2.0 (the "License");\n * you may not use this file except in compliance'
+              ' with the License.\n * You may obtain a copy of the License at\n *\n *     http://www.apache.org/licenses/LICENSE-2.0\n *\n'
+              " * Unless required by applicable law or agreed to in writing, software\n * distributed under the License is distributed on"
+              ' an "AS IS" BASIS,\n * WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.\n */')
+    gpl2 = ("# This program is free software;\n# you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as"
+            " published by\n# the Free Software Foundation; either version 2 of the License, or\n# (at your option) any later version.\n#\n"
+            "# This program is distributed in the hope that it will be useful,\n# but WITHOUT ANY WARRANTY; without even the implied warranty")
+    mpl = "This Source Code Form is subject to the terms of the Mozilla Public\n// License, v. 2.0. If a copy"
+    want = {
+        "MIT License\n\nCopyright (c) 2020 Someone\n\n" + wrap("", *mit): ("MIT", ",".join(mit), ""),
+        wrap(" * ", *mit).replace("\n", "\r\n"): ("MIT", ",".join(mit), ""),
+        wrap("# ", *bsd2, width=30): ("BSD-2-Clause", ",".join(bsd2), ""),
+        apache: ("Apache-2.0", "Apache2ref,ApacheUse,ApacheAsis", ""),
+        gpl2: ("GPL-2.0-or-later", "GPL2redist,GPL2version,GPLwarranty", ""),
+        mpl: ("MPL-2.0", "MPL2ref", ""), mpl.replace("v. 2.0", "v. 1.1"): ("", "", ""),
+        "// SPDX-License-Identifier: MIT\nint x;": ("MIT", "MITref", ""), "SPDX-License-Identifier: MIT": ("MIT", "MITref", ""),
+        "/* SPDX-License-Identifier: GPL-2.0-only */": ("GPL-2.0", "GPL2ref", ""),
+        "# SPDX-License-Identifier: Apache-2.0\n": ("Apache-2.0", "Apache2ref", ""),
+        "prose ***\nReleased under the\n MIT License.": ("MIT", "MITref", ""),
+        "Released under the\n\nMIT License.": ("", "", ""), "Not released under the MIT License.": ("", "", ""),
+        "x" + " \n" * 200_000 + "Released under the MIT License": ("MIT", "MITref", ""),
+    }
+    docs = spark.createDataFrame(list(enumerate(want)), "doc_id bigint, text string")
+    got = {r.doc_id: r for r in licences.scan_licences(docs).collect()}
+    for i, (text, expected) in enumerate(want.items()):
+        assert (got[i].licences, got[i].sentence_ids, got[i].unmatched) == expected, text[:200]
+        assert got[i].n_sentences == len(licences.normalise(text))
+
+
 def test_no_python_and_no_shuffle_of_texts(spark, docs):
     plan = licences.scan_licences(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan.split("InMemoryRelation")[0] and "Python" not in plan and "Arrow" not in plan

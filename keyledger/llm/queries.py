@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from keyledger.llm import embeddings, exact_dedup, kneser_ney, licences, mixing, packing, quality, secrets, simhash, suffix_dedup
+from keyledger.llm import (
+    embeddings, exact_dedup, kneser_ney, licences, mixing, packing, periodic, quality, secrets, sharding, simhash,
+    suffix_dedup,
+)
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
@@ -15,6 +18,8 @@ QUERIES = {
     "op8_packing": packing.op8_packing,
     "op9_licence_scan": licences.op9_licence_scan,
     "op10_embedding_near_dedup": embeddings.op10_embedding_near_dedup,
+    "op11_sharding": sharding.op11_sharding,
+    "op12_periodic_runs": periodic.op12_periodic_runs,
 }
 
 ORACLE_SQL = {

@@ -10,6 +10,7 @@ of a block come from a few vector operations and are the same on every worker.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -80,7 +81,10 @@ class Words:
         self.offset = np.concatenate([[0], np.cumsum(sizes + 1)])
         self.doc = np.searchsorted(self.offset, self.start, side="right") - 1
         self.data = joined
-        self._hash = PrefixHash(_LOWER[joined])
+
+    @cached_property
+    def _hash(self) -> PrefixHash:
+        return PrefixHash(_LOWER[self.data])
 
     def hash_of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Keys of substrings, A-Z taken as a-z."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from keyledger.llm import (
     embeddings, exact_dedup, kneser_ney, licences, mixing, packing, periodic, quality, secrets, sharding, simhash,
-    suffix_dedup,
+    spelling, suffix_dedup,
 )
 
 QUERIES = {
@@ -20,6 +20,7 @@ QUERIES = {
     "op10_embedding_near_dedup": embeddings.op10_embedding_near_dedup,
     "op11_sharding": sharding.op11_sharding,
     "op12_periodic_runs": periodic.op12_periodic_runs,
+    "op13_spelling_variants": spelling.op13_spelling_variants,
 }
 
 ORACLE_SQL = {

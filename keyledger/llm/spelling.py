@@ -10,7 +10,7 @@ made, is a pair of neighbours.
 
 An edit in a word's second half is found in the trie from the word's first half
 on, an edit in the first half in the trie of reversals, so no state branches
-near the roots, where every symbol has a child.  An edge carries 64 bits, one set
+near the roots, where every symbol has a child.  An edge carries 256 bits, one set
 for each hash of a rest of a word below it; a state that needs a rest whose bit is
 not set is dropped at once, which loses nothing.  Edits within equal symbols are
 made at the last of them, so every pair is found once.  Nodes are 64-bit hashes
@@ -106,8 +106,8 @@ def node(prefix):
 
 
 def rest_bit(pos):
-    """0 to 63: a hash of what follows the first ``pos`` symbols."""
-    return F.xxhash64(F.expr(f"substring(s, {pos} + 1)")).bitwiseAND(F.lit(63)).cast("int")
+    """0 to 255: a hash of what follows the first ``pos`` symbols."""
+    return F.xxhash64(F.expr(f"substring(s, {pos} + 1)")).bitwiseAND(F.lit(255)).cast("int")
 
 
 def both_ways(words: DataFrame) -> DataFrame:
@@ -123,14 +123,15 @@ STARTS_AT = "if(back, length(s) - length(s) div 2, length(s) div 2)"
 
 
 def edge_table(words: DataFrame) -> DataFrame:
-    """``depth``, ``parent``, ``symbol``, ``child`` and ``below``, the bits of the
-    rests of words below the child, of both tries."""
+    """``depth``, ``parent``, ``symbol``, ``child`` and ``below0`` to ``below3``, the
+    bits of the rests of words below the child, of both tries."""
     k = both_ways(words).select("*", F.explode(F.expr(f"sequence({EDGES_FROM}, length(s) - 1)")).alias("depth"))
     return k.select(
         "depth", node(F.expr("substring(s, 1, depth)")).alias("parent"), F.expr("substring(s, depth + 1, 1)").alias("symbol"),
         node(F.expr("substring(s, 1, depth + 1)")).alias("child"),
-        F.call_function("shiftleft", F.lit(1).cast("bigint"), rest_bit("depth + 1")).alias("bit"),
-    ).groupBy("depth", "parent", "symbol", "child").agg(F.bit_or("bit").alias("below"))
+        rest_bit("depth + 1").alias("bit"),
+    ).groupBy("depth", "parent", "symbol", "child").agg(
+        *[F.bit_or(F.expr(f"if(shiftright(bit, 6) = {k}, shiftleft(1L, bit), 0L)")).alias(f"below{k}") for k in range(4)])
 
 
 STATE = ["s", "back", "pos", "node", "edited"]
@@ -149,10 +150,15 @@ def starts(words: DataFrame, depth: int) -> DataFrame:
 
 def advance(states: DataFrame, edges: DataFrame) -> DataFrame:
     """One level: every state over every edge of its node that it can take."""
-    at = states.select("*", F.expr("substring(s, pos + 1, 1)").alias("next"),
-                       *[rest_bit(f"pos + {k}").alias(f"rest{k}") for k in range(3)])
-    j = at.join(edges.drop("depth"), F.col("node") == F.col("parent"))
-    has = lambda k: F.expr(f"(shiftright(below, rest{k}) & 1) = 1")
+    rests = sum((rest_bit(f"pos + {k}") * (1 << 8 * k) for k in range(1, 3)), rest_bit("pos"))
+    j = states.withColumn("rests", rests).join(edges.drop("depth"), F.col("node") == F.col("parent")).withColumn(
+        "next", F.expr("substring(s, pos + 1, 1)"))
+
+    def has(k: int):
+        bit = f"(shiftright(rests, {8 * k}) & 255)"
+        word = " ".join(f"when {i} then below{i}" for i in range(4))
+        return F.expr(f"(shiftright(case shiftright({bit}, 6) {word} end, {bit}) & 1) = 1")
+
     follows, edited = F.col("symbol") == F.col("next"), F.col("edited")
     move = lambda skip, edit: F.struct(
         (F.col("pos") + skip).cast("int").alias("pos"), F.lit(edit).alias("edited"))

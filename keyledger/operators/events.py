@@ -13,18 +13,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from keyledger import schemas
 from keyledger.functions.columns import timeuuid_ticks
 from keyledger.functions.constants import FIELDS, FIELD_ORDER
+from keyledger.operators.families import IDENTITY_FIELDS, EventFamily, TrackedField, family_of
 from keyledger.operators.ranking import rank_within
 
-# Family -> (`$set` schema, tracked fields of that family).
-FAMILIES = {
-    "core": (schemas.CORE_SET, [f for f in FIELD_ORDER if FIELDS[f][0] == "core"]),
-    "contact": (schemas.CONTACT_SET, [f for f in FIELD_ORDER if FIELDS[f][0] == "contact"]),
-}
-
 _REQUIRED = ["$rem", "model", "id", "time", "source", "$set", "version", "snapshot"]
 
 
@@ -39,12 +35,16 @@ def _lenient_whole(s: Column, kind: str) -> Column:
     return F.coalesce(s.try_cast(kind), s.try_cast("decimal(38,9)").try_cast(kind), F.lit(0).cast(kind))
 
 
-def parse_events(raw: DataFrame, family: str, on_bad: str = "fail", keep_null_payload: bool = False) -> DataFrame:
+def parse_events(raw: DataFrame, family: str | EventFamily, on_bad: str = "fail", keep_null_payload: bool = False) -> DataFrame:
     """Raw ``(id, time, payload)`` -> typed events.
 
     Output columns: ``id, time, time_ms, ticks, rem, set_<prop>..., payload_id,
     model, source, version, snapshot`` and ``_bad`` when ``on_bad='quarantine'``.
 
+    ``family``: one of the identity families by name, or any described by the
+    caller (U2).  Without a declared `$set` schema the body is read as VARIANT
+    and ``set_...`` holds the tracked properties as text.
+
     * null payloads are dropped (C4), or kept with null fields when
       ``keep_null_payload`` (user membership in the fused fold);
     * ``on_bad='fail'`` (default): malformed JSON, or an absent envelope field,
@@ -58,10 +58,10 @@ def parse_events(raw: DataFrame, family: str, on_bad: str = "fail", keep_null_pa
     """
     if on_bad not in ("fail", "drop", "quarantine"):
         raise ValueError(f"on_bad must be fail, drop or quarantine, not {on_bad!r}")
-    set_schema, _ = FAMILIES[family]
+    family = family_of(family)
     df = raw if keep_null_payload else raw.where(F.col("payload").isNotNull())
     opts = {"mode": "FAILFAST"} if on_bad == "fail" else {"mode": "PERMISSIVE"}
-    p = F.from_json(F.col("payload"), schemas.payload_schema(set_schema), opts)
+    p = F.from_json(F.col("payload"), schemas.payload_schema(family.set_schema or T.VariantType()), opts)
     # The parse sits in a one-row Generate: filters on parsed fields (the
     # check below, relevance later) cannot be pushed beneath it, so the JSON
     # is parsed once per row instead of once per field a filter reads.
@@ -85,7 +85,7 @@ def parse_events(raw: DataFrame, family: str, on_bad: str = "fail", keep_null_pa
         timeuuid_ticks(F.col("time")).alias("ticks"),
         F.coalesce(pp.getField("$rem"), F.array().cast("array<string>")).alias("rem"),
     ]
-    cols += [pp.getField("$set").getField(f.name).alias(f"set_{f.name}") for f in set_schema.fields]
+    cols += _set_columns(pp.getField("$set"), family)
     cols += [
         *[F.when(F.col("payload").isNotNull(), F.coalesce(pp.getField(n), F.lit("null"))).alias(c)
           for n, c in (("id", "payload_id"), ("model", "model"), ("source", "source"))],
@@ -97,47 +97,90 @@ def parse_events(raw: DataFrame, family: str, on_bad: str = "fail", keep_null_pa
     return df.select(*cols)
 
 
+def _set_columns(body: Column, family: EventFamily) -> list[Column]:
+    if family.set_schema is None:
+        return [F.try_variant_get(body, f"$.{f.prop}", "string").alias(f.column) for f in family.fields]
+    declared = [body.getField(f.name).alias(f"set_{f.name}") for f in family.set_schema.fields]
+    deeper = []
+    for f in family.fields:
+        if "." in f.prop:
+            at = body
+            for name in f.prop.split("."):
+                at = at.getField(name)
+            deeper.append(at.cast("string").alias(f.column))
+    return declared + deeper
+
+
 def event_order() -> Column:
     """K2: total order of a user's events: payload time, uuid ticks, uuid text."""
     return F.struct(F.col("time_ms").alias("time_ms"), F.col("ticks").alias("ticks"), F.col("time").alias("time"))
 
 
-def _touch(field: str) -> Column:
-    _, prop, _ = FIELDS[field]
-    return F.col(f"set_{prop}").isNotNull() | F.coalesce(F.array_contains(F.col("rem"), F.lit(prop)), F.lit(False))
+def _touch(field: TrackedField) -> Column:
+    removed = F.arrays_overlap(F.col("rem"), F.array(*[F.lit(n) for n in field.removed_by]))
+    return F.col(field.column).isNotNull() | F.coalesce(removed, F.lit(False))
 
 
-def relevant(parsed: DataFrame, family: str) -> DataFrame:
+def relevant(parsed: DataFrame, family: str | EventFamily) -> DataFrame:
     """Events that set or remove at least one tracked field."""
     cond = None
-    for f in FAMILIES[family][1]:
+    for f in family_of(family).fields:
         cond = _touch(f) if cond is None else cond | _touch(f)
     return parsed.where(cond)
 
 
-def touch_rows(parsed: DataFrame, family: str, member: bool) -> DataFrame:
-    """One row per event in the shape shared by both families:
-    ``id, _ord, is_member, t_<field>, v_<field>`` for every tracked field."""
-    mine = FAMILIES[family][1]
+def touch_rows(parsed: DataFrame, family: str | EventFamily, member: bool,
+               fields: tuple[TrackedField, ...] = IDENTITY_FIELDS) -> DataFrame:
+    """One row per event in the shape that several families share:
+    ``id, _ord, is_member, t_<field>, v_<field>`` for every one of ``fields``."""
+    mine = family_of(family).fields
     cols = [F.col("id"), event_order().alias("_ord"), F.lit(member).alias("is_member")]
-    for f in FIELD_ORDER:
+    for f in fields:
         if f in mine:
-            prop = FIELDS[f][1]
-            cols += [_touch(f).alias(f"t_{f}"), F.col(f"set_{prop}").alias(f"v_{f}")]
+            cols += [_touch(f).alias(f"t_{f.name}"), F.col(f.column).cast("string").alias(f"v_{f.name}")]
         else:
-            cols += [F.lit(False).alias(f"t_{f}"), F.lit(None).cast("string").alias(f"v_{f}")]
+            cols += [F.lit(False).alias(f"t_{f.name}"), F.lit(None).cast("string").alias(f"v_{f.name}")]
     return parsed.select(*cols)
 
 
-def _fold_aggs() -> list[Column]:
+def _fold_aggs(fields: tuple[TrackedField, ...] = IDENTITY_FIELDS) -> list[Column]:
     aggs = []
-    for f in FIELD_ORDER:
-        t = F.col(f"t_{f}")
-        aggs.append(F.max_by(F.col(f"v_{f}"), F.when(t, F.col("_ord"))).alias(f"v_{f}"))
-        aggs.append(F.max(t).alias(f"t_{f}"))
+    for f in fields:
+        t = F.col(f"t_{f.name}")
+        aggs.append(F.max_by(F.col(f"v_{f.name}"), F.when(t, F.col("_ord"))).alias(f"v_{f.name}"))
+        aggs.append(F.max(t).alias(f"t_{f.name}"))
     return aggs
 
 
+def log_rows(logs: list[tuple[str | EventFamily, DataFrame]], members: tuple[str, ...] = (), on_bad: str = "fail") -> DataFrame:
+    """``touch_rows`` of several logs, one under the other.  Every row of a log
+    whose family is in ``members`` makes its id a user, payload or not."""
+    if not logs:
+        raise ValueError("a log is needed")
+    families = [family_of(f) for f, _ in logs]
+    fields = tuple(f for family in families for f in family.fields)
+    if len({f.name for f in fields}) < len(fields):
+        raise ValueError("two families track a field of one name")
+    rows = None
+    for family, (_, raw) in zip(families, logs, strict=True):
+        member = family.name in members
+        parsed = parse_events(raw, family, on_bad, keep_null_payload=member)
+        part = touch_rows(parsed if member else relevant(parsed, family), family, member, fields)
+        rows = part if rows is None else rows.unionByName(part)
+    return rows
+
+
+def fold_logs(logs: list[tuple[str | EventFamily, DataFrame]], members: tuple[str, ...] = (), on_bad: str = "fail") -> DataFrame:
+    """E6 for any families: per id the current value of every tracked field, null
+    where it was removed or never set: ``id, <field>, ...``.  One shuffle for all
+    logs.  ``members``: families whose ids are the users (default: all)."""
+    fields = tuple(f for family, _ in logs for f in family_of(family).fields)
+    members = members or tuple(family_of(f).name for f, _ in logs)
+    agg = log_rows(logs, members, on_bad).groupBy("id").agg(F.max("is_member").alias("_member"), *_fold_aggs(fields))
+    return agg.where(F.col("_member")).select(
+        "id", *[F.when(F.col(f"t_{f.name}"), F.col(f"v_{f.name}")).alias(f.name) for f in fields])
+
+
 def fold_events(core_raw: DataFrame | None, contact_raw: DataFrame | None, on_bad: str = "fail") -> DataFrame:
     """Per user id, the folded value and a touched flag of each field:
     ``id, v_otherId, t_otherId, v_username, t_username, v_verifiedPhone,
@@ -155,7 +198,7 @@ def fold_events(core_raw: DataFrame | None, contact_raw: DataFrame | None, on_ba
     return rows.groupBy("id").agg(*_fold_aggs())
 
 
-def _apply(users: DataFrame, folded: DataFrame) -> DataFrame:
+def fill(users: DataFrame, folded: DataFrame) -> DataFrame:
     """K3-K5: core events count only for users missing otherId or username,
     contact events only for users missing verifiedPhone; an untouched field
     keeps its incoming value."""
@@ -189,7 +232,7 @@ def populate(users: DataFrame, core_raw: DataFrame | None, contact_raw: DataFram
         need_contact = users.where(F.col("verifiedPhone").isNull()).select("id")
         core_raw = None if core_raw is None else core_raw.join(need_core, "id", "left_semi")
         contact_raw = None if contact_raw is None else contact_raw.join(need_contact, "id", "left_semi")
-    return _apply(users, fold_events(core_raw, contact_raw, on_bad))
+    return fill(users, fold_events(core_raw, contact_raw, on_bad))
 
 
 def populate_from_logs(core_raw: DataFrame, contact_raw: DataFrame | None, on_bad: str = "fail") -> DataFrame:
@@ -199,34 +242,28 @@ def populate_from_logs(core_raw: DataFrame, contact_raw: DataFrame | None, on_ba
     contact_raw)``, but membership, both folds and the distinct are one
     shuffle: every core row (null payload included) marks its id as a user.
     """
-    rows = touch_rows(parse_events(core_raw, "core", on_bad, keep_null_payload=True), "core", True)
-    if contact_raw is not None:
-        rows = rows.unionByName(
-            touch_rows(relevant(parse_events(contact_raw, "contact", on_bad), "contact"), "contact", False))
-    agg = rows.groupBy("id").agg(F.max("is_member").alias("_member"), *_fold_aggs())
-    return agg.where(F.col("_member")).select(
-        "id", *[F.when(F.col(f"t_{f}"), F.col(f"v_{f}")).alias(f) for f in FIELD_ORDER])
+    if contact_raw is None:
+        return fold_logs([("core", core_raw)], ("core",), on_bad).withColumn("verifiedPhone", F.lit(None).cast("string"))
+    return fold_logs([("core", core_raw), ("contact", contact_raw)], ("core",), on_bad)
 
 
-def ordered_events(raw: DataFrame, family: str, on_bad: str = "fail") -> DataFrame:
+def ordered_events(raw: DataFrame, family: str | EventFamily, on_bad: str = "fail") -> DataFrame:
     """Each user's relevant events in fold order, one row per event
     with its 1-based position ``seq`` in the user's sequence.  Computed
     without gathering a user's events in one task (see ``rank_within``)."""
     ev = relevant(parse_events(raw, family, on_bad), family)
-    props = [f"set_{f.name}" for f in FAMILIES[family][0].fields]
-    return rank_within(ev.select("id", "time", "time_ms", "ticks", "rem", *props), ["id"], ["time_ms", "ticks", "time"])
+    return rank_within(ev.select("id", "time", "time_ms", "ticks", "rem", *family_of(family).properties), ["id"], ["time_ms", "ticks", "time"])
 
 
-def event_pages(raw: DataFrame, family: str, page_size: int = 1000, on_bad: str = "fail") -> DataFrame:
+def event_pages(raw: DataFrame, family: str | EventFamily, page_size: int = 1000, on_bad: str = "fail") -> DataFrame:
     """E7 as lists: each user's relevant events in fold order, cut into pages
     of at most ``page_size`` events: ``id, page, events`` where ``events`` is
     an array of ``struct<seq, time_ms, time, rem, set_...>`` sorted by
     ``seq``.  Positions come from ``ordered_events``, so no page, and no task,
     ever holds more than ``page_size`` events of one user."""
-    props = [f.name for f in FAMILIES[family][0].fields]
     ev = ordered_events(raw, family, on_bad).withColumn("page", F.expr(f"(seq - 1) div {int(page_size)}"))
     item = F.struct(F.col("seq"), F.col("time_ms"), F.col("time"), F.col("rem"),
-                    *[F.col(f"set_{p}") for p in props])
+                    *[F.col(c) for c in family_of(family).properties])
     return ev.groupBy("id", "page").agg(F.array_sort(F.collect_list(item)).alias("events"))
 
 
@@ -235,7 +272,7 @@ def fold_pages(pages: DataFrame, family: str) -> DataFrame:
     `$rem` then `$set` inside an event), giving per page and field a touched
     flag and the value left.  Output rows have the shared shape ``id, page,
     t_<field>, v_<field>`` for every tracked field."""
-    mine = FAMILIES[family][1]
+    mine = [f.name for f in family_of(family).fields]
     init = F.struct(*[F.lit(False).alias(f"t_{f}") for f in mine],
                     *[F.lit(None).cast("string").alias(f"v_{f}") for f in mine])
 
@@ -273,4 +310,4 @@ def populate_from_pages(users: DataFrame, core_pages: DataFrame | None, contact_
     for f in FIELD_ORDER:
         t = F.col(f"t_{f}")
         aggs += [F.max_by(F.col(f"v_{f}"), F.when(t, F.col("page"))).alias(f"v_{f}"), F.max(t).alias(f"t_{f}")]
-    return _apply(users, rows.groupBy("id").agg(*aggs))
+    return fill(users, rows.groupBy("id").agg(*aggs))

@@ -16,31 +16,36 @@ from keyledger.functions.columns import (
     conflict_text, csv_line, field_of_key, key_for, prefix_of_field, value_from,
 )
 from keyledger.functions.constants import FIELDS, FIELD_ORDER, MISSING, PASS, QUERY_EXCEPTION
+from keyledger.operators.families import IDENTITY_FIELDS, TrackedField
 from keyledger.operators.ranking import rank_within
 from keyledger.schemas import STATUS_COLUMNS
 from keyledger.session import stage
 
 
-def claims(fields: DataFrame) -> DataFrame:
+def claims(fields: DataFrame, tracked: tuple[TrackedField, ...] = IDENTITY_FIELDS) -> DataFrame:
     """C11 / C12 core: one row per present field ``(id, field, value)``;
     absent fields give no row."""
-    return (fields.select("id", *FIELD_ORDER)
-            .unpivot("id", FIELD_ORDER, "field", "value")
-            .where(F.col("value").isNotNull()))
+    names = [f.name for f in tracked]
+    return fields.select("id", *names).unpivot("id", names, "field", "value").where(F.col("value").isNotNull())
 
 
-def index_rows(fields: DataFrame) -> DataFrame:
+def _prefix(tracked: tuple[TrackedField, ...]) -> Column:
+    out = F.lit(None).cast("string")
+    for f in tracked:
+        out = F.when(F.col("field") == f.name, F.lit(f.prefix)).otherwise(out)
+    return out
+
+
+def index_rows(fields: DataFrame, tracked: tuple[TrackedField, ...] = IDENTITY_FIELDS) -> DataFrame:
     """C11: ``(key, value)`` = (prefix:value, owner id).  Two users claiming
-    one value give two rows; the upsert keeps one."""
-    c = claims(fields)
-    return c.select(key_for(prefix_of_field(F.col("field")), F.col("value")).alias("key"),
-                    F.col("id").alias("value"))
+    one value give two rows; the upsert keeps one.  ``tracked``: the columns of
+    ``fields`` to index, of whatever families."""
+    return claims(fields, tracked).select(key_for(_prefix(tracked), F.col("value")).alias("key"), F.col("id").alias("value"))
 
 
-def lookup_rows(fields: DataFrame) -> DataFrame:
+def lookup_rows(fields: DataFrame, tracked: tuple[TrackedField, ...] = IDENTITY_FIELDS) -> DataFrame:
     """``(id, key, value)`` with the bare prefix as key."""
-    c = claims(fields)
-    return c.select("id", prefix_of_field(F.col("field")).alias("key"), "value")
+    return claims(fields, tracked).select("id", _prefix(tracked).alias("key"), "value")
 
 
 def dedup_index(index: DataFrame) -> DataFrame:

@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyledger import schemas
-from keyledger.operators import batches, events, generate, ids, index, objects
+from keyledger.operators import batches, events, fold_state, generate, ids, index, objects
 from keyledger.session import stage, staging
-from keyledger.sinks import writers
+from keyledger.sinks import buckets, delivery, writers
 from keyledger.sources import tables
 from keyledger.streaming import live_insert as live
 
@@ -55,6 +55,7 @@ def live_extraction_compare(spark: SparkSession, n_users: int, base_dir: str, ro
     found and the second did not (expected: none)."""
     table = f"{base_dir}/events"
     first = seed_extract_verify(spark, n_users, f"{table}/batch_id=-1", f"{base_dir}/ids-1", seed)
+    live.commit_batch(spark, table, -1)
     query = live.start_live_insert(spark, n_users, table, f"{base_dir}/checkpoint", rows_per_batch,
                                    trigger_seconds=trigger_seconds)
     try:
@@ -64,7 +65,7 @@ def live_extraction_compare(spark: SparkSession, n_users: int, base_dir: str, ro
         if watch is not None:
             watch(query)
     finally:
-        query.stop()
+        live.stop_between_batches(query)
     one = tables.read_text_lines(spark, f"{base_dir}/ids-1", "id")
     two = tables.read_text_lines(spark, f"{base_dir}/ids-2", "id")
     n1 = one.agg(F.count_distinct("id")).collect()[0][0]
@@ -80,13 +81,38 @@ def _fields(core: DataFrame, contact: DataFrame | None, on_bad: str) -> DataFram
 def generate_index(spark: SparkSession, core: DataFrame, contact: DataFrame | None, index_dir: str,
                    lookup_dir: str, on_bad: str = "fail") -> dict:
     """Fold the logs into current fields, build both index tables and
-    upsert them as new versions."""
+    upsert them: as new versions, or where ``create_index_tables`` has laid them
+    out by buckets, into the buckets touched."""
     with staging(spark):
         f = _fields(core, contact, on_bad)
         return {"index": writers.upsert_table(spark, index_dir, index.index_rows(f), ["key"]),
                 "lookup": writers.upsert_table(spark, lookup_dir, index.lookup_rows(f), ["id", "key"])}
 
 
+def create_index_tables(spark: SparkSession, index_dir: str, lookup_dir: str, n_buckets: int = buckets.N_BUCKETS) -> None:
+    """Empty index tables of which an upsert rewrites only the buckets touched."""
+    buckets.create(spark, index_dir, schemas.UNIQUENESS_INDEX, ["key"], n_buckets)
+    buckets.create(spark, lookup_dir, schemas.UNIQUENESS_LOOKUP, ["id", "key"], n_buckets)
+
+
+def update_indexes(spark: SparkSession, logs: list, state_dir: str, index_dir: str, lookup_dir: str,
+                   members: tuple[str, ...] = ("core",), on_bad: str = "fail") -> dict:
+    """J5 for new events only: fold them, merge the result into the stored fold
+    state, and upsert the index rows of the users they touch.  ``logs``: (family,
+    new raw events) of every family of the state (``fold_state.create_state``);
+    the index tables are those of ``create_index_tables`` or versioned ones.
+    Neither the log read before nor untouched buckets are read."""
+    families = [family for family, _ in logs]
+    fields = fold_state.tracked(families)
+    with staging(spark):
+        batch = stage(fold_state.fold_state(logs, members, on_bad), "fold-batch")
+        touched = fold_state.update_state(spark, state_dir, batch, fields)
+        state = fold_state.read_state(spark, state_dir, touched).join(batch.select("id"), "id", "left_semi")
+        f = stage(fold_state.current_fields(state, fields), "fields")
+        return {"state": touched, "index": writers.upsert_table(spark, index_dir, index.index_rows(f, fields), ["key"]),
+                "lookup": writers.upsert_table(spark, lookup_dir, index.lookup_rows(f, fields), ["id", "key"])}
+
+
 def _try_read(spark: SparkSession, table_dir: str, schema) -> DataFrame | None:
     """The newest committed version of an index table, or None when it cannot
     be read (absent, no committed version, unreadable files): its fields are
@@ -122,9 +148,10 @@ def populate_and_write(spark: SparkSession, core: DataFrame, contact: DataFrame
 
 
 def send_ids(core: DataFrame, outbox: str, run_id: str, mode: str = "queue",
-             n_buckets: int = batches.N_BUCKETS) -> str:
+             n_buckets: int = batches.N_BUCKETS, deliver: bool = False) -> str:
     """Distinct ids cut into topic messages or queue entries, written to
-    the run's folder of a JSON outbox for the sender."""
+    the run's folder of a JSON outbox for the sender.  ``deliver``: by the outbox
+    data source, once, however often the run is tried."""
     with staging(core.sparkSession):
         u = ids.distinct_ids(core)
         if mode == "topic":
@@ -133,7 +160,7 @@ def send_ids(core: DataFrame, outbox: str, run_id: str, mode: str = "queue",
             m = batches.queue_messages(u, n_buckets=n_buckets, run_id=run_id)
         else:
             raise ValueError("mode is 'topic' or 'queue'")
-        return writers.write_outbox(m, outbox, run_id)
+        return delivery.deliver(m, outbox, run_id) if deliver else writers.write_outbox(m, outbox, run_id)
 
 
 def connector_roundtrip(spark: SparkSession, kv: DataFrame, users: DataFrame, base_dir: str,

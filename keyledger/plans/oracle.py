@@ -201,6 +201,35 @@ def _timeuuid_sql() -> str:
   (epoch_us(ts) // 1000) AS ms_back FROM events"""
 
 
+def _bio() -> str:
+    """(user_id, nickname, city) as structs: null where no event touches the field."""
+    return """SELECT user_id,
+  max_by(struct_pack(v := CASE WHEN event_type='view' THEN (event_id % 50)::VARCHAR END), (ts,event_id))
+    FILTER (event_type IN ('view','click')) AS n,
+  max_by(struct_pack(v := CASE WHEN event_type IN ('view','purchase') THEN 'mock:city:'||(event_id%9) END), (ts,event_id))
+    FILTER (event_type IN ('purchase','error') OR (event_type='view' AND event_id%3=0)) AS c
+  FROM events WHERE event_type IN ('view','click','purchase','error') GROUP BY 1"""
+
+
+def _update_sql() -> str:
+    """The indexes after the old log's rows and then those of the users with newer events."""
+    new = f"""SELECT * FROM ({_pop()}) WHERE id IN (SELECT 'mock:id:'||user_id FROM events
+  WHERE ts >= TIMESTAMP '{OLD_CUT}' AND event_type IN ('signup','purchase','error','view','click'))"""
+    return f"""WITH ni AS ({_dedup_index(_index(new))}), oi AS ({_dedup_index(_index(_pop(OLD_CUT)))}),
+  nl AS ({_dedup_lookup(_lookup(new))}), ol AS ({_dedup_lookup(_lookup(_pop(OLD_CUT)))})
+SELECT 'index' AS target, CAST(NULL AS VARCHAR) AS id, key, value FROM (
+  SELECT * FROM ni UNION ALL SELECT * FROM oi WHERE key NOT IN (SELECT key FROM ni))
+UNION ALL SELECT 'lookup', id, key, value FROM (
+  SELECT * FROM nl UNION ALL SELECT * FROM ol WHERE NOT EXISTS (SELECT 1 FROM nl WHERE nl.id = ol.id AND nl.key = ol.key))"""
+
+
+def _no_lookup_sql() -> str:
+    reasons = []
+    for f in FIELD_ORDER:
+        reasons += [f'coalesce("{f}_reason", \'\')', f'CASE WHEN "{f}_reason" IS NULL THEN \'\' ELSE \'Query Exception\' END']
+    return f"SELECT concat_ws(', ', id, {', '.join(reasons)}) AS line FROM ({_status_sql()})"
+
+
 def _core(cols: str) -> str:
     return f"SELECT {cols} FROM events WHERE event_type IN {CORE}"
 
@@ -284,4 +313,24 @@ SELECT 'mock:id:' || unnest(range(n)) AS id, (n * {SEED_EVENTS})::INT AS events,
     "job_send_ids": f"SELECT id FROM ({_core("DISTINCT 'mock:id:'||user_id AS id")}), (SELECT unnest([1, 2]))",
     "job_roundtrip": """SELECT count(*) AS n_customers, count(*) AS kv_count, sum(c_nationkey)::BIGINT AS kv_sum,
   count(*) AS users, count(*) FILTER (c_mktsegment = 'BUILDING') AS matching_first_name FROM customer""",
+    "upsert_touched_buckets": _upsert_lookup_sql(),
+    "populate_incremental": _pop(),
+    "job_update_indexes": _update_sql(),
+    "job_audit_no_lookup": _no_lookup_sql(),
+    "open_family": f"""SELECT '__U:bio:1:nickname:'||n.v AS key, 'mock:id:'||user_id AS value FROM ({_bio()}) WHERE n.v IS NOT NULL
+UNION ALL SELECT '__U:bio:1:city:'||c.v, 'mock:id:'||user_id FROM ({_bio()}) WHERE c.v IS NOT NULL""",
+    "families_together": f"""SELECT p.*, b.n.v AS nickname, b.c.v AS city FROM ({_pop()}) p
+  LEFT JOIN ({_bio()}) b ON p.id = 'mock:id:'||b.user_id""",
+    "populate_stored": _partial_sql(),
+    "catalog_tables": f"""SELECT CASE WHEN event_type IN {CORE} THEN 'core' ELSE 'contact' END AS family,
+  'mock:id:'||user_id AS id, count(*) AS n_events
+  FROM events WHERE event_type IN ('signup','purchase','error','view','click') GROUP BY 1, 2""",
+    "extraction_sketches": f"""WITH e AS (SELECT user_id, (epoch_us(ts) // 1000) // 86400000 AS day FROM events WHERE event_type IN {CORE}),
+  d AS (SELECT day, count(*) AS n FROM e GROUP BY 1)
+SELECT d.day, (SELECT sum(x.n) FROM d x WHERE x.day <= d.day)::BIGINT AS n_rows,
+  (SELECT count(DISTINCT e.user_id) FROM e WHERE e.day <= d.day) AS n_ids, true AS near FROM d""",
+    "outbox_consumed": f"SELECT run, id FROM ({_core("DISTINCT 'mock:id:'||user_id AS id")}), (SELECT unnest(['a', 'b']) AS run)",
+    "objects_put": f"""SELECT 'output/id/mock:id:'||user_id AS object_key,
+  CASE WHEN user_id % 2 = 0 THEN 'new:' ELSE 'old:' END || 'mock:id:' || user_id AS content
+  FROM (SELECT DISTINCT user_id FROM events WHERE event_type IN {CORE})""",
 }

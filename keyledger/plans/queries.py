@@ -10,18 +10,23 @@ for every day, the users active that day with those active the next day.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from keyledger import schemas
 from keyledger.functions import columns as C
-from keyledger.operators import batches, events, generate, ids, index, objects
+from keyledger.functions.constants import MOCK_ID
+from keyledger.operators import batches, events, fold_state, generate, ids, index, objects, sketches
+from keyledger.operators.families import EventFamily, TrackedField
 from keyledger.plans import jobs
-from keyledger.session import scratch_path, stage_all
-from keyledger.sinks import writers
-from keyledger.sources import eventlog, tables
+from keyledger.session import scratch_path, stage, stage_all
+from keyledger.sinks import buckets, delivery, writers
+from keyledger.sources import catalog, eventlog, stored_logs, tables
+from keyledger.streaming import consume
 from keyledger.streaming import live_insert as live
 
 OLD_CUT = "2024-01-29"
@@ -31,6 +36,8 @@ PAGE_SIZE = 16  # events per page in populate_arrays: small, so users span sever
 MERGE_PAGE = 2  # keys per page in uniqueness_fields_merge: small, so owners span several pages
 ENTRY_IDS = 5   # ids per queue entry in queue_requests: small, so a bucket needs several requests
 RUN_ID = "run-1"
+LATE = 7            # of so many events one arrives after all others in the incremental queries
+STATE_BUCKETS = 8   # of the bucketed tables that queries write
 INSERT_START_MS = 1_704_067_200_000
 SEED_EVENTS = generate.events_per_user(42)
 SEED_ANCHOR_MS = 1_706_745_600_000  # 2024-02-01T00:00:00Z
@@ -84,6 +91,21 @@ def q_extraction_diff(spark, sf):
     return ids.extraction_diff(active, next_day, ["id", "day"])
 
 
+def q_extraction_sketches(spark, sf):
+    # A stored sketch per day, merged into running counts; the exact
+    # count of the same days beside the question whether the estimate is near.
+    core, _ = _logs(spark, sf)
+    day = F.floor(C.timeuuid_millis(F.col("time")) / F.lit(86_400_000)).cast("bigint")
+    active = core.select("id", day.alias("day"))
+    stored = stage(sketches.extraction_sketches(active, ["day"]), "sketches")
+    so_far = sketches.running(stored, "day").select("day", "n_rows", sketches.estimate().alias("estimate"))
+    first = active.groupBy("id").agg(F.min("day").alias("day")).groupBy("day").agg(F.count(F.lit(1)).alias("n_new"))
+    exact = so_far.join(first, "day", "left").select("day", "n_rows", "estimate", F.sum(F.coalesce("n_new", F.lit(0))).over(
+        Window.orderBy("day").rowsBetween(Window.unboundedPreceding, 0)).alias("n_ids"))
+    near = F.abs(F.col("estimate") - F.col("n_ids")) <= F.greatest(F.lit(1.0), F.col("n_ids") * sketches.MAX_ERROR)
+    return exact.select("day", "n_rows", "n_ids", near.alias("near"))
+
+
 def q_typed_filter(spark, sf):
     cust = tables.read_parquet_table(spark, sf, "customer")
     return cust.where(F.col("c_mktsegment") == "HOUSEHOLD").select("c_custkey", "c_name")
@@ -160,6 +182,55 @@ def q_populate_only_needed(spark, sf):
     return events.populate(_partial_users(core), core, contact, only_needed=True)
 
 
+BIO = EventFamily("bio", (TrackedField("nickname", "nickname", "__U:bio:1:nickname", ("alias",)),
+                          TrackedField("city", "address.city", "__U:bio:1:city", ("home",))))
+
+
+def q_open_family(spark, sf):
+    # A family described here, without a declared schema, through parse,
+    # fold and index.
+    fields = events.fold_logs([(BIO, eventlog.bio_event_log(_events(spark, sf)))])
+    return index.index_rows(fields, BIO.fields)
+
+
+def q_families_together(spark, sf):
+    # Three families folded in one shuffle.
+    core, contact = _logs(spark, sf)
+    bio = eventlog.bio_event_log(_events(spark, sf))
+    return events.fold_logs([("core", core), ("contact", contact), (BIO, bio)], members=("core",))
+
+
+def _batches(spark, sf):
+    """The logs in three batches: before the cut but for some events, after it,
+    and last the events held back (late by up to the whole log)."""
+    ev = _events(spark, sf)
+    early = F.col("ts") < F.lit(OLD_CUT).cast("timestamp_ntz")
+    late = F.col("event_id") % LATE == 3
+    for part in (early & ~late, ~early & ~late, late):
+        rows = ev.where(part)
+        yield [("core", eventlog.core_event_log(rows)), ("contact", eventlog.contact_event_log(rows))]
+
+
+def q_populate_incremental(spark, sf):
+    # The state of each batch merged into the stored one, late events last.
+    path = scratch_path(spark, "fold-state")
+    families = ["core", "contact"]
+    fold_state.create_state(spark, path, families, STATE_BUCKETS)
+    for logs in _batches(spark, sf):
+        fold_state.update_state(spark, path, stage(fold_state.fold_state(logs), "fold-batch"), fold_state.tracked(families))
+    return fold_state.current_fields(fold_state.read_state(spark, path), fold_state.tracked(families))
+
+
+def q_populate_stored(spark, sf):
+    # Logs and users stored by id.
+    core, contact = _logs(spark, sf)
+    kept = catalog.CatalogTables(spark, f"keyledger_{uuid.uuid4().hex[:12]}", scratch_path(spark, "stored"))
+    names = {"core": core, "contact": contact, "users": _partial_users(core)}
+    for name, rows in names.items():
+        names[name] = stored_logs.store_by_id(rows, kept.name(name), STATE_BUCKETS, ["time"] if name != "users" else None)
+    return stored_logs.populate_stored(spark, names["users"], names["core"], names["contact"])
+
+
 # ------------------------------------------------------------------ index
 
 def q_uniqueness_index(spark, sf):
@@ -283,6 +354,17 @@ def q_upsert_versions(spark, sf):
     return writers.read_latest(spark, path, schemas.UNIQUENESS_LOOKUP)
 
 
+def q_upsert_touched_buckets(spark, sf):
+    # B1: the old lookup in buckets, then the rows that changed.
+    path = scratch_path(spark, "buckets")
+    buckets.create(spark, path, schemas.UNIQUENESS_LOOKUP, ["id", "key"], STATE_BUCKETS)
+    pop, old = _staged_pops(spark, sf)
+    writers.upsert_table(spark, path, index.lookup_rows(old), ["id", "key"])
+    new = index.lookup_rows(pop)
+    writers.upsert_table(spark, path, new.join(index.lookup_rows(old), ["id", "key", "value"], "left_anti"), ["id", "key"])
+    return writers.read_latest(spark, path, schemas.UNIQUENESS_LOOKUP)
+
+
 # ------------------------------------------------------------------ scalar functions
 
 def q_timeuuid_roundtrip(spark, sf):
@@ -331,6 +413,24 @@ def q_epoch_roundtrip(spark, sf):
                                      C.to_epoch_millis(C.from_epoch_millis(ms)).alias("ms_back"))
 
 
+def q_catalog_tables(spark, sf):
+    # A10, B12 in the session catalog: created twice, filled, one emptied and
+    # filled again, read by name.
+    kept = catalog.CatalogTables(spark, f"keyledger_{uuid.uuid4().hex[:12]}", scratch_path(spark, "catalog"))
+    counts = None
+    for family, log in zip(("core", "contact"), _logs(spark, sf), strict=True):
+        name = f"{family}_events"
+        kept.create(name)
+        kept.append(log, name)
+        kept.create(name)  # is there: its rows stay
+        if family == "contact":
+            kept.truncate(name)
+            kept.append(log.where(F.col("id") > MOCK_ID), name)
+        n = kept.read(name).groupBy("id").agg(F.count(F.lit(1)).alias("n_events")).withColumn("family", F.lit(family))
+        counts = n if counts is None else counts.unionByName(n)
+    return counts.select("family", "id", "n_events")
+
+
 def q_registered_tables(spark, sf):
     # Event tables created empty, filled, read by logical name.
     base = scratch_path(spark, "registry")
@@ -411,6 +511,27 @@ def q_job_generate_index(spark, sf):  # J5
     return writers.read_latest(spark, f"{_job_indexes(spark, sf, 'index')}/index", schemas.UNIQUENESS_INDEX)
 
 
+def q_job_update_indexes(spark, sf):  # J5 on new events
+    base = _job_dir(spark, "update")
+    fold_state.create_state(spark, f"{base}/state", ["core", "contact"], STATE_BUCKETS)
+    jobs.create_index_tables(spark, f"{base}/index", f"{base}/lookup", STATE_BUCKETS)
+    ev, cut = _events(spark, sf), F.lit(OLD_CUT).cast("timestamp_ntz")
+    for part in (F.col("ts") < cut, F.col("ts") >= cut):
+        logs = [("core", eventlog.core_event_log(ev.where(part))), ("contact", eventlog.contact_event_log(ev.where(part)))]
+        jobs.update_indexes(spark, logs, f"{base}/state", f"{base}/index", f"{base}/lookup")
+    read = lambda t, schema: writers.read_latest(spark, f"{base}/{t}", schema)
+    a = read("index", schemas.UNIQUENESS_INDEX).select(F.lit("index").alias("target"), F.lit(None).cast("string").alias("id"), "key", "value")
+    return a.unionByName(read("lookup", schemas.UNIQUENESS_LOOKUP).select(F.lit("lookup").alias("target"), "id", "key", "value"))
+
+
+def q_job_audit_no_lookup(spark, sf):  # J6 without an old lookup table: Query Exception (C13)
+    base = _job_indexes(spark, sf, "audit-no-lookup")
+    core, contact = _logs(spark, sf)
+    out = jobs.generate_and_audit(spark, core, contact, f"{base}/index", f"{base}/absent", f"{base}/new-index",
+                                  f"{base}/new-lookup", f"{base}/report")
+    return tables.read_text_lines(spark, out["report"], "line")
+
+
 def q_job_audit_report(spark, sf):  # J6
     base = _job_indexes(spark, sf, "audit")
     core, contact = _logs(spark, sf)
@@ -434,6 +555,23 @@ def q_job_send_ids(spark, sf):  # J8
     return tables.read_message_ids(spark, path)
 
 
+def q_outbox_consumed(spark, sf):  # J8, A11: delivered by the sink, consumed as a stream
+    core, _ = _logs(spark, sf)
+    base = _job_dir(spark, "deliver")
+    for run_id, mode in (("a", "topic"), ("b", "queue"), ("a", "topic")):  # run a is sent twice
+        jobs.send_ids(core, f"{base}/outbox", run_id, mode, deliver=True)
+        consume.consume(spark, f"{base}/outbox", f"{base}/ids", f"{base}/checkpoint")
+    return consume.read_consumed(spark, f"{base}/ids")
+
+
+def q_objects_put(spark, sf):  # B9: one object per key, put again where the key comes again
+    core, _ = _logs(spark, sf)
+    path = scratch_path(spark, "store")
+    for name, rows in (("old", core), ("new", core.where(_user_num() % 2 == 0))):
+        delivery.put_objects(objects.keyed_objects(rows, content=F.concat(F.lit(f"{name}:"), F.col("id"))), path)
+    return delivery.read_delivered(spark, path)
+
+
 def q_job_roundtrip(spark, sf):  # J9
     cust = tables.read_parquet_table(spark, sf, "customer")
     kv = cust.select(F.col("c_name").alias("key"), F.col("c_nationkey").cast("int").alias("value"))
@@ -511,4 +649,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "job_populate_write": q_job_populate_write,
     "job_send_ids": q_job_send_ids,
     "job_roundtrip": q_job_roundtrip,
+    "upsert_touched_buckets": q_upsert_touched_buckets,
+    "populate_incremental": q_populate_incremental,
+    "job_update_indexes": q_job_update_indexes,
+    "job_audit_no_lookup": q_job_audit_no_lookup,
+    "open_family": q_open_family,
+    "families_together": q_families_together,
+    "populate_stored": q_populate_stored,
+    "catalog_tables": q_catalog_tables,
+    "extraction_sketches": q_extraction_sketches,
+    "outbox_consumed": q_outbox_consumed,
+    "objects_put": q_objects_put,
 }

@@ -24,7 +24,7 @@ CONTACT_SET = T.StructType([
 ])
 
 
-def payload_schema(set_schema: T.StructType) -> T.StructType:
+def payload_schema(set_schema: T.DataType) -> T.StructType:
     """Envelope of an event payload.  `time`, `version` and `snapshot` are read
     as text so that numeric text is accepted (lenient scalar reads) and then
     converted by the parser."""

@@ -1,8 +1,9 @@
 """Sinks.
 
-Upserts never overwrite the path they read: the merged table goes to a new
-version directory and readers take the newest version, so a failed write
-leaves the previous version whole and a retried job simply writes again.
+Upserts never overwrite what they read.  A versioned table: the merged table goes
+to a new version directory and readers take the newest version, so a failed write
+leaves the previous version whole and a retried job simply writes again.  A
+bucketed table (``buckets``): only the buckets touched are rewritten.
 """
 
 from __future__ import annotations
@@ -13,6 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from keyledger.sinks import buckets
+
+OBJECT_BUCKETS = 16
+
 
 def write_table(df: DataFrame, path: str, mode: str = "errorifexists", fmt: str = "parquet",
                 columns: list[str] | None = None, partition_by: list[str] | None = None) -> str:
@@ -60,20 +65,29 @@ def upsert(existing: DataFrame | None, incoming: DataFrame, pk: list[str], inser
     key, so each input is read once and there is one shuffle, with the
     per-key maxima combined on the map side.
     """
-    values = [c for c in incoming.columns if c not in pk]
-    # One struct per row: with several value columns the greatest row wins as a
-    # whole, never a mixture of two rows.
-    row = F.struct(*values) if values else F.struct(F.lit(1))
     if existing is None:
-        best = incoming.groupBy(*pk).agg(F.max(row).alias("_row"))
+        values = [c for c in incoming.columns if c not in pk]
+        best = incoming.groupBy(*pk).agg(F.max(_whole(values)).alias("_row"))
         return best.select(*[F.col("_row")[c].alias(c) if c in values else F.col(c) for c in incoming.columns])
     tagged = (existing.select(*incoming.columns).withColumn("_new", F.lit(False))
               .unionByName(incoming.withColumn("_new", F.lit(True))))
-    new = F.col("_new")
+    return _newest(tagged, pk, incoming.columns, insert_only)
+
+
+def _whole(values: list[str]):
+    """One struct per row: with several value columns the greatest row wins as a
+    whole, never a mixture of two rows."""
+    return F.struct(*values) if values else F.struct(F.lit(1))
+
+
+def _newest(tagged: DataFrame, pk: list[str], columns: list[str], insert_only: bool) -> DataFrame:
+    """One row per key of old and incoming rows (``_new``)."""
+    values = [c for c in columns if c not in pk]
+    row, new = _whole(values), F.col("_new")
     g = tagged.groupBy(*pk).agg(F.max(F.when(new, row)).alias("_n"), F.max(F.when(~new, row)).alias("_o"))
     best = F.coalesce("_o", "_n") if insert_only else F.coalesce("_n", "_o")
     return g.select(*pk, best.alias("_row")).select(
-        *[F.col("_row")[c].alias(c) if c in values else F.col(c) for c in incoming.columns])
+        *[F.col("_row")[c].alias(c) if c in values else F.col(c) for c in columns])
 
 
 def _fs(spark: SparkSession, path: str):
@@ -100,11 +114,14 @@ def list_versions(spark: SparkSession, table_dir: str) -> list[str]:
 
 
 def read_latest(spark: SparkSession, table_dir: str, schema: T.StructType | None = None) -> DataFrame | None:
-    """The newest committed version of a versioned table, or None."""
-    v = list_versions(spark, table_dir)
-    if not v:
+    """The newest committed version of a versioned table, or None; the rows of
+    a bucketed table."""
+    if buckets.layout(spark, table_dir) is not None:
+        df = buckets.read(spark, table_dir).drop("bucket")
+    elif v := list_versions(spark, table_dir):
+        df = spark.read.parquet(v[-1])
+    else:
         return None
-    df = spark.read.parquet(v[-1])
     return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]) if schema else df
 
 
@@ -120,8 +137,16 @@ def write_version(df: DataFrame, table_dir: str) -> str:
 
 def upsert_table(spark: SparkSession, table_dir: str, incoming: DataFrame, pk: list[str],
                  insert_only: bool = False) -> str:
-    """B1 on storage: merge ``incoming`` into the newest version of
-    ``table_dir`` and commit the result as the next version."""
+    """B1 on storage.  A table laid out by ``buckets.create``: only the buckets
+    that ``incoming`` touches are rewritten.  Any other: ``incoming`` is merged
+    into the newest version and the result becomes the next version."""
+    if (lay := buckets.layout(spark, table_dir)) is not None:
+        if sorted(lay.pk) != sorted(pk):
+            raise ValueError(f"{table_dir} is laid out by {lay.pk}, not {pk}")
+        columns = ["bucket", *lay.schema.names]
+        buckets.put(spark, table_dir, upsert(None, incoming, pk),
+                    lambda rows: _newest(rows, ["bucket", *pk], columns, insert_only))
+        return table_dir
     return write_version(upsert(read_latest(spark, table_dir), incoming, pk, insert_only), table_dir)
 
 
@@ -134,9 +159,11 @@ def write_outbox(messages: DataFrame, path: str, run_id: str) -> str:
     return path
 
 
-def write_objects(objects: DataFrame, path: str) -> str:
+def write_objects(objects: DataFrame, path: str, n_buckets: int = OBJECT_BUCKETS) -> str:
     """The keyed-object table, one row per object key; putting a key again
-    replaces it, and all other objects stay."""
+    replaces it, and all other objects stay.  A put rewrites the buckets of its
+    keys (``n_buckets`` is used when the table is new)."""
+    buckets.create(objects.sparkSession, path, objects.schema, ["object_key"], n_buckets)
     return upsert_table(objects.sparkSession, path, objects, ["object_key"])
 
 

@@ -122,3 +122,27 @@ def lenient_core_log(events: DataFrame) -> DataFrame:
     return events.select(
         id_col.alias("id"), timeuuid_from_micros(ntz_epoch_micros(F.col("ts")), node=eid).alias("time"),
         F.when(eid % 11 != 0, payload).alias("payload"))
+
+
+def bio_event_log(events: DataFrame) -> DataFrame:
+    """A log of a family that the library does not know (nickname and city of a
+    user), derived from ``events``: its `$set` bodies are nested, carry numbers
+    and properties nobody tracks, and remove under names of their own.
+
+    view     -> nickname = event_id % 50 (a number), in every third a city
+    click    -> removes the nickname (as `alias`)
+    purchase -> city = mock:city:(event_id % 9)
+    error    -> removes the city
+    """
+    eid, et = F.col("event_id"), F.col("event_type")
+    id_col = F.concat(F.lit(MOCK_ID), F.col("user_id").cast("string"))
+    city = F.concat(F.lit(',"address":{"zip":1,"city":"mock:city:'), (eid % 9).cast("string"), F.lit('"}'))
+    body = (F.when(et == "view", F.concat(F.lit('{"nickname":'), (eid % 50).cast("string"),
+                                          F.when(eid % 3 == 0, city).otherwise(F.lit("")), F.lit("}")))
+            .when(et == "purchase", F.concat(F.lit('{"seen":[1,{"x":null}]'), city, F.lit("}"))).otherwise(F.lit("{}")))
+    rem = F.when(et == "click", F.lit('["alias"]')).when(et == "error", F.lit('["home","x"]')).otherwise(F.lit("[]"))
+    payload = F.concat(F.lit('{"$rem":'), rem, F.lit(',"model":"","id":"'), id_col, F.lit('","time":'),
+                       ntz_epoch_millis(F.col("ts")).cast("string"), F.lit(',"source":"","$set":'), body,
+                       F.lit(',"version":1,"snapshot":false}'))
+    return events.where(et.isin("view", "click", "purchase", "error")).select(
+        id_col.alias("id"), timeuuid_from_micros(ntz_epoch_micros(F.col("ts")), node=eid).alias("time"), payload.alias("payload"))

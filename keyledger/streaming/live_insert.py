@@ -5,9 +5,12 @@ it is a Structured Streaming query: the ``rate-micro-batch`` source gives a
 steady, deterministic stream of sequence numbers, each becomes a new-user
 event (``id = mock:id:(n + value mod n)``), and ``foreachBatch`` appends each
 micro-batch to the event table.  Each batch is written to its own
-``batch_id=<epoch>`` directory with overwrite, so a replayed batch after a
-failure replaces itself instead of duplicating rows.  The total rate is what
-is asked for (not rate x partitions).
+``batch_id=<epoch>`` directory and then named in ``_committed``, one marker a
+batch.  A snapshot of the table is the batches named at that moment: a batch that
+is being written, or was left half written, has no rows in it.  A batch replayed
+after a failure replaces what was left of it; one that is committed is not
+written again, so no reader sees its files go.  The total rate is what is asked
+for (not rate x partitions).
 """
 
 from __future__ import annotations
@@ -16,8 +19,10 @@ import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from keyledger import schemas
 from keyledger.functions.columns import timeuuid_from_millis
 from keyledger.functions.constants import MOCK_ID
 
@@ -39,14 +44,41 @@ def new_user_events(stream: DataFrame, n_existing: int) -> DataFrame:
 
 def _append_batch(target: str):
     def write(batch: DataFrame, epoch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{target.rstrip('/')}/batch_id={epoch_id}")
+        spark = batch.sparkSession
+        if epoch_id not in committed_batches(spark, target):
+            batch.write.mode("overwrite").parquet(f"{target.rstrip('/')}/batch_id={epoch_id}")
+            commit_batch(spark, target, epoch_id)
     return write
 
 
+def _markers(spark: SparkSession, target: str, name: str = ""):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{target.rstrip('/')}/_committed{name}")
+    return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), path
+
+
+def commit_batch(spark: SparkSession, target: str, batch_id: int) -> None:
+    """Name a batch whose files are complete: from now on snapshots have it."""
+    fs, path = _markers(spark, target, f"/{batch_id}")
+    fs.create(path, True).close()
+
+
+def committed_batches(spark: SparkSession, target: str) -> list[int]:
+    fs, path = _markers(spark, target)
+    return sorted(int(s.getPath().getName()) for s in fs.listStatus(path)) if fs.exists(path) else []
+
+
+def snapshot(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
+    """The rows of the batches committed at this moment, with ``batch_id``; the
+    frame keeps to them however often it is read."""
+    schema = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    paths = [f"{target.rstrip('/')}/batch_id={n}" for n in committed_batches(spark, target)]
+    return spark.read.schema(schema).option("basePath", target).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
 def event_table(spark: SparkSession, target: str) -> DataFrame:
-    """The event table as it is at this moment: batches committed later, or
+    """A1, F2: the event table as it is at this moment: batches committed later, or
     being written, are not read."""
-    return spark.read.parquet(target).select("id", "time", "payload")
+    return snapshot(spark, target, schemas.RAW_EVENT).select("id", "time", "payload")
 
 
 def start_live_insert(spark: SparkSession, n_existing: int, target: str, checkpoint: str,
@@ -88,6 +120,15 @@ def await_batches(query: StreamingQuery, batches: int) -> None:
         time.sleep(0.1)
 
 
+def stop_between_batches(query: StreamingQuery, patience_seconds: float = 30.0) -> None:
+    """Stop a running insert while no batch is being written, so that none is
+    interrupted half way; one that never rests is stopped after a while all the same."""
+    deadline = time.time() + patience_seconds
+    while query.isActive and query.status["isTriggerActive"] and time.time() < deadline:
+        time.sleep(0.02)
+    query.stop()
+
+
 def read_inserted(spark: SparkSession, target: str) -> DataFrame:
     """The events appended so far (``id, time, payload, seq_no, batch_id``)."""
-    return spark.read.parquet(target)
+    return snapshot(spark, target, T.StructType([*schemas.RAW_EVENT.fields, T.StructField("seq_no", T.LongType())]))

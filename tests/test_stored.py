@@ -1,0 +1,82 @@
+"""Logs stored by id, tables of the session catalog, stored sketches, snapshots."""
+
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from keyledger import schemas
+from keyledger.operators import events, ids, sketches as K
+from keyledger.session import scratch_path
+from keyledger.sources import eventlog, stored_logs
+from keyledger.sources.catalog import CatalogTables
+from keyledger.streaming import live_insert as L
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture
+def kept(spark):
+    c = CatalogTables(spark, f"kept_{uuid.uuid4().hex[:8]}", scratch_path(spark, "kept"))
+    yield c
+    c.drop()
+
+
+def test_populate_over_stored_logs_shuffles_nothing(spark, kept):
+    core, contact = eventlog.event_logs(spark, SF)
+    users = ids.bare_fields(ids.distinct_ids(core))
+    names = [stored_logs.store_by_id(rows, kept.name(t), 6, sort)
+             for rows, t, sort in ((users, "users", None), (core, "core", ["time"]), (contact, "contact", ["time"]))]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        got = stored_logs.populate_stored(spark, *names)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and plan.count("Bucketed: true") == 3
+        assert sorted(map(str, got.collect())) == sorted(map(str, events.populate(users, core, contact).collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert stored_logs.populate_stored(spark, names[0], None, None).count() == users.count()
+
+
+def test_catalog_create_twice_truncate_and_read_by_name(spark, kept):
+    kept.create("core_events")
+    kept.append(spark.createDataFrame([("t", "a", None)], "time string, id string, payload string"), "core_events")
+    kept.create("core_events")
+    assert [tuple(r) for r in kept.read("core_events").collect()] == [("a", "t", None)]
+    kept.create("kv", schemas.KEY_VALUE)
+    assert kept.tables() == ["core_events", "kv"]
+    kept.truncate("core_events")
+    assert kept.read("core_events").count() == 0
+    again = CatalogTables(spark, kept.keyspace)
+    assert again.tables() == ["core_events", "kv"] and again.read("kv").columns == ["key", "value"]
+
+
+def test_sketches_of_days_add_up(spark):
+    rows = spark.range(60_000).select((F.col("id") % 10).alias("day"), (F.col("id") * 7 % 23_000).cast("string").alias("id"))
+    daily = K.extraction_sketches(rows, ["day"])
+    one = K.merge_sketches(daily).select("n_rows", K.estimate().alias("n")).first()
+    exact = rows.select("id").distinct().count()
+    assert one.n_rows == 60_000 and abs(one.n - exact) <= K.MAX_ERROR * exact
+    running = {r.day: r for r in K.running(daily, "day").select("day", "n_rows", K.estimate().alias("n")).collect()}
+    assert running[9].n == one.n
+    for d in (0, 4):
+        exact = rows.where(F.col("day") <= d).select("id").distinct().count()
+        assert abs(running[d].n - exact) <= K.MAX_ERROR * exact
+    assert K.merge_sketches(daily.limit(0)).first().n_rows is None
+
+
+def test_a_half_written_batch_is_not_in_a_snapshot(spark):
+    base = scratch_path(spark, "snap")
+    write = L._append_batch(base)
+    rows = lambda *names: spark.createDataFrame([(n, "t", "{}", 1) for n in names], "id string, time string, payload string, seq_no bigint")
+    assert L.event_table(spark, base).count() == 0
+    write(rows("a", "b"), 0)
+    rows("half").write.parquet(f"{base}/batch_id=1")  # files are there, the batch is not named
+    found = L.event_table(spark, base)
+    assert {r.id for r in found.collect()} == {"a", "b"} and L.committed_batches(spark, base) == [0]
+    write(rows("c"), 1)                               # the batch tried again replaces what was left
+    assert {r.id for r in found.collect()} == {"a", "b"}  # a snapshot stays what it was
+    assert {r.id for r in L.event_table(spark, base).collect()} == {"a", "b", "c"}
+    write(rows("again"), 0)                           # replayed after its commit: not written again
+    assert {(r.id, r.batch_id) for r in L.read_inserted(spark, base).collect()} == {("a", 0), ("b", 0), ("c", 1)}

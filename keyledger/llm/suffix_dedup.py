@@ -26,7 +26,6 @@ the order in which they were read.  An empty table gives an empty result.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,25 +46,26 @@ SHARD_ENTRIES = 2_000_000
 SHARD_BYTES = 3 << 20       # bytes that a suffix array is built of, about
 SEPARATOR = 255             # never a byte of UTF-8
 
-BLOCK = "block bigint, n_bytes bigint, docs binary, texts binary"
+BLOCK = "block bigint, n_bytes bigint, docs binary, texts binary, segments binary"
 REQUEST = "shard bigint, block bigint, payload binary"
 ANSWER = "kind string, dest bigint, src bigint, payload binary, sums array<bigint>"
-RESULT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
+RESULT = "doc_id bigint, n_bytes bigint, n_removed bigint, spans array<bigint>, kept binary"
 ALONE, COPY, SHARED, HOT = 0, 1, 2, 3
 
 
 def to_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Blocks of whole texts, sorted by id."""
+    """Blocks of whole texts, sorted by id, with the segments of their windows:
+    worked out once, while the texts are at hand."""
     from pyspark import TaskContext
 
     def block(no: int, rows: list[tuple]) -> pa.RecordBatch:
         rows.sort(key=lambda r: (r[0] is not None, r[0] or 0))
         ids = [r[0] for r in rows]
-        docs = packed(np.array([i or 0 for i in ids], dtype=np.int64), np.array([i is None for i in ids]),
-                      np.array([len(t) for _, t in rows], dtype=np.int64))
-        text = b"".join(t for _, t in rows)
-        return arrow_rows(BLOCK, [(TaskContext.get().partitionId() << 32 | no, len(text), docs,
-                               packed(np.frombuffer(text, dtype=np.uint8)))]).to_batches()[0]
+        sizes = np.array([len(t) for _, t in rows], dtype=np.int64)
+        docs = packed(np.array([i or 0 for i in ids], dtype=np.int64), np.array([i is None for i in ids]), sizes)
+        text = np.frombuffer(b"".join(t for _, t in rows), dtype=np.uint8)
+        return arrow_rows(BLOCK, [(TaskContext.get().partitionId() << 32 | no, len(text), docs, packed(text),
+                                   packed(*segments(text, sizes)))]).to_batches()[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, size, no = [], 0, 0
@@ -94,6 +94,37 @@ def _least(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(m[:len(m) - rest], m[rest:]) if rest else m
 
 
+def segments(text: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The segments of the windows of ``text``, documents of ``sizes`` bytes: how
+    far each begins behind the one before, its windows but one, the segments
+    that differ (the earliest of each) ordered by anchor hash, which of these each
+    segment equals, and the hashes of these segments' anchors and of themselves."""
+    n = len(text)
+    if n < MATCH:
+        none, hashes = np.zeros(0, np.int32), np.zeros(0, np.uint64)
+        return none, none, none, none, hashes, hashes
+    hash_of = PrefixHash(text)
+    at = np.arange(n - ANCHOR + 1)
+    gram = hash_of.raw(at, at + ANCHOR)
+    low = np.uint64(0xFFFFFF)
+    place = _least((mix(gram) & ~low) | (at.astype(np.uint64) & low), MATCH - ANCHOR + 1)
+    start = np.arange(n - MATCH + 1)
+    place = start + ((place & low).astype(np.int64) - start) % (1 << 24)
+    doc_end = np.repeat(np.cumsum(sizes), sizes)[:len(start)]
+    valid = start + MATCH <= doc_end
+    new = np.r_[True, (place[1:] != place[:-1]) | (doc_end[1:] != doc_end[:-1])] & valid
+    first = np.flatnonzero(new)
+    last = np.flatnonzero(valid & ~np.r_[valid[1:] & ~new[1:], False])
+    anchor = mix(gram[place[first]] + np.uint64(1))
+    segment = mix(hash_of(first, last + MATCH) + (place[first] - first).astype(np.uint64))
+    _, earliest, entry_of = np.unique(mix(anchor ^ mix(segment)), return_index=True, return_inverse=True)
+    order = np.argsort(anchor[earliest], kind="stable")
+    back = np.empty_like(order)
+    back[order] = np.arange(len(order))
+    entry, small = earliest[order], lambda x: x.astype(np.int32)
+    return (small(np.diff(first, prepend=0)), small(last - first), small(entry), small(back[entry_of]), anchor[entry], segment[entry])
+
+
 class Block:
     """A block's texts and the segments of their windows.
 
@@ -106,37 +137,13 @@ class Block:
         ids, null, self.sizes = unpacked(row["docs"])
         self.doc_ids = [None if n else int(i) for i, n in zip(ids.tolist(), null.tolist(), strict=True)]
         self.order_id = np.where(null, np.iinfo(np.int64).min, ids)
-        self.text = unpacked(row["texts"])[0]
         self.ends = np.cumsum(self.sizes)
-        n = len(self.text)
-        if n < MATCH:
-            self.first = self.last = self.doc = np.zeros(0, np.int64)
-            anchor = segment = np.zeros(0, np.uint64)
-            self.hash = None
-        else:
-            self.hash = PrefixHash(self.text)
-            at = np.arange(n - ANCHOR + 1)
-            gram = self.hash.raw(at, at + ANCHOR)
-            low = np.uint64(0xFFFFFF)
-            place = _least((mix(gram) & ~low) | (at.astype(np.uint64) & low), MATCH - ANCHOR + 1)
-            start = np.arange(n - MATCH + 1)
-            place = start + ((place & low).astype(np.int64) - start) % (1 << 24)
-            doc_end = np.repeat(self.ends, self.sizes)[:len(start)]
-            valid = start + MATCH <= doc_end
-            new = np.r_[True, (place[1:] != place[:-1]) | (doc_end[1:] != doc_end[:-1])] & valid
-            self.first = np.flatnonzero(new)
-            stop = np.flatnonzero(valid & ~np.r_[valid[1:] & ~new[1:], False])
-            self.last = stop
-            anchor = mix(gram[place[self.first]] + np.uint64(1))
-            segment = mix(self.hash(self.first, self.last + MATCH) + (place[self.first] - self.first).astype(np.uint64))
-            self.doc = np.searchsorted(self.ends, self.first, side="right")
-        both = mix(anchor ^ mix(segment))
-        _, at, self.entry_of = np.unique(both, return_index=True, return_inverse=True)
-        order = np.argsort(anchor[at], kind="stable")
-        back = np.empty_like(order)
-        back[order] = np.arange(len(order))
-        self.entry, self.entry_of = at[order], back[self.entry_of]
-        self.anchor, self.segment = anchor[self.entry], segment[self.entry]
+        self.text = unpacked(row["texts"])[0] if row.get("texts") is not None else None
+        gap, more, entry, entry_of, self.anchor, self.segment = unpacked(row["segments"])
+        self.first = np.cumsum(gap, dtype=np.int64)
+        self.last = self.first + more
+        self.entry, self.entry_of = entry.astype(np.int64), entry_of.astype(np.int64)
+        self.doc = np.searchsorted(self.ends, self.first, side="right")
 
     def copies_here(self) -> np.ndarray:
         """Segments that are not the earliest of their entry in the block."""
@@ -152,7 +159,7 @@ def _anchor_requests(blocks: DataFrame, shards: int) -> DataFrame:
                     (s, row["block"], packed(b.anchor[at], b.segment[at], b.order_id[b.doc[b.entry[at]]]))
                     for s, at in parts_of(shard_of(b.anchor, shards))]).to_batches()
 
-    return blocks.mapInArrow(run, REQUEST)
+    return blocks.select("block", "docs", "segments").mapInArrow(run, REQUEST)
 
 
 def settle(hot_segments: int = HOT_SEGMENTS):
@@ -189,41 +196,36 @@ def _flat(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
 
 
-def _segment_requests(blocks: DataFrame, states: DataFrame, shards: int) -> DataFrame:
-    """The bytes of shared segments, to the shard of their anchor."""
-
-    def run(row: dict, got: dict) -> pa.Table:
-        b = Block(row)
-        entry = np.flatnonzero(_states(got, b) == SHARED)
-        seg = b.entry[entry]
-        sizes = b.last[seg] + MATCH - b.first[seg]
-        rows = [(s, row["block"], packed(entry[at], b.order_id[b.doc[seg[at]]], b.first[seg[at]], sizes[at],
-                                         b.text[_flat(b.first[seg[at]], sizes[at])]))
-                for s, at in parts_of(shard_of(b.anchor[entry], shards))]
-        return arrow_rows(REQUEST, rows)
-
-    return answered(blocks, states, run, REQUEST)
-
-
 def _hot_windows(b: Block, got: dict) -> tuple[np.ndarray, np.ndarray]:
     """Windows of the hot segments and their hashes, ordered by hash, equal ones
     by place."""
     seg = np.sort(b.entry[_states(got, b) == HOT])
     window = _flat(b.first[seg], b.last[seg] - b.first[seg] + 1)
-    h = b.hash(window, window + MATCH) if len(window) else np.zeros(0, np.uint64)
+    h = PrefixHash(b.text)(window, window + MATCH) if len(window) else np.zeros(0, np.uint64)
     order = np.argsort(h, kind="stable")
     return window[order], h[order]
 
 
-def _window_requests(blocks: DataFrame, states: DataFrame, shards: int) -> DataFrame:
+def _further_requests(blocks: DataFrame, states: DataFrame, arrays: int, hot_shards: int) -> DataFrame:
+    """What the anchors' states ask for, in one pass: the bytes of shared
+    segments, to the array of their anchor ('segment'), and the hashes of hot
+    windows, each to its shard ('window')."""
+
     def run(row: dict, got: dict) -> pa.Table:
         b = Block(row)
+        entry = np.flatnonzero(_states(got, b) == SHARED)
+        seg = b.entry[entry]
+        sizes = b.last[seg] + MATCH - b.first[seg]
+        rows = [("segment", s, row["block"], packed(entry[at], b.order_id[b.doc[seg[at]]], b.first[seg[at]], sizes[at],
+                                                    b.text[_flat(b.first[seg[at]], sizes[at])]))
+                for s, at in parts_of(shard_of(b.anchor[entry], arrays))]
         window, h = _hot_windows(b, got)
         doc = b.order_id[np.searchsorted(b.ends, window, side="right")]
-        return arrow_rows(REQUEST, [(s, row["block"], packed(h[at], np.zeros(at.stop - at.start, np.uint64), doc[at]))
-                                for s, at in parts_of(shard_of(h, shards))])
+        rows += [("window", s, row["block"], packed(h[at], np.zeros(at.stop - at.start, np.uint64), doc[at]))
+                 for s, at in parts_of(shard_of(h, hot_shards))]
+        return arrow_rows(f"kind string, {REQUEST}", rows)
 
-    return answered(blocks, states, run, REQUEST)
+    return answered(blocks, states, run, f"kind string, {REQUEST}")
 
 
 def eight_bytes(text: np.ndarray) -> np.ndarray:
@@ -381,9 +383,8 @@ def remove(row: dict, got: dict) -> pa.Table:
     out, start = [], 0
     for doc_id, size in zip(b.doc_ids, b.sizes.tolist(), strict=True):
         g = gone[start:start + size]
-        spans = int(np.count_nonzero(g[1:] & ~g[:-1])) + int(size > 0 and g[0]) if size else 0
-        kept = b.text[start:start + size][~g]
-        out.append((doc_id, size, int(g.sum()), spans, hashlib.sha256(kept.tobytes()).hexdigest()))
+        spans = np.flatnonzero(np.diff(g, prepend=False, append=False))
+        out.append((doc_id, size, int(g.sum()), spans.tolist(), b.text[start:start + size][~g].tobytes()))
         start += size
     return arrow_rows(RESULT, out)
 
@@ -393,8 +394,10 @@ def _count(answers: DataFrame) -> tuple[int, int]:
     return int(r[0]), int(r[1])
 
 
-def suffix_dedup(docs: DataFrame, hot_segments: int = HOT_SEGMENTS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """One row per row of ``docs`` with the contract's columns."""
+def deduplicated(docs: DataFrame, hot_segments: int = HOT_SEGMENTS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """One row per row of ``docs``: ``doc_id``, ``n_bytes``, ``n_removed``, ``spans``
+    (start and end, in bytes, of every removed run, one after the other) and
+    ``kept``, the bytes that stay (a run may end inside a character)."""
     blocks = write_blocks(to_blocks(docs, block_bytes), "suffix")
     n_bytes = int(blocks.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0])
     shards = max(1, -(-2 * n_bytes // ((MATCH - ANCHOR + 2) * SHARD_ENTRIES)))
@@ -402,14 +405,23 @@ def suffix_dedup(docs: DataFrame, hot_segments: int = HOT_SEGMENTS, block_bytes:
     n_shared, n_hot = _count(settled)
     states = settled.where("kind = 'state'").drop("sums")
     arrays = max(1, -(-n_shared * (MATCH + 40) // SHARD_BYTES))
-    windows = served(_segment_requests(blocks, states, arrays), _sort_segments, ANSWER).drop("sums")
-    answers = states.unionByName(windows)
     hot_shards = max(1, -(-n_hot * (MATCH - ANCHOR + 1) // SHARD_ENTRIES))
-    hot = served(_window_requests(blocks, states, hot_shards), settle(hot_segments), ANSWER)
-    answers = answers.unionByName(hot.where("kind = 'state'").drop("sums").withColumn("kind", F.lit("hot")))
+    answers = states
+    if n_shared + n_hot:
+        asked = stage(_further_requests(blocks, states, arrays, hot_shards), "suffix-requests")
+        windows = served(asked.where("kind = 'segment'").drop("kind"), _sort_segments, ANSWER)
+        hot = served(asked.where("kind = 'window'").drop("kind"), settle(hot_segments), ANSWER).where("kind = 'state'")
+        answers = answers.unionByName(windows.drop("sums")).unionByName(hot.drop("sums").withColumn("kind", F.lit("hot")))
     return answered(blocks, answers, remove, RESULT)
 
 
+def suffix_dedup(docs: DataFrame, hot_segments: int = HOT_SEGMENTS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """One row per row of ``docs`` with the contract's columns."""
+    return deduplicated(docs, hot_segments, block_bytes).select(
+        "doc_id", "n_bytes", "n_removed", F.expr("cast(size(spans) div 2 as bigint)").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_suffix_array_dedup(spark, sf_dir: str) -> DataFrame:
     return suffix_dedup(documents(spark, sf_dir))
 

@@ -124,6 +124,31 @@ def test_suffix_dedup_against_brute_force(spark, docs, hot_segments, block_bytes
     assert sorted(got) == sorted(brute_removed(fx.pairs(rows)))
 
 
+def test_suffix_dedup_keeps_texts_and_spans(spark, docs):
+    rows = fx.documents(spark).where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
+    texts = {i: t.encode() for i, t in fx.pairs(rows)}
+    removed = 0
+    for r in suffix_dedup.deduplicated(rows, block_bytes=30_000).collect():
+        edges = list(zip(r.spans[::2], r.spans[1::2]))
+        assert all(a < b for a, b in edges) and all(b < c for (_, b), (c, _) in zip(edges, edges[1:]))
+        kept, at = b"", 0
+        for a, b in [*edges, (len(texts[r.doc_id]), None)]:
+            kept, at = kept + texts[r.doc_id][at:a], b
+        assert bytes(r.kept) == kept and r.n_removed == sum(b - a for a, b in edges) == r.n_bytes - len(kept)
+        removed += r.n_removed
+    assert removed > 5000
+
+
+def test_suffix_dedup_of_a_very_long_text(spark):
+    rng = np.random.default_rng(3)
+    once = rng.integers(97, 123, 8_000_000, dtype=np.uint8).tobytes().decode()
+    rows = [(1, once + once[1_000_000:1_500_000]), (2, once[3_000_000:3_200_000] + "!" * 50), (3, "z" * 2_000_000)]
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans) for r in suffix_dedup.suffix_dedup(
+        spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).collect()}
+    assert got[1] == (8_500_000, 500_000, 1) and got[2] == (200_050, 200_000, 1)
+    assert got[3] == (2_000_000, 1_999_999, 1)
+
+
 def test_suffix_array_sorts_and_counts_prefixes():
     rng = random.Random(1)
     for _ in range(30):

@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 from keyledger.llm.common import documents, text_or_empty
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-END_OF_SENTENCE = r"[.!?;:]+([ \t\r\n]|\z)"
+# A run of ends is tried where it begins and taken whole, so long runs cost no more than their length.
+END_OF_SENTENCE = r"(?<![.!?;:])[.!?;:]++([ \t\r\n]|\z)"
 NOT_KEPT = r"[^a-z0-9\n]+"
 ENDS_NOTHING = r"(?<=license-identifier):|(?<=\bv)\.(?=[^a-z0-9.!?;:]+[0-9])"
 BREAK = "E"  # a sentence's end in a lower-cased text; a line's end stays \n
@@ -142,21 +143,26 @@ def op9_licence_scan(spark, sf_dir: str) -> DataFrame:
 
 
 def _oracle() -> str:
-    """DuckDB: sentences on one line each.  The SQL is fixed: it finds no wrapped
-    sentence and no SPDX tag with its colon, and knows a sentence with an end
-    inside by its first part."""
-    first = lambda s: re.sub(NOT_KEPT, " ", re.split(END_OF_SENTENCE.replace(r"\z", r"\Z"), s.lower())[0]).strip(" ")
-    known = "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in {first(s): n for n, x in SENTENCES.items() for s in x}.items()) + "}"
+    """DuckDB: the same sentences by patterns without looks around.  Line ends and
+    BREAKs are doubled, so that a sentence can take one on either side and leave
+    one to its neighbour."""
+    known = "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in known_sentences().items()) + "}"
+    any_of = "|".join(s.replace(" ", "( |\\n\\n)") for s in sorted(known_sentences(), key=lambda s: (-len(s), s)))
+    steps = [("license-identifier:", "license-identifier "), (r"\bv\.([^a-z0-9.!?;:]+[0-9])", r"v \1"),
+             (r"[.!?;:]+([ \t\r\n]|\z)", BREAK), (NOT_KEPT.replace("0-9", f"0-9{BREAK}"), " "), (r" *\n *", "\n"),
+             (r"\n\n+", BREAK), (f" *{BREAK} *", BREAK)]
+    flat_text = f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')"
+    for pattern, to in steps:
+        flat_text = f"regexp_replace({flat_text}, '{pattern}', " + ("chr(10)" if to == "\n" else f"'{to}'") + ", 'g')"
     found = "array_to_string(list_transform(ids, lambda x: ' ' || x || ' '), '')"
     for i, (_, sequence) in enumerate(RULES):
         found = f"replace({found}, '{''.join(map(_token, sequence))}', '{_token(f'<{i}>')}')"
     names = "[" + ", ".join(f"'{n}'" for n, _ in RULES) + "]"
     return f"""
-WITH a AS (SELECT doc_id, list_filter(list_transform(string_split(regexp_replace(regexp_replace(
-  translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{END_OF_SENTENCE}', chr(10), 'g'), '{NOT_KEPT}', ' ', 'g'), chr(10)),
-  lambda s: trim(s, ' ')), lambda s: s <> '') AS sentences FROM documents),
-b AS (SELECT doc_id, len(sentences)::BIGINT AS n_sentences,
-  list_filter(list_transform(sentences, lambda s: {known}[s]), lambda x: x IS NOT NULL) AS ids FROM a),
+WITH a AS (SELECT doc_id, trim({flat_text}, ' ') AS flat FROM documents),
+b AS (SELECT doc_id, len(list_filter(regexp_split_to_array(flat, '[\n{BREAK}]'), lambda s: s <> ''))::BIGINT AS n_sentences,
+  list_transform(regexp_extract_all('{BREAK}' || regexp_replace(flat, '([\n{BREAK}])', '\\1\\1', 'g') || '{BREAK}',
+                                    '[\n{BREAK}]({any_of})[\n{BREAK}]', 1), lambda s: {known}[replace(s, chr(10) || chr(10), ' ')]) AS ids FROM a),
 c AS (SELECT *, list_filter(regexp_split_to_array({found}, ' +'), lambda x: x <> '') AS marks FROM b),
 d AS (SELECT *, list_transform(list_filter(marks, lambda x: x[1:1] = '<'), lambda x: {names}[regexp_extract(x, '[0-9]+')::INT + 1]) AS rule FROM c)
 SELECT doc_id, n_sentences, len(ids)::BIGINT AS n_known, array_to_string(ids, ',') AS sentence_ids,

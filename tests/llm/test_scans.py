@@ -1,6 +1,7 @@
 import hashlib
 import re
 import textwrap
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -150,3 +151,30 @@ def test_no_python_and_no_shuffle_of_texts(spark, docs):
 def test_empty_tables(spark, docs):
     none = docs.where(F.lit(False))
     assert licences.scan_licences(none).count() == 0 and secrets.find_secrets(none).count() == 0
+
+
+def test_long_runs_of_punctuation_are_linear(spark):
+    rows = [(1, "." * 1_000_000 + "a"), (2, ". " * 400_000), (3, ".;" * 300_000 + "\nReleased under the MIT License."), (4, "v." + " " * 500_000 + "x")]
+    start = time.monotonic()
+    got = {r.doc_id: (r.n_sentences, r.licences) for r in licences.scan_licences(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {1: (1, ""), 2: (0, ""), 3: (1, "MIT"), 4: (2, "")} and time.monotonic() - start < 30
+
+
+def test_sql_finds_what_the_scans_find(spark, docs):
+    """Wrapped sentences, SPDX tags and login values of any length, as the SQL sees them."""
+    import duckdb
+    import pandas as pd
+    wrap = lambda lead, *names: "\n".join(lead + line for n in names for line in [*textwrap.wrap(licences.SENTENCES[n][0], 50), ""])
+    texts = [wrap("", "MITperm", "MITnotice"), wrap(" * ", "BSDredist", "BSDsource", "BSDbinary").replace("\n", "\r\n"),
+             "// SPDX-License-Identifier: Apache-2.0\nint x;", "SPDX-License-Identifier: MIT", "the Mozilla Public\n# License, v. 2.0.",
+             "This Source Code Form is subject to the terms of the Mozilla Public\n// License, v. 2.0. If a copy", "Released under the\n\nMIT License.",
+             "Released under the MIT License.\nReleased under the\nMIT License. Released under the MIT License.", "...!!! v. 2 v. 2.0 v.2", None, "",
+             "user=" + "a.b_" * 40 + " " * 100 + "token=abcdef123", "login: " + "x" * 300 + " AKIA" + "A1" * 10]
+    rows = [*enumerate(texts), *[(1000 + k, t) for k, (_, t) in enumerate(fx.pairs(docs.where("doc_id > 100000")))]]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame(rows, columns=["doc_id", "text"]))
+    for out, sql in ((licences.scan_licences(df), licences.ORACLE), (secrets.find_secrets(df), secrets.ORACLE)):
+        res = con.execute(sql)
+        at = [[d[0] for d in res.description].index(c) for c in out.columns]
+        assert sorted(map(tuple, out.collect())) == sorted(tuple(r[i] for i in at) for r in res.fetchall())

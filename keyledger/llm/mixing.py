@@ -16,14 +16,17 @@ source that holds most rows does not weigh on one task.
 
 Defined cases: a null source belongs to ``other``; a null or empty text has no
 characters, takes part with its source's rate and copies like any other; a
-source without characters has rate zero, a source whose target is zero too;
-rows that repeat an id and text draw alike.  An empty table gives an empty
-result.
+source without characters has rate zero, a source whose target is zero too.  The
+targets of sources that are absent or have no characters are shared out over the
+others, in proportion to theirs, so the mixture keeps its size and the others
+their ratios.  Rows that share an id draw alike, whatever their text; rows
+without an id share one draw.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import math
+from decimal import Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -71,7 +74,9 @@ def rates(docs: DataFrame, recipe: dict[str, float], other: float, total_epochs:
              .groupBy("pool").agg(F.sum("n").alias("size")).collect()}
     whole = sum(sizes.values())
     target = {**recipe, "": other}
-    return [(p, target[p] * whole * total_epochs / n if n else 0.0) for p, n in sorted(sizes.items())]
+    all_of, held = (sum((Decimal(repr(target[p])) for p in pools), Decimal(0)) for pools in (target, [p for p, n in sizes.items() if n]))
+    share = {p: target[p] if held in (0, all_of) else target[p] / float(held / all_of) for p in target}
+    return [(p, share[p] * whole * total_epochs / n if n else 0.0) for p, n in sorted(sizes.items())]
 
 
 def replicate(docs: DataFrame, recipe: dict[str, float] = RECIPE, other: float = OTHER, seed: str = SEED,
@@ -123,8 +128,12 @@ def _oracle() -> str:
 WITH RECURSIVE target(pool, share) AS (VALUES {names}),
 d AS (SELECT doc_id, source, text, CASE WHEN source IN ({known}) THEN source ELSE '' END AS pool FROM documents),
 size AS (SELECT pool, sum(length(coalesce(text, '')))::BIGINT AS n FROM d GROUP BY pool),
-rate AS (SELECT pool, CASE WHEN n = 0 THEN 0.0 ELSE share * (SELECT sum(n) FROM size)::DOUBLE / n END AS mix_rate
-         FROM size JOIN target USING (pool)),
+held AS (SELECT sum(share::DECIMAL(18,12)) AS there, (SELECT sum(share::DECIMAL(18,12)) FROM target) AS whole
+         FROM size JOIN target USING (pool) WHERE n > 0),
+rate AS (SELECT pool, CASE WHEN n = 0 THEN 0.0 ELSE
+           CASE WHEN there = 0 OR there = whole THEN share ELSE share / (there::DOUBLE / whole::DOUBLE) END
+           * (SELECT sum(n) FROM size)::DOUBLE / n END AS mix_rate
+         FROM size JOIN target USING (pool), held),
 pieces AS (SELECT pool, mix_rate, greatest(1, ceil(mix_rate / {PIECE}))::BIGINT AS m FROM rate),
 pois(pool, k, p, total) AS (
   SELECT pool, 0, exp(-(mix_rate / m)), exp(-(mix_rate / m)) FROM pieces

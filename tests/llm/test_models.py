@@ -120,6 +120,17 @@ def test_mixing_meets_targets_and_repeats_itself(spark):
     assert sorted(a) == sorted(b) and [r[2] for r in a] == sorted(r[2] for r in a)
 
 
+def test_mixing_shares_out_the_targets_of_absent_sources(spark):
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.concat(F.lit("src"), F.col("id") % 4).alias("source"), F.lit("x" * 50).alias("text"))
+    docs = docs.unionByName(spark.createDataFrame([(9000, "src9", None), (9001, "src9", "")], "doc_id bigint, source string, text string"))
+    got = dict(mixing.rates(docs, {"src0": 0.3, "src1": 0.1, "src8": 0.2, "src9": 0.2}, 0.2))
+    # present: src0, src1 and the rest (two sources), 0.6 of the targets; src9 has no characters
+    assert got == pytest.approx({"": 0.2 / 0.6 * 2, "src0": 0.3 / 0.6 * 4, "src1": 0.1 / 0.6 * 4, "src9": 0.0})
+    assert abs(mixing.replicate(docs, {"src0": 0.3, "gone": 0.3}, 0.4).count() - 4000) < 300
+    assert dict(mixing.rates(docs, {"gone": 1.0}, 0.0)) == {"": 0.0}
+    assert dict(mixing.rates(docs.limit(0), mixing.RECIPE, mixing.OTHER)) == {}
+
+
 def test_mixing_draws_are_poisson_at_small_and_large_means(spark):
     docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("word").alias("text"),
                                     F.when(F.col("id") < 40, "few").otherwise("many").alias("source"))

@@ -1,0 +1,132 @@
+import hashlib
+import random
+import re
+import zlib
+from fractions import Fraction
+
+import pytest
+from pyspark.sql import functions as F
+
+from keyledger.llm import periodic as P
+from tests.llm import fixtures as fx
+
+
+def brute_runs(w, min_words=24, min_exponent=3):
+    out = set()
+    for p in range(1, len(w) // min_exponent + 1):
+        i = 0
+        while i + p < len(w):
+            if w[i] != w[i + p]:
+                i += 1
+                continue
+            a = i
+            while i + p < len(w) and w[i] == w[i + p]:
+                i += 1
+            n = i - a + p
+            if n >= max(min_words, min_exponent * p) and not any(
+                    all(w[k] == w[k + q] for k in range(a, a + n - q)) for q in range(1, p)):
+                out.add((a, n, p))
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def words_of(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def brute_collapsed(w, runs):
+    gone = {k for a, n, p in runs for k in range(a + p, a + n)}
+    return " ".join(x for k, x in enumerate(w) if k not in gone)
+
+
+def some_words(rng):
+    n, k = rng.randrange(0, 70), rng.choice([1, 2, 3])
+    w = [rng.randrange(1, k + 1) for _ in range(n)]
+    if n > 4 and rng.random() < 0.6:
+        p = rng.randrange(1, n // 2)
+        a = rng.randrange(n - p)
+        for i in range(a, n):
+            w[i] = w[a + (i - a) % p] if rng.random() < 0.98 else rng.randrange(1, k + 1)
+    return w
+
+
+@pytest.mark.parametrize("min_words,min_exponent", [(2, 2), (6, 2), (6, 3), (24, 3)])
+def test_runs_against_brute_force(min_words, min_exponent):
+    rng = random.Random(min_words * 10 + min_exponent)
+    for _ in range(400):
+        w = some_words(rng)
+        assert [tuple(r) for r in P.runs_of(w, min_words, min_exponent).tolist()] == brute_runs(w, min_words, min_exponent), w
+
+
+def test_tree_agrees_and_ranks_like_the_suffixes():
+    import numpy as np
+    rng = random.Random(2)
+    for _ in range(100):
+        w = some_words(rng) or [1]
+        n, tree = len(w), P.SuffixTree(w)
+        assert np.argsort(tree.rank).tolist() == sorted(range(n + 1), key=lambda i: w[i:])
+        pairs = [(i, j) for i in range(n + 1) for j in range(n + 1) if i != j]
+        i, j = (np.array([p[k] for p in pairs]) for k in (0, 1))
+        want = [next((k for k in range(n) if max(a, b) + k >= n or w[a + k] != w[b + k]), n) for a, b in pairs]
+        assert tree.agree(i, j).tolist() == want
+
+
+def test_what_is_cut_out_holds_no_run(spark):
+    rng = random.Random(9)
+    vocab = [f"w{i}" for i in range(200)]
+    texts = []
+    for _ in range(120):
+        w = [rng.choice(vocab) for _ in range(rng.randrange(0, 300))]
+        for _ in range(rng.randrange(4)):
+            p, e = rng.randrange(1, 12), rng.uniform(2.5, 9)
+            root = [rng.choice(vocab) for _ in range(p)]
+            at = rng.randrange(len(w) + 1)
+            w[at:at] = (root * 12)[:int(p * e)]
+        if rng.random() < 0.3:
+            w += w[:40]  # a passage that repeats without being a run
+        texts.append(rng.choice([" ", "\n", "\t "]).join(w))
+    docs = spark.createDataFrame([(i if i % 9 else None, t) for i, t in enumerate(texts)], "doc_id bigint, text string").repartition(3)
+    got = sorted(((r.doc_id, r.n_words, [tuple(x) for x in r.runs], r.collapsed) for r in P.periodic_runs(docs).collect()), key=str)
+    want = []
+    for i, t in enumerate(texts):
+        w = words_of(t)
+        runs = brute_runs(w)
+        want.append((i if i % 9 else None, len(w), runs, brute_collapsed(w, runs)))
+    assert got == sorted(want, key=str) and sum(len(r[2]) for r in got) > 60
+
+
+def test_odd_documents(spark):
+    docs = fx.documents(spark, with_given=False)
+    got = P.periodic_runs(fx.with_extra(docs)).collect()
+    assert sorted((r.doc_id or -1, r.n_words) for r in got) == sorted((i or -1, len(words_of(t))) for i, t in fx.pairs(docs))
+    long_ = spark.createDataFrame([(1, "a b c " * 60_000 + "end"), (2, "x " * 24), (3, "x " * 23), (4, "é ü " * 12), (5, "A a " * 12 + "a")],
+                                  "doc_id bigint, text string")
+    found = {r.doc_id: [tuple(x) for x in r.runs] for r in P.periodic_runs(long_).collect()}
+    assert found == {1: [(0, 180_000, 3)], 2: [(0, 24, 1)], 3: [], 4: [(0, 24, 2)], 5: [(0, 24, 2)]}
+    assert P.periodic_runs(docs.limit(0)).collect() == []
+
+
+def test_the_query_against_brute_force(spark):
+    from keyledger.llm.queries import QUERIES
+    got = {r.doc_id: tuple(r)[1:] for r in QUERIES["op12_periodic_runs"](spark, fx.SF).collect()}
+    n_runs = 0
+    for r in spark.read.parquet(f"{fx.SF}/documents.parquet").collect():
+        w, h = words_of(r.text), zlib.crc32(str(r.doc_id).encode())
+        n, g = len(w), h // 10
+        if h % 10 == 0 and n:
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            w = [w[i] if i < a else w[a + (i - a) % p] for i in range(n)]
+        runs = brute_runs(w)
+        n_runs += len(runs)
+        best = min(runs, key=lambda q: (-Fraction(q[1], q[2]), q[0], q[2])) if runs else (None, None, None)
+        sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+        assert got[r.doc_id] == (len(runs), *best, 1000 * best[1] // best[2] if runs else None,
+                                 sha("".join(f"{a},{n},{p}\n" for a, n, p in runs)), sha(brute_collapsed(w, runs)))
+    assert n_runs > 10
+
+
+def test_null_ids_and_texts_of_the_tails(spark):
+    docs = spark.createDataFrame([(None, "a b c"), (5, None), (None, None)], "doc_id bigint, text string")
+    assert sorted(map(str, P.repeat_tails(docs).collect())) == sorted(
+        map(str, spark.createDataFrame([(None, "a b c"), (5, ""), (None, "")], "doc_id bigint, text string").collect()))
+    assert P.periodic_runs(docs).where(F.col("n_words") == 0).count() == 2

@@ -333,4 +333,7 @@ SELECT d.day, (SELECT sum(x.n) FROM d x WHERE x.day <= d.day)::BIGINT AS n_rows,
     "objects_put": f"""SELECT 'output/id/mock:id:'||user_id AS object_key,
   CASE WHEN user_id % 2 = 0 THEN 'new:' ELSE 'old:' END || 'mock:id:' || user_id AS content
   FROM (SELECT DISTINCT user_id FROM events WHERE event_type IN {CORE})""",
+    "audit_few_users": f"""SELECT * FROM ({_status_sql()}) WHERE id IN (
+  SELECT 'mock:id:'||user_id FROM events WHERE event_type IN {CORE} AND epoch_us(ts) // 1000 >
+    (SELECT max(epoch_us(ts) // 1000) FROM events WHERE event_type IN {CORE}) - 86400000)""",
 }

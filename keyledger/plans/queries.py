@@ -24,7 +24,7 @@ from keyledger.operators import batches, events, fold_state, generate, ids, inde
 from keyledger.operators.families import EventFamily, TrackedField
 from keyledger.plans import jobs
 from keyledger.session import scratch_path, stage, stage_all
-from keyledger.sinks import buckets, delivery, writers
+from keyledger.sinks import buckets, delivery, sorted_index, writers
 from keyledger.sources import catalog, eventlog, stored_logs, tables
 from keyledger.streaming import consume
 from keyledger.streaming import live_insert as live
@@ -261,6 +261,20 @@ def q_index_status_csv(spark, sf):
     return index.status_lines(_status(spark, sf)).withColumnRenamed("value", "line")
 
 
+def q_audit_few_users(spark, sf):
+    # The users of the log's last day against sorted old indexes.
+    base = scratch_path(spark, "sorted")
+    old = stage(_pop(spark, sf, OLD_CUT), "fields-old")
+    sorted_index.write_sorted(writers.upsert(None, index.index_rows(old), ["key"]), f"{base}/index", "key", 1000)
+    sorted_index.write_sorted(writers.upsert(None, index.lookup_rows(old), ["id", "key"]), f"{base}/lookup", "id", 1000)
+    core, _ = _logs(spark, sf)
+    ms = C.timeuuid_millis(F.col("time"))
+    last = core.agg(F.max(ms)).first()[0]
+    recent = core.where(ms > (last or 0) - 86_400_000).select("id").distinct()
+    fields = stage(_pop(spark, sf).join(recent, "id", "left_semi"), "fields")
+    return index.status_flat(sorted_index.audit_few(spark, fields, f"{base}/index", f"{base}/lookup"))
+
+
 def _index_upsert(pop, old):
     existing = writers.upsert(None, index.index_rows(old), ["key"])
     return writers.upsert(existing, index.index_rows(pop), ["key"])
@@ -660,4 +674,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "extraction_sketches": q_extraction_sketches,
     "outbox_consumed": q_outbox_consumed,
     "objects_put": q_objects_put,
+    "audit_few_users": q_audit_few_users,
 }

@@ -81,3 +81,18 @@ def test_staged_fields_are_removed(spark):
     J.generate_index(spark, core, contact, base + "/index", base + "/lookup")
     J.send_ids(core, base + "/queue", "a")
     assert held() <= before  # neither run left a staged table behind
+
+
+def test_objects_keyed_by_a_pandas_udf(spark):
+    """The key function may be a vectorised one of the caller's."""
+    import pandas as pd
+    from pyspark.sql import functions as F
+    from keyledger.operators import objects
+
+    @F.pandas_udf("string")
+    def key(ids: pd.Series) -> pd.Series:
+        return "by-md5/" + ids.str[-1]
+
+    rows = spark.createDataFrame([("a1", "x"), ("b1", "z"), ("a2", "y")], "id string, v string")
+    got = {r.object_key: r.content for r in objects.keyed_objects(rows, key=key(F.col("id")), content=F.col("v")).collect()}
+    assert got == {"by-md5/1": "z", "by-md5/2": "y"}

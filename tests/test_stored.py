@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from keyledger import schemas
 from keyledger.operators import events, ids, sketches as K
-from keyledger.session import scratch_path
+from keyledger.operators import index as X
+from keyledger.session import scratch_path, stage
+from keyledger.sinks import sorted_index
+from keyledger.sinks import writers as W
 from keyledger.sources import eventlog, stored_logs
 from keyledger.sources.catalog import CatalogTables
 from keyledger.streaming import live_insert as L
@@ -80,3 +83,49 @@ def test_a_half_written_batch_is_not_in_a_snapshot(spark):
     assert {r.id for r in L.event_table(spark, base).collect()} == {"a", "b", "c"}
     write(rows("again"), 0)                           # replayed after its commit: not written again
     assert {(r.id, r.batch_id) for r in L.read_inserted(spark, base).collect()} == {("a", 0), ("b", 0), ("c", 1)}
+
+
+def _rows_scanned(frame) -> int:
+    """Rows that the scans of an executed plan have given out."""
+    plan, total, todo = frame._jdf.queryExecution().executedPlan(), 0, []
+    todo = [plan]
+    while todo:
+        p = todo.pop()
+        if p.nodeName().startswith("AdaptiveSparkPlan"):
+            todo.append(p.executedPlan())
+        elif "QueryStage" in p.nodeName():
+            todo.append(p.plan())
+        if p.nodeName().startswith("Scan parquet"):
+            total += p.metrics().apply("numOutputRows").value()
+        todo += [p.children().apply(i) for i in range(p.children().size())]
+    return total
+
+
+def test_few_claims_read_a_small_share_of_a_sorted_index(spark):
+    n, path = 60_000, scratch_path(spark, "sorted")
+    table = spark.range(n).select(F.concat(F.lit("k:"), F.md5(F.col("id").cast("string"))).alias("key"), F.concat(F.lit("u"), "id").alias("value"))
+    sorted_index.write_sorted(table, path, "key", rows_per_group=500)
+    read = spark.read.schema(schemas.UNIQUENESS_INDEX).parquet(path)
+    here = [r.key for r in table.where("id % 2500 = 7").collect()]
+    absent = [f"k:{i:02x}absent" for i in range(40)]
+    few = sorted_index.rows_of(read, "key", sorted(here + absent))
+    assert sorted(r.key for r in few.collect()) == sorted(here) and len(here) == 24
+    assert _rows_scanned(few) <= 24 * 500 / 2  # pages of the 24 keys: under a tenth of the index; the absent keys' groups are skipped
+    none = sorted_index.rows_of(read, "key", absent)
+    assert none.collect() == [] and _rows_scanned(none) < 500 * 3
+    assert sorted_index.rows_of(read, "key", None).count() == n and sorted_index.rows_of(read, "key", []).count() == 0
+    assert sorted_index.few(read.select("key"), 50) is None and len(sorted_index.few(few.select("key"), 50)) == 24
+
+
+def test_audit_of_few_equals_the_audit(spark):
+    core, contact = eventlog.event_logs(spark, SF)
+    fields = stage(events.populate_from_logs(core, contact), "fields")
+    old = events.populate_from_logs(*eventlog.event_logs(spark, SF, "2024-01-29"))
+    base = scratch_path(spark, "sorted")
+    index, lookup = W.upsert(None, X.index_rows(old), ["key"]), W.upsert(None, X.lookup_rows(old), ["id", "key"])
+    sorted_index.write_sorted(index, f"{base}/i", "key", 10)
+    sorted_index.write_sorted(lookup, f"{base}/l", "id", 10)
+    some = stage(fields.where("id like '%1'").unionByName(spark.createDataFrame([("new", None, None, None)], fields.schema)), "some")
+    want = sorted(map(str, X.audit(some, index, lookup).collect()))
+    for limit in (3000, 1):  # by keys, and by the whole index
+        assert sorted(map(str, sorted_index.audit_few(spark, some, f"{base}/i", f"{base}/l", limit).collect())) == want

@@ -4,24 +4,31 @@ Documents become token ids.  Long ones fill whole windows by themselves; what
 is left over is packed by retrieval: within a shard, an inverted index with
 BM25 weights returns the unused documents most like a seed, and they fill the
 seed's window greedily, best first; the last is cut where the window ends and
-its rest stays available.  Only a shard's last sequence can be short, and it is
-cut into powers of two, which need no padding.
+its rest stays available.  All ids of the seed query the index, and every
+document that shares one is scored; scores of many seeds at once are products of
+dense blocks of the index, where that is cheaper than adding up its postings.
+Only a shard's last sequence can be short, and it is cut into powers of two,
+which need no padding.
 
 A term is a token id, so the vocabulary is the tokenizer's: document
 frequencies are counted over all documents and their table, one number per id,
-is bounded by the vocabulary and broadcast.  Shards are ranges of a content
-signature (two rare ids of the document), so like documents lie together; ties
-are split by a hash of the row, so a hot group of copies is cut into as many
-shards as it needs.
+is bounded by the vocabulary and broadcast.  A document's signature is two of its
+ids, drawn by a hash weighted by rarity, so that documents which share rare ids
+tend to share it; shards are ranges of signatures, cut by ``sharding``'s splitters
+and ended by a hash of the row, so a hot group of copies is cut into as many
+shards as it needs.  Shards, and with them sequences, are the same however the
+input is partitioned.
 
 Defined cases: a null text counts as empty and is one token, the end; rows that
-repeat an id are packed each on its own.  An empty table gives an empty result.
+repeat an id are packed each on its own, and rows that agree in id and text are
+interchangeable.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import base64
 import os
-import zlib
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -31,17 +38,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keyledger.llm.common import documents, text_or_empty
+from keyledger.llm.sharding import split
+from keyledger.llm.words import mix
 from keyledger.session import stage
 
 WINDOW = 2048
 END = 1                       # id that closes every document
 TOKENIZER = "byte_bpe_50k"    # a name for public_tokenizers.path
 SHARD_TOKENS = 1_500_000      # tokens of a shard, about
-QUERY_TERMS = 12              # rarest ids of a seed that query the index
-NEIGHBOURS = 24               # hits read at a time
-ENCODE_CHARS = 1 << 18        # characters encoded at a time; a longer text goes alone
+SEEDS = 128                   # scored at a time, at most
+DENSE = 4_000_000             # numbers of a dense block of the index
+LONG_RUN = 20_000             # characters of one kind in a row that the fast encoder is not given
 K1, B = 1.2, 0.75
 
+# How the vocabulary's file cuts texts into words, and its added token.
+WORDS = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+ADDED, ADDED_ID = "<|endoftext|>", 50256
+_RUN = re.compile(rf"\s{{{LONG_RUN}}}|\w{{{LONG_RUN}}}|[^\w\s]{{{LONG_RUN}}}")
+
+
 @lru_cache(maxsize=2)
 def tokenizer(name: str):
     """The public vocabulary as its tokenizers file has it, added tokens
@@ -53,19 +68,37 @@ def tokenizer(name: str):
     return Tokenizer.from_file(public_tokenizers.path(f"{name}.json"))
 
 
+@lru_cache(maxsize=2)
+def fast_encoder(name: str):
+    """The same vocabulary in an encoder that gives the same ids several times as
+    fast, for text without added tokens (the tests compare them)."""
+    import public_tokenizers
+    import tiktoken
+
+    with open(public_tokenizers.path(f"{name}.tiktoken"), "rb") as f:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
+    return tiktoken.Encoding(name, pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
+
+
+def text_ids(text: str, name: str = TOKENIZER) -> list[int]:
+    """The ids that the tokenizers file gives a whole text; the string of its
+    added token is that token's id.  A text with a very long run of blanks, letters
+    or signs goes to the tokenizers library itself."""
+    if len(text) >= LONG_RUN and _RUN.search(text):
+        return tokenizer(name).encode(text, add_special_tokens=False).ids
+    encode = fast_encoder(name).encode_ordinary
+    if ADDED not in text:
+        return encode(text)
+    out: list[int] = []
+    for n, part in enumerate(text.split(ADDED)):
+        out += [ADDED_ID] * (n > 0) + encode(part)
+    return out
+
+
 def encoded(texts: list[str], name: str = TOKENIZER) -> Iterator[bytes]:
-    """Token ids of whole texts, each with the end, as little-endian uint16
-    bytes.  The string of an added token is that token's id.  Texts are encoded
-    some at a time: the encoder keeps much more of a token than its id."""
-    whole, at = tokenizer(name), 0
-    while at < len(texts):
-        stop, size = at + 1, len(texts[at])
-        while stop < len(texts) and size + len(texts[stop]) <= ENCODE_CHARS:
-            size += len(texts[stop])
-            stop += 1
-        for e in whole.encode_batch_fast(texts[at:stop], add_special_tokens=False):
-            yield np.array([*e.ids, END], dtype="<u2").tobytes()
-        at = stop
+    """Token ids of whole texts, each with the end, as little-endian uint16 bytes."""
+    for text in texts:
+        yield np.array([*text_ids(text, name), END], dtype="<u2").tobytes()
 
 
 def token_ids(text: str, name: str = TOKENIZER) -> bytes:
@@ -74,26 +107,17 @@ def token_ids(text: str, name: str = TOKENIZER) -> bytes:
 
 
 def tokenized(docs: DataFrame, name: str = TOKENIZER) -> DataFrame:
-    """doc_id, ids (uint16 little-endian), n, and where the row is dealt: sig
-    (content signature) and salt."""
+    """doc_id, ids (uint16 little-endian), n of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row = 0
         for batch in batches:
             ids = list(encoded(batch.column("text").to_pylist(), name))
-            n = [len(x) // 2 for x in ids]
-            sig, salt = [], []
-            for x in ids:
-                a = np.sort(np.unique(np.frombuffer(x, dtype="<u2")).astype(np.uint32) * np.uint32(2654435761))[:2]
-                sig.append(int(a[0]) << 31 | int(a[-1]) >> 1)
-                salt.append(zlib.crc32(x, row) ^ row)
-                row += 1
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(ids, pa.binary()), pa.array(n, pa.int64()),
-                 pa.array(sig, pa.int64()), pa.array(salt, pa.int64())], names=["doc_id", "ids", "n", "sig", "salt"])
+                [batch.column("doc_id"), pa.array(ids, pa.binary()), pa.array([len(x) // 2 for x in ids], pa.int64())],
+                names=["doc_id", "ids", "n"])
 
-    return docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(
-        run, "doc_id bigint, ids binary, n bigint, sig bigint, salt bigint")
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(
+        run, "doc_id bigint, ids binary, n bigint")
 
 
 def document_frequencies(tokens: DataFrame) -> np.ndarray:
@@ -115,38 +139,80 @@ def document_frequencies(tokens: DataFrame) -> np.ndarray:
     return df
 
 
+def signatures(tokens: DataFrame, idf) -> DataFrame:
+    """``tokens`` with ``__hash``, the signature: of the document's ids, the two
+    whose exponential clocks (from a hash, at the rate of their rarity)
+    ring first; two documents share the first with the probability of their
+    weighted overlap."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = np.arange(1 << 16, dtype=np.uint64)
+        clock = -np.log((mix(ids + np.uint64(1)) >> np.uint64(11)).astype(np.float64) / (1 << 53) + 2.0 ** -54) / idf.value
+        place = np.empty(1 << 16, dtype=np.int64)
+        place[np.argsort(clock, kind="stable")] = np.arange(1 << 16)
+        for batch in batches:
+            sig = []
+            for x in batch.column("ids"):
+                at = place[np.frombuffer(x.as_py(), dtype="<u2")]
+                first = int(at.min())
+                rest = at[at != first]
+                sig.append(int(mix(np.uint64([first]))[0] >> np.uint64(24)) << 16 | (int(rest.min()) if len(rest) else 0))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sig, pa.int64())], names=[*batch.schema.names, "__hash"])
+
+    return tokens.mapInArrow(run, "doc_id bigint, ids binary, n bigint, __hash bigint")
+
+
 class Index:
-    """BM25 over the units of one shard: postings sorted by term, and for each
-    unit its rarest terms, which query the index."""
+    """BM25 over the units of one shard.  A unit's query is all its ids; ids that
+    no other unit has find nothing and are left out."""
 
     def __init__(self, units: list[np.ndarray], idf: np.ndarray, mean_length: float):
+        self.n = len(units)
         lengths = np.array([len(u) for u in units], dtype=np.int64)
-        unit = np.repeat(np.arange(len(units)), lengths)
-        code, tf = np.unique(unit << 16 | np.concatenate(units).astype(np.int64) if len(units) else
-                             np.zeros(0, np.int64), return_counts=True)
-        unit, term = code >> 16, code & 0xFFFF
+        unit = np.repeat(np.arange(self.n), lengths)
+        code, tf = np.unique(np.concatenate(units).astype(np.int64) << 32 | unit if self.n else np.zeros(0, np.int64), return_counts=True)
+        term, unit = code >> 32, code & 0xFFFFFFFF
+        shared = np.bincount(term, minlength=1 << 16)[term] > 1
+        term, unit, tf = term[shared], unit[shared], tf[shared]
         norm = K1 * (1 - B + B * lengths[unit] / max(mean_length, 1))
-        weight = idf[term] * tf * (K1 + 1) / (tf + norm)
-        by_rarity = np.lexsort((term, -idf[term], unit))
-        first = np.searchsorted(unit, np.arange(len(units) + 1))
-        self.queries = [term[by_rarity[a:min(b, a + QUERY_TERMS)]] for a, b in zip(first[:-1], first[1:], strict=True)]
-        order = np.argsort(term, kind="stable")
-        self.unit, self.weight = unit[order], weight[order]
-        self.first = np.searchsorted(term[order], np.arange((1 << 16) + 1))
-        self.n = len(units)
-
-    def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
-        """Unused units that share a query term with the seed, best first (a
-        block of them; equal scores by unit number)."""
-        spans = [slice(self.first[t], self.first[t + 1]) for t in self.queries[seed]]
-        if not spans:
-            return np.zeros(0, np.int64)
-        hit = np.concatenate([self.unit[s] for s in spans])
-        weight = np.concatenate([self.weight[s] for s in spans])
-        live = unused[hit]
-        hit, place = np.unique(hit[live], return_inverse=True)
-        score = np.bincount(place, weights=weight[live], minlength=len(hit))
-        return hit[np.lexsort((hit, -score))[:NEIGHBOURS]]
+        self.weight = (idf[term] * tf * (K1 + 1) / (tf + norm)).astype(np.float32)
+        self.unit = unit
+        _, first, self.term = np.unique(term, return_index=True, return_inverse=True)
+        self.first = np.append(first, len(term))
+        by_unit = np.argsort(unit, kind="stable")
+        self.terms_of = self.term[by_unit]
+        self.first_of = np.searchsorted(unit[by_unit], np.arange(self.n + 1))
+
+    def scores(self, seeds: np.ndarray) -> np.ndarray:
+        """The score of every unit for every seed (itself: zero)."""
+        n_terms = len(self.first) - 1
+        queries = [self.terms_of[self.first_of[s]:self.first_of[s + 1]] for s in seeds.tolist()]
+        terms = np.concatenate(queries)
+        postings = int((self.first[terms + 1] - self.first[terms]).sum())
+        # Nanoseconds, about: a list and a posting; a number of a block made, and a product.
+        if 3000 * len(terms) + 10 * postings <= n_terms * self.n * (2 + 0.05 * len(seeds)):
+            out = np.zeros((len(seeds), self.n), dtype=np.float32)
+            for k, q in enumerate(queries):
+                at = np.concatenate([np.arange(a, b) for a, b in zip(self.first[q].tolist(), self.first[q + 1].tolist(), strict=True)] or [
+                    np.zeros(0, np.int64)])
+                out[k] = np.bincount(self.unit[at], weights=self.weight[at], minlength=self.n)
+        else:
+            out = np.zeros((len(seeds), self.n), dtype=np.float32)
+            asked = np.repeat(np.arange(len(seeds)), [len(q) for q in queries])
+            order = np.argsort(terms, kind="stable")
+            asked, terms = asked[order], terms[order]
+            step = max(1, DENSE // self.n)
+            for low in range(0, n_terms, step):
+                high = min(low + step, n_terms)
+                a, b = self.first[low], self.first[high]
+                block = np.zeros((high - low, self.n), dtype=np.float32)
+                block[self.term[a:b] - low, self.unit[a:b]] = self.weight[a:b]
+                x, y = np.searchsorted(terms, [low, high])
+                query = np.zeros((len(seeds), high - low), dtype=np.float32)
+                query[asked[x:y], terms[x:y] - low] = 1
+                out += query @ block
+        out[np.arange(len(seeds)), seeds] = 0
+        return out
 
 
 def pack_shard(tokens: list[np.ndarray], idf: np.ndarray, mean_length: float,
@@ -163,17 +229,25 @@ def pack_shard(tokens: list[np.ndarray], idf: np.ndarray, mean_length: float,
         left.append(len(ids) - whole * window)
     begin, left = np.array(begin, dtype=np.int64), np.array(left, dtype=np.int64)
     owner = np.flatnonzero(left)
-    index = Index([tokens[d][begin[d]:] for d in owner], idf, mean_length)
+    units = [tokens[d][begin[d]:] for d in owner]
+    index = Index(units, idf, mean_length)
+    ahead = max(1, int(SEEDS * min(1.0, left.sum() / max(len(owner), 1) / window)))  # of so many units most become seeds
     unused = np.ones(len(owner), dtype=bool)
+    scored: dict[int, np.ndarray] = {}
     filled, next_unit = 0, 0
     while True:
         while next_unit < len(owner) and not unused[next_unit]:
             next_unit += 1
         if next_unit == len(owner):
             break
-        seed, queue = next_unit, [next_unit]
-        while queue:
-            u = queue.pop(0)
+        seed = next_unit
+        if seed not in scored:
+            batch = seed + np.flatnonzero(unused[seed:])[:ahead]
+            scored = dict(zip(batch.tolist(), index.scores(batch), strict=True))
+        score = scored[seed]
+        near = np.flatnonzero((score > 0) & unused)
+        near = near[np.lexsort((near, -score[near]))]  # best first, equal ones by their place in the shard
+        for u in [seed, *near.tolist()]:
             d = owner[u]
             take = int(min(left[d], window - filled))
             pieces.append((int(d), int(begin[d]), take, sequence, filled))
@@ -184,8 +258,6 @@ def pack_shard(tokens: list[np.ndarray], idf: np.ndarray, mean_length: float,
             if filled == window:
                 sequence, filled = sequence + 1, 0
                 break
-            if not queue:
-                queue = index.neighbours(seed, unused).tolist()
     return _powers_of_two(pieces, sequence, filled)
 
 
@@ -207,49 +279,71 @@ def _powers_of_two(pieces: list[tuple[int, int, int, int, int]], last: int, fill
     return done
 
 
-PIECE = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
+PIECE = ("doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, "
          "sequence_id bigint, offset bigint")
 
 
-def pack(docs: DataFrame, window: int = WINDOW, shard_tokens: int = SHARD_TOKENS, name: str = TOKENIZER) -> DataFrame:
-    """One row per piece; a sequence is the rows of one sequence_id."""
-    from pyspark import TaskContext
+def dealt(tokens: DataFrame, n_tokens: int, shards: int) -> tuple[DataFrame, int]:
+    """``tokens`` with ``__shard``, and how many there are: ranges of (signature,
+    hash of the row) of about equal tokens.  One row repeated very often is dealt
+    to several shards."""
+    rows = tokens.withColumn("__tie", F.xxhash64("doc_id", "ids"))
+    keys = stage(rows.groupBy("__hash", "__tie", F.col("n").alias("__size")).agg(F.count(F.lit(1)).alias("copies")), "packing-keys")
+    splitters, found = split(keys.withColumn("weight", (F.col("__size") * F.col("copies")).cast("double")), float(n_tokens), shards)
+    table, first = [], 0
+    for r in found:
+        parts = max(1, min(r["rows"], round(r["weight"] * shards / n_tokens))) if r["keys"] == 1 else 1
+        table.append((r["range"], first, parts))
+        first += parts
+    ranges = F.broadcast(tokens.sparkSession.createDataFrame(table, "range int, first int, parts int"))
+    part = F.col("first") + F.pmod(F.monotonically_increasing_id(), F.col("parts")).cast("int")
+    return rows.select("*", splitters.column().alias("range")).join(ranges, "range").select(*rows.columns, part.alias("__shard")), first
+
 
+def pack(docs: DataFrame, window: int = WINDOW, shard_tokens: int = SHARD_TOKENS, name: str = TOKENIZER) -> DataFrame:
+    """One row per piece, with its ``ids`` (little-endian unsigned 32-bit numbers)
+    and their ``ids_crc32``; a sequence is the rows of one sequence_id."""
     spark = docs.sparkSession
     tokens = stage(tokenized(docs, name), "packing-tokens")
     n_docs, n_tokens = tokens.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    if not n_docs:
+        return _with_crc(spark.createDataFrame([], PIECE))
     df = document_frequencies(tokens)
     idf = np.log1p((n_docs - df + 0.5) / (df + 0.5))
     shared = spark.sparkContext.broadcast(idf)
-    mean_length = n_tokens / max(n_docs, 1)
-    shards = max(1, -(-n_tokens // shard_tokens))
+    mean_length = n_tokens / n_docs
+    placed, shards = dealt(signatures(tokens, shared), n_tokens, max(1, -(-n_tokens // shard_tokens)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, names = [], []
+        ids, names, shard = [], [], 0
         for batch in batches:
             ids += [np.frombuffer(x.as_py(), dtype="<u2") for x in batch.column("ids")]
             names.append(batch.column("doc_id"))
+            shard = batch.column("__shard")[0].as_py() if batch.num_rows else shard
         if not ids:
             return
-        first_sequence = TaskContext.get().partitionId() << 36
         doc, start, length, sequence, offset = (np.array(x, dtype=np.int64) for x in zip(
             *pack_shard(ids, shared.value, mean_length, window), strict=True))
-        crc = [zlib.crc32(ids[d][s:s + n].astype("<u4").tobytes()) for d, s, n in
-               zip(doc.tolist(), start.tolist(), length.tolist(), strict=True)]
+        piece = [ids[d][s:s + n].astype("<u4").tobytes() for d, s, n in zip(doc.tolist(), start.tolist(), length.tolist(), strict=True)]
         size = np.array([len(x) for x in ids], dtype=np.int64)
         doc_id = pa.chunked_array(names).take(pa.array(doc)).combine_chunks()
-        columns = [doc_id, start, length, pa.array(crc, pa.int64()), size[doc], sequence + first_sequence, offset]
+        columns = [doc_id, start, length, pa.array(piece, pa.binary()), size[doc], sequence + (shard << 36), offset]
         yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns],
                                          names=[c.split()[0] for c in PIECE.split(", ")])
 
-    dealt = tokens.repartitionByRange(shards, "sig", "salt").sortWithinPartitions("sig", "salt", "doc_id")
-    return dealt.select("doc_id", "ids").mapInArrow(run, PIECE)
+    moved = placed.repartitionById(shards, F.col("__shard")).sortWithinPartitions("__hash", "__tie", "doc_id")
+    return _with_crc(moved.select("doc_id", "ids", "__shard").mapInArrow(run, PIECE))
+
+
+def _with_crc(pieces: DataFrame) -> DataFrame:
+    return pieces.withColumn("ids_crc32", F.crc32("ids"))
 
 
 def op8_packing(spark, sf_dir: str) -> DataFrame:
-    return pack(documents(spark, sf_dir))
+    return pack(documents(spark, sf_dir)).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
 def stage_packing(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the pieces of all documents."""
+    """Pipeline stage: the pieces of all documents, with their ids."""
     return pack(docs)

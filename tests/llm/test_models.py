@@ -224,5 +224,65 @@ def test_packing_puts_like_documents_together():
     assert np.mean([c.most_common(1)[0][1] / sum(c.values()) for c in by_sequence.values()]) > 0.85
 
 
+def test_fast_ids_are_the_files_ids_for_any_text():
+    import random
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    points = [c for c in range(0x3400) if not 0xD800 <= c < 0xE000] + list(range(0x3400, 0x30000, 37)) + list(range(0xE0000, 0x110000, 997))
+    texts = [f"a{chr(c)}b {chr(c)}{chr(c)}1 {chr(c)} \n{chr(c)}'s" for c in points if not 0xD800 <= c < 0xE000]
+    rng = random.Random(6)
+    usual = [chr(c) for c in (32, 9, 10, 13, 39, 46, 48, 49, 0xA0, 0x2003, 0x3000, 0x1F600, 0xE9, 0x4E2D)] + ["'s", "'ll", "<|endoftext|>", "<|", "|>", "the"]
+    texts += ["".join(rng.choice(usual) if rng.random() < .7 else chr(rng.randrange(32, 0xD800)) for _ in range(rng.randrange(1, 40))) for _ in range(3000)]
+    texts += [c * n for c in ("a", "!", "é", "1", "\n", " ") for n in (packing.LONG_RUN - 1, packing.LONG_RUN, packing.LONG_RUN + 5)]
+    for text, e in zip(texts, whole.encode_batch_fast(texts, add_special_tokens=False)):
+        assert packing.text_ids(text) == e.ids, repr(text[:60])
+
+
+def plain_bm25(units, idf, mean):
+    counts = [Counter(u.tolist()) for u in units]
+    norm = [packing.K1 * (1 - packing.B + packing.B * len(u) / mean) for u in units]
+    return np.array([[0.0 if a == b else sum(idf[t] * counts[b][t] * (packing.K1 + 1) / (counts[b][t] + norm[b]) for t in counts[a] if t in counts[b])
+                      for b in range(len(units))] for a in range(len(units))])
+
+
+@pytest.mark.parametrize("dense", [4_000_000, 200])
+def test_retrieval_is_plain_bm25_over_all_ids(spark, dense, monkeypatch):
+    monkeypatch.setattr(packing, "DENSE", dense)
+    units = [np.frombuffer(packing.token_ids(t), dtype="<u2")[:300] for _, t in fx.pairs(fx.documents(spark))][:120]
+    df = np.bincount(np.concatenate([np.unique(u) for u in units]), minlength=1 << 16)
+    idf = np.log1p((len(units) - df + .5) / (df + .5))
+    mean = sum(map(len, units)) / len(units)
+    index, want = packing.Index(units, idf, mean), plain_bm25(units, idf, mean)
+    for seeds in (np.arange(len(units)), np.array([5])):
+        got = index.scores(seeds)
+        assert np.allclose(got, want[seeds], rtol=1e-4, atol=1e-3)
+        assert (got.argmax(axis=1) == want[seeds].argmax(axis=1)).mean() > 0.98
+    # The first window takes the first unit and its neighbours, best first.
+    pieces = packing.pack_shard(units, idf, mean, window=2048)
+    first = [d for d, *_, s, _ in sorted(pieces, key=lambda p: p[4]) if s == 0]
+    order = np.lexsort((np.arange(len(units)), -want[0]))
+    assert first == [0, *[int(u) for u in order if want[0][u] > 0]][:len(first)] and len(first) > 4
+
+
+def test_sequences_do_not_depend_on_the_partitioning(spark, docs):
+    rows = docs.where("doc_id is not null").dropDuplicates(["doc_id"])
+    get = lambda d: sorted(map(tuple, packing.pack(d, 512, 40_000).collect()))
+    assert get(rows.coalesce(1)) == get(rows.repartition(7))
+
+
+def test_a_row_repeated_very_often_is_dealt_to_several_shards(spark):
+    same = spark.range(3000).select(F.lit(1).cast("bigint").alias("doc_id"), F.lit("one text that is the same in every row").alias("text"))
+    rows = same.unionByName(spark.range(500).select((F.col("id") + 10).alias("doc_id"), F.concat(F.lit("text number "), "id").alias("text")))
+    out = packing.pack(rows, 256, 5000).collect()
+    assert sum(r.length for r in out) == 3000 * len(packing.token_ids("one text that is the same in every row")) // 2 + sum(
+        len(packing.token_ids(f"text number {i}")) // 2 for i in range(500))
+    shards = Counter()
+    for r in out:
+        shards[r.sequence_id >> 36] += r.length
+    assert len(shards) > 4 and max(shards.values()) < 15_000
+
+
 def test_packing_without_rows(spark, docs):
     assert packing.pack(docs.where("false")).count() == 0

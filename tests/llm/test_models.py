@@ -90,6 +90,62 @@ def test_quality_scores_held_out_rows_well(spark):
     assert np.mean([p for p, q in held if q]) > 0.98
 
 
+def brute_quality(texts):
+    """Words' vectors and documents' features word by word."""
+    key = lambda w: int(quality.Words([w]).keys()[0])
+    one = lambda k, kind, bits: _index_vector(k, kind, bits)
+    sums, words = defaultdict(lambda: np.zeros(quality.CONTEXT)), [t.lower().split() for t in texts]
+    bucket = lambda w: int(quality.bucket_of(np.array([key(w)], dtype=np.uint64))[0])
+    for ws in words:
+        for i, w in enumerate(ws):
+            for side, j in (("left", i - 1), ("right", i + 1)):
+                if 0 <= j < len(ws):
+                    sums[bucket(w)] += one(key(ws[j]), side, quality.CONTEXT_BITS)
+    unit = {b: v / np.linalg.norm(v) if v.any() else v for b, v in sums.items()}
+    rows = []
+    for ws in words:
+        context, own = np.zeros(quality.CONTEXT), np.zeros(quality.DIM)
+        for w in ws:
+            context += unit.get(bucket(w), 0)
+            kinds = [any(65 <= c <= 90 for c in w), any(97 <= c <= 122 for c in w), any(48 <= c <= 57 for c in w),
+                     any(c < 128 and not bytes([c]).isalnum() for c in w), any(c >= 128 for c in w)]
+            shape = sum(k << n for n, k in enumerate(kinds)) + 64 * min(len(w), 12)
+            for kind, k in zip(quality.KINDS, (key(w), key(w[:3]), key(w[-3:]), shape), strict=True):
+                own += one(k, kind, quality.DIM_BITS)
+        rows.append(np.concatenate([context, own]) / max(len(ws), 1))
+    return unit, np.array(rows)
+
+
+def _index_vector(k, kind, bits):
+    h = int(quality.mix(np.array([k ^ quality.seeded_uint(quality.SEED, kind)], dtype=np.uint64))[0])
+    out = np.zeros(1 << bits)
+    for _ in range(quality.NONZERO):
+        out[h & (1 << bits) - 1] += 1 - 2 * (h >> bits & 1)
+        h >>= bits + 1
+    return out
+
+
+def test_quality_vectors_and_scores_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(quality, "AT_ONCE", 7)
+    texts = ["the cat sat on the mat", "the dog sat on the mat", "a", "", "x1 über-9 the the the\nthe " * 5, "  one\ttwo  "] + [
+        f"number {i} sat on the {w}" for i in range(12) for w in ("mat", "rug")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    vectors = quality.word_vectors(docs.unionByName(spark.createDataFrame([(99, None)], docs.schema)))
+    unit, rows = brute_quality([t.encode() for t in texts])
+    assert {b for b in range(len(vectors)) if vectors[b].any()} == {b for b, v in unit.items() if v.any()}
+    assert all(np.allclose(vectors[b], v, atol=1e-6) for b, v in unit.items())
+    got = quality.features([t.encode() for t in texts], vectors)
+    assert np.allclose(got[:, :-quality.N_RATES], rows, atol=1e-6)
+    like = lambda a, b: float(vectors[quality.bucket_of(quality.Words([a]).keys())[0]] @ vectors[quality.bucket_of(quality.Words([b]).keys())[0]])
+    assert like(b"mat", b"rug") > 0.8 > like(b"mat", b"sat")  # words used alike point alike
+    labels = spark.createDataFrame([(i, i % 2) for i in range(len(texts))], "doc_id bigint, quality int")
+    net = quality.train(docs, labels)
+    x = (got - net.mean) / net.scale
+    z = [sum(np.tanh(sum(x[r, i] * net.w1[i, j] for i in range(x.shape[1])) + net.b1[j]) * net.w2[j] for j in range(quality.HIDDEN)) + net.b2[0]
+         for r in range(3)]
+    assert np.allclose(net.of([t.encode() for t in texts[:3]]), 1 / (1 + np.exp(-np.array(z) / net.temperature)), atol=1e-6)
+
+
 def test_quality_odd_rows(spark, docs):
     labels = spark.read.parquet(f"{fx.SF}/labels.parquet")
     extra = fx.with_extra(docs)

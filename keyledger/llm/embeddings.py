@@ -18,6 +18,10 @@ is cut into chunks, and every pair of chunks is a block of its own, so no task
 holds more than two chunks of it and no pair is lost.  A pair that shares
 several cells counts in its first table only.
 
+Identical vectors of a label are one vector with a weight before any of that:
+they link with each other whatever their number, and a link to one of them counts
+for all.
+
 Defined cases: a null, zero, empty or non-finite vector, one with a null
 component, and one with a null label or id link with nothing; vectors of
 different lengths never link; rows that repeat id, label and vector are one
@@ -100,7 +104,7 @@ def unit(a: np.ndarray) -> np.ndarray:
     return a / np.sqrt(np.einsum("ij,ij->i", a, a))[:, None]
 
 
-DEALT = "tab int, label bigint, cell bigint, vec_id bigint, vec binary, cells binary"
+DEALT = "tab int, label bigint, cell bigint, vec_id bigint, copies bigint, vec binary, cells binary"
 
 
 def dealt(rows: DataFrame, width: float, per_cell: int, tables: int) -> DataFrame:
@@ -122,9 +126,9 @@ def dealt(rows: DataFrame, width: float, per_cell: int, tables: int) -> DataFram
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.repeat(np.arange(tables, dtype=np.int32), len(at))),
                      batch.column("label").take(pick), pa.array(cells.T.ravel()), batch.column("vec_id").take(pick),
-                     pa.array([packed[i] for i in every], pa.binary()),
+                     batch.column("copies").take(pick), pa.array([packed[i] for i in every], pa.binary()),
                      pa.array([cells[i].tobytes() for i in every], pa.binary())],
-                    names=["tab", "label", "cell", "vec_id", "vec", "cells"])
+                    names=["tab", "label", "cell", "vec_id", "copies", "vec", "cells"])
 
     return rows.mapInArrow(run, DEALT)
 
@@ -141,7 +145,7 @@ def blocks(cells: DataFrame) -> DataFrame:
     other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
     rows = rows.select("*", other.alias("other"))
     a, b = F.least("chunk", "other"), F.greatest("chunk", "other")
-    return rows.select("tab", "label", "vec_id", "vec", "cells", (F.col("chunk") > F.col("other")).cast("int").alias("side"),
+    return rows.select("tab", "label", "vec_id", "copies", "vec", "cells", (F.col("chunk") > F.col("other")).cast("int").alias("side"),
                        (F.col("chunk") != F.col("other")).alias("crossed"), F.xxhash64(*key, a, b).alias("block"))
 
 
@@ -164,8 +168,8 @@ def candidate_pairs(u: np.ndarray, block: np.ndarray, half: float, need: int) ->
 
 
 def compare(rows: dict[str, np.ndarray], half: float, need: int, min_cosine: float):
-    """Verified pairs of a few blocks, as links counted per row and as each
-    row's smallest id reachable within them."""
+    """Verified pairs of a few blocks, as links counted per row (a partner as
+    often as it has copies) and as each row's smallest id reachable within them."""
     ids, n = rows["vec_id"], len(rows["vec_id"])
     count, low = np.zeros(n, dtype=np.int64), ids.copy()
     for dim in np.unique(rows["dim"]):
@@ -182,7 +186,8 @@ def compare(rows: dict[str, np.ndarray], half: float, need: int, min_cosine: flo
         a, b = a[link], b[link]
         shared = (cells[a] == cells[b]) & (np.arange(cells.shape[1]) < tab[a][:, None])
         a, b = at[a[~shared.any(axis=1)]], at[b[~shared.any(axis=1)]]
-        count += np.bincount(a, minlength=n) + np.bincount(b, minlength=n)
+        np.add.at(count, a, rows["copies"][b])
+        np.add.at(count, b, rows["copies"][a])
         while True:
             m = np.minimum(low[a], low[b])
             if (m == low[a]).all() and (m == low[b]).all():
@@ -230,31 +235,48 @@ def links(rows: DataFrame, half: float, need: int, min_cosine: float) -> DataFra
 
 
 def _arrays(t: pa.Table) -> dict[str, np.ndarray]:
-    out = {c: t.column(c).to_numpy() for c in ("tab", "label", "vec_id", "side", "crossed", "block")}
+    out = {c: t.column(c).to_numpy() for c in ("tab", "label", "vec_id", "copies", "side", "crossed", "block")}
     out["vec"] = np.array(t.column("vec").to_pylist() + [None], dtype=object)[:-1]
     out["cells"] = np.array(t.column("cells").to_pylist() + [None], dtype=object)[:-1]
     out["dim"] = np.array([len(v) // 8 for v in out["vec"]], dtype=np.int64)
     return out
 
 
+def collapsed(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The usable vectors: (``vec_id``, ``h1``, ``h2``) of each, the hashes of its
+    label and vector, and one row per different vector: ``vec_id`` (the smallest),
+    ``copies``, ``label``, ``embedding``, ``h1``, ``h2``.  Copies are combined where
+    they are read, before anything moves."""
+    e = F.col("embedding")
+    usable = (F.col("vec_id").isNotNull() & F.col("label").isNotNull() & e.isNotNull() & F.exists(e, lambda x: x != 0)
+              & F.forall(e, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))))
+    label = F.col("label").cast("bigint")
+    rows = vectors.where(usable).select(F.col("vec_id").cast("bigint").alias("vec_id"), label.alias("label"), "embedding",
+                                        F.xxhash64(label, e).alias("h1"), F.xxhash64(e, F.lit(1), label).alias("h2"))
+    members = stage(rows.select("vec_id", "h1", "h2").distinct(), "embedding-members")
+    groups = members.groupBy("h1", "h2").agg(F.min("vec_id").alias("vec_id"), F.count(F.lit(1)).alias("copies"))
+    one = rows.groupBy("h1", "h2").agg(F.any_value("label").alias("label"), F.any_value("embedding").alias("embedding"))
+    return members, stage(groups.join(one, ["h1", "h2"]), "embedding-vectors")
+
+
 def near_dedup(vectors: DataFrame, min_cosine: float = MIN_COSINE) -> DataFrame:
     """One row per row of ``vectors``: vec_id, n_links, component_id, kept."""
     element = vectors.schema["embedding"].dataType
     if not isinstance(element, T.ArrayType):
         raise TypeError("embedding must be an array")
-    rows = (vectors.where(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("embedding").isNotNull())
-            .select(F.col("vec_id").cast("bigint").alias("vec_id"), "embedding", F.col("label").cast("bigint").alias("label"))
-            .distinct())
+    members, rows = collapsed(vectors)
     most = rows.groupBy("label").count().agg(F.max("count")).first()[0] or 0
     width, per_cell, tables, half, need = calibrate(most, min_cosine)
-    cells = stage(dealt(rows, width, per_cell, tables), "embedding-cells")
+    cells = stage(dealt(rows.select("vec_id", "copies", "label", "embedding"), width, per_cell, tables), "embedding-cells")
     found = stage(links(blocks(cells), half, need, min_cosine), "embedding-links")
-    counts = found.groupBy("vec_id").agg(F.sum("n").alias("n_links"))
+    counts = found.groupBy("vec_id").agg(F.sum("n").alias("n"))
     roots = connected_components(found.select(F.col("vec_id").alias("a"), F.col("low").alias("b")), "embedding-components")
-    return (vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"))
-            .join(counts, "vec_id", "left").join(roots.withColumnRenamed("node", "vec_id"), "vec_id", "left")
-            .select("vec_id", F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"),
-                    F.coalesce("component", "vec_id").alias("component_id"))
+    zero = F.lit(0).cast("bigint")
+    one = (rows.select("h1", "h2", "vec_id", "copies").join(counts, "vec_id", "left").join(roots.withColumnRenamed("node", "vec_id"), "vec_id", "left")
+           .select("h1", "h2", (F.coalesce("n", zero) + F.col("copies") - 1).alias("n"), F.coalesce("component", "vec_id").alias("c")))
+    of = members.join(one, ["h1", "h2"]).groupBy("vec_id").agg(F.sum("n").alias("n_links"), F.min("c").alias("component_id"))
+    return (vectors.select(F.col("vec_id").cast("bigint").alias("vec_id")).join(of, "vec_id", "left")
+            .select("vec_id", F.coalesce("n_links", zero).alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False))))
 
 

@@ -212,3 +212,19 @@ def test_empty_tables(spark, docs):
     assert simhash.components(none).count() == 0 and simhash.stage_simhash(spark, none, fx.SF).count() == 0
     assert suffix_dedup.suffix_dedup(none).count() == 0
     assert embeddings.near_dedup(vectors(spark)[1].where("false")).count() == 0
+
+
+def test_thousands_of_identical_vectors(spark):
+    rng = np.random.default_rng(8)
+    same, near, far = rng.normal(size=16), None, rng.normal(size=(40, 16))
+    near = same + rng.normal(size=16) * 0.001
+    rows = [(i, same.tolist(), 1) for i in range(5000, 10_000)] + [(i, near.tolist(), 1) for i in range(30)] + [
+        (100 + i, far[i].tolist(), 1) for i in range(40)] + [(200 + i, same.tolist(), 2) for i in range(3)] + [
+        (300, [0.0] * 16, 1), (301, [0.0] * 16, 1), (302, None, 1), (303, None, 1), (5001, same.tolist(), 1)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int").repartition(5)
+    got = {r.vec_id: tuple(r)[1:] for r in embeddings.near_dedup(df).collect()}
+    assert all(got[i] == (5029, 0, False) for i in range(5000, 10_000))
+    assert all(got[i] == (5029, 0, i == 0) for i in range(30)) and all(got[200 + i] == (2, 200, i == 0) for i in range(3))
+    assert all(got[i] == (0, i, True) for i in (100, 300, 301, 302, 303))
+    members, one = embeddings.collapsed(df)
+    assert one.count() == 43 and members.count() == 5073

@@ -38,7 +38,7 @@ from keyledger.llm.exchange import answered, arrow_rows, packed, parts_of, serve
 from keyledger.llm.words import PrefixHash, mix
 from keyledger.session import stage
 
-BLOCK_BYTES = 3 << 20       # text of a block, about; a task needs some hundred bytes for each
+BLOCK_BYTES = 2 << 20       # text of a block, about; a task needs some hundred bytes for each
 MATCH = 100
 ANCHOR = 32
 HOT_SEGMENTS = 500

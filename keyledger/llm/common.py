@@ -33,12 +33,6 @@ def text_key(col: str = "text"):
     return F.xxhash64(text_or_empty(col))
 
 
-def scale_out(spark, n_rows: int, rows_per_task: int) -> int:
-    """Partitions for ``n_rows`` rows: grows with the input and never below
-    what the session uses for a shuffle."""
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_rows // rows_per_task))
-
-
 def seeded_uint(seed: int, name: str) -> int:
     """A fixed 64-bit number for a seed and a name (the same on every worker)."""
     return int.from_bytes(hashlib.sha256(f"{seed}:{name}".encode()).digest()[:8], "little")

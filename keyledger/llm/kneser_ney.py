@@ -299,7 +299,8 @@ def _sums(answers: DataFrame, n: int) -> list[int]:
 
 
 def score_documents(docs: DataFrame, shard_entries: int = SHARD_ENTRIES, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """One row per row of ``docs`` with the contract's columns."""
+    """One row per row of ``docs`` with the contract's columns and ``perplexity``,
+    the inverse of the geometric mean of its tokens' probabilities."""
     blocks = write_blocks(to_blocks(docs, block_bytes), "lm")
     n_train, n_tokens, n_words = blocks.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in (
         "n_train", "n_tokens", "n_words")]).first()
@@ -313,7 +314,8 @@ def score_documents(docs: DataFrame, shard_entries: int = SHARD_ENTRIES, block_b
              "n_pairs": _sums(pairs, 5), "n_follow": _sums(follows, 5)}
     answers = word.unionByName(pairs.where("kind = 'pair'").drop("sums")).unionByName(
         follows.where("kind = 'follow'").drop("sums"))
-    return answered(blocks, answers, lambda row, got: score_block(row, got, model), SCORE)
+    scored = answered(blocks, answers, lambda row, got: score_block(row, got, model), SCORE)
+    return scored.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
 
 
 def op7_lm_scoring(spark, sf_dir: str) -> DataFrame:

@@ -61,6 +61,7 @@ def test_lm_scoring_against_brute_force(spark, docs, shard_entries, block_bytes)
     for g, w in zip(sorted(map(tuple, got), key=key), sorted(want, key=key), strict=True):
         assert g[:5] == w[:5]
         assert g[5] == pytest.approx(w[5], rel=1e-9) and g[6] == pytest.approx(w[6], rel=1e-9)
+        assert g[7] == pytest.approx(10 ** (-w[6] / w[2]), rel=1e-9)
     held = [r for r in want if r[1]]
     assert sum(r[6] for r in held) > sum(r[5] for r in held)
 

@@ -114,9 +114,10 @@ def update_indexes(spark: SparkSession, logs: list, state_dir: str, index_dir: s
 
 
 def _try_read(spark: SparkSession, table_dir: str, schema) -> DataFrame | None:
-    """The newest committed version of an index table, or None when it cannot
-    be read (absent, no committed version, unreadable files): its fields are
-    then reported as ``Query Exception`` (K15)."""
+    """The newest committed version of an index table (or a bucketed table), or
+    None when it cannot be read: absent, no committed version, or files whose
+    schema cannot be resolved.  Its fields are then reported as ``Query Exception``
+    (K15).  A data file that breaks off while it is being read still fails the job."""
     try:
         df = writers.read_latest(spark, table_dir, schema)
         if df is not None:

@@ -304,7 +304,7 @@ def q_populate_write(spark, sf):
 
 def q_uniqueness_fields_merge(spark, sf):
     # The upserted index keeps stale keys, so owners hold several keys of a kind.
-    u = index.uniqueness_fields(_index_upsert(_pop(spark, sf), _pop(spark, sf, OLD_CUT)), MERGE_PAGE)
+    u = index.uniqueness_fields(_index_upsert(*_staged_pops(spark, sf)), MERGE_PAGE)
     return u.select("id", "page", *[F.array_join(c, ",").alias(n) for c, n in
                             [("otherIds", "other_ids"), ("usernames", "usernames"),
                              ("verifiedPhones", "verified_phones")]])

@@ -58,11 +58,6 @@ UNIQUENESS_LOOKUP = T.StructType([
     T.StructField("value", S, True),
 ])
 
-FIELD_STATUS = T.StructType([
-    T.StructField("pass", T.BooleanType(), False),
-    T.StructField("reason", S, True),
-])
-
 STATUS_COLUMNS = ["otherId", "otherIdLookup", "username", "usernameLookup",
                   "verifiedPhone", "verifiedPhoneLookup"]
 

@@ -54,16 +54,24 @@ def create(spark: SparkSession, table_dir: str, schema: T.StructType, pk: list[s
     """An empty bucketed table; one that is there already keeps its layout and rows."""
     if (have := layout(spark, table_dir)) is None:
         text = json.dumps({"schema": json.loads(schema.json()), "pk": pk, "buckets": int(buckets)})
-        spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{table_dir}/_layout")
+        fs, p = _fs(spark, f"{table_dir}/_layout.new")
+        out = fs.create(p, True)
+        out.write(bytearray(text.encode()))
+        out.close()
+        fs.rename(p, _fs(spark, f"{table_dir}/_layout")[1])  # there, whole, or not there
         have = Layout(schema, list(pk), int(buckets))
     return have
 
 
 def layout(spark: SparkSession, table_dir: str) -> Layout | None:
     """How a table is laid out, or None if it is not a bucketed one."""
-    if not _exists(spark, f"{table_dir}/_layout/_SUCCESS"):
+    fs, p = _fs(spark, f"{table_dir}/_layout")
+    if not fs.exists(p):
         return None
-    d = json.loads(spark.read.text(f"{table_dir}/_layout").first()[0])
+    text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils
+    stream = fs.open(p)
+    d = json.loads(text.toString(stream, "UTF-8"))
+    stream.close()
     return Layout(T.StructType.fromJson(d["schema"]), d["pk"], d["buckets"])
 
 

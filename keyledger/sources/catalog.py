@@ -43,7 +43,7 @@ class CatalogTables:
         return self.spark.table(self.name(table))
 
     def tables(self) -> list[str]:
-        return sorted(t.name for t in self.spark.catalog.listTables(self.keyspace))
+        return sorted(t.name for t in self.spark.catalog.listTables(self.keyspace) if not t.isTemporary)
 
     def drop(self) -> None:
         self.spark.sql(f"DROP DATABASE IF EXISTS {_quoted(self.keyspace)} CASCADE")

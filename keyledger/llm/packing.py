@@ -13,8 +13,8 @@ which need no padding.
 A term is a token id, so the vocabulary is the tokenizer's: document
 frequencies are counted over all documents and their table, one number per id,
 is bounded by the vocabulary and broadcast.  A document's signature is two of its
-ids, drawn by a hash weighted by rarity, so that documents which share rare ids
-tend to share it; shards are ranges of signatures, cut by ``sharding``'s splitters
+ids, drawn by a hash weighted by how late the vocabulary has them (it lists common
+strings first), so that documents which share rare ids tend to share it; shards are ranges of signatures, cut by ``sharding``'s splitters
 and ended by a hash of the row, so a hot group of copies is cut into as many
 shards as it needs.  Shards, and with them sequences, are the same however the
 input is partitioned.
@@ -31,6 +31,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +49,7 @@ TOKENIZER = "byte_bpe_50k"    # a name for public_tokenizers.path
 SHARD_TOKENS = 1_500_000      # tokens of a shard, about
 SEEDS = 128                   # scored at a time, at most
 DENSE = 4_000_000             # numbers of a dense block of the index
+FIRST = 32                    # neighbours that are looked for first
 LONG_RUN = 20_000             # characters of one kind in a row that the fast encoder is not given
 K1, B = 1.2, 0.75
 
@@ -106,18 +108,42 @@ def token_ids(text: str, name: str = TOKENIZER) -> bytes:
     return next(encoded([text], name))
 
 
+@lru_cache(maxsize=1)
+def _clocks() -> tuple[np.ndarray, np.ndarray]:
+    """Per id its place in the order in which exponential clocks (from a hash, at
+    the rate of the id's logarithm) ring, and per place a number for it: two
+    documents share the first id to ring with the probability of their weighted
+    overlap."""
+    ids = np.arange(1 << 16, dtype=np.uint64)
+    draw = (mix(ids + np.uint64(1)) >> np.uint64(11)).astype(np.float64) / (1 << 53)
+    place = np.empty(1 << 16, dtype=np.int32)
+    place[np.argsort(-np.log(draw + 2.0 ** -54) / np.log(ids.astype(np.float64) + 2), kind="stable")] = np.arange(1 << 16)
+    return place, (mix(ids) >> np.uint64(24)).astype(np.int64) << 16
+
+
+def signature(ids: np.ndarray) -> int:
+    """Two of the ids: the first to ring and the next."""
+    place, number = _clocks()
+    at = place[ids]
+    first = int(at.min())
+    at[at == first] = 1 << 16
+    return int(number[first]) | int(at.min()) % (1 << 16)
+
+
 def tokenized(docs: DataFrame, name: str = TOKENIZER) -> DataFrame:
-    """doc_id, ids (uint16 little-endian), n of every row."""
+    """doc_id, ids (uint16 little-endian), n, and where the row is dealt:
+    ``__hash`` (its signature) and ``__tie`` (a hash of the row)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = list(encoded(batch.column("text").to_pylist(), name))
+            sig = [signature(np.frombuffer(x, dtype="<u2")) for x in ids]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(ids, pa.binary()), pa.array([len(x) // 2 for x in ids], pa.int64())],
-                names=["doc_id", "ids", "n"])
+                [batch.column("doc_id"), pa.array(ids, pa.binary()), pa.array([len(x) // 2 for x in ids], pa.int64()), pa.array(sig, pa.int64())],
+                names=["doc_id", "ids", "n", "__hash"])
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(
-        run, "doc_id bigint, ids binary, n bigint")
+        run, "doc_id bigint, ids binary, n bigint, __hash bigint").withColumn("__tie", F.xxhash64("doc_id", "ids"))
 
 
 def document_frequencies(tokens: DataFrame) -> np.ndarray:
@@ -125,10 +151,13 @@ def document_frequencies(tokens: DataFrame) -> np.ndarray:
     vocabulary.  Tasks count their own rows; the counts are added by a shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df = np.zeros(1 << 16, dtype=np.int64)
+        df, last = np.zeros(1 << 16, dtype=np.int64), np.zeros(1 << 16, dtype=np.int64)
         for batch in batches:
             for x in batch.column("ids"):
-                df[np.unique(np.frombuffer(x.as_py(), dtype="<u2"))] += 1
+                ids = np.frombuffer(x.as_py(), dtype="<u2")
+                at = np.arange(len(ids))
+                last[ids] = at
+                df[ids[last[ids] == at]] += 1  # each id once, at its last place
         term = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(term.astype(np.int32)), pa.array(df[term])], names=["term", "df"])
 
@@ -139,35 +168,12 @@ def document_frequencies(tokens: DataFrame) -> np.ndarray:
     return df
 
 
-def signatures(tokens: DataFrame, idf) -> DataFrame:
-    """``tokens`` with ``__hash``, the signature: of the document's ids, the two
-    whose exponential clocks (from a hash, at the rate of their rarity)
-    ring first; two documents share the first with the probability of their
-    weighted overlap."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = np.arange(1 << 16, dtype=np.uint64)
-        clock = -np.log((mix(ids + np.uint64(1)) >> np.uint64(11)).astype(np.float64) / (1 << 53) + 2.0 ** -54) / idf.value
-        place = np.empty(1 << 16, dtype=np.int64)
-        place[np.argsort(clock, kind="stable")] = np.arange(1 << 16)
-        for batch in batches:
-            sig = []
-            for x in batch.column("ids"):
-                at = place[np.frombuffer(x.as_py(), dtype="<u2")]
-                first = int(at.min())
-                rest = at[at != first]
-                sig.append(int(mix(np.uint64([first]))[0] >> np.uint64(24)) << 16 | (int(rest.min()) if len(rest) else 0))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sig, pa.int64())], names=[*batch.schema.names, "__hash"])
-
-    return tokens.mapInArrow(run, "doc_id bigint, ids binary, n bigint, __hash bigint")
-
-
 class Index:
     """BM25 over the units of one shard.  A unit's query is all its ids; ids that
     no other unit has find nothing and are left out."""
 
     def __init__(self, units: list[np.ndarray], idf: np.ndarray, mean_length: float):
-        self.n = len(units)
+        self.n, self.whole = len(units), None
         lengths = np.array([len(u) for u in units], dtype=np.int64)
         unit = np.repeat(np.arange(self.n), lengths)
         code, tf = np.unique(np.concatenate(units).astype(np.int64) << 32 | unit if self.n else np.zeros(0, np.int64), return_counts=True)
@@ -183,6 +189,17 @@ class Index:
         self.terms_of = self.term[by_unit]
         self.first_of = np.searchsorted(unit[by_unit], np.arange(self.n + 1))
 
+    def _block(self, low: int, high: int) -> np.ndarray:
+        """The weights of some terms in all units; kept if that is the whole index."""
+        if self.whole is not None:
+            return self.whole[low:high]
+        a, b = self.first[low], self.first[high]
+        block = np.zeros((high - low, self.n), dtype=np.float32)
+        block[self.term[a:b] - low, self.unit[a:b]] = self.weight[a:b]
+        if high - low == len(self.first) - 1:
+            self.whole = block
+        return block
+
     def scores(self, seeds: np.ndarray) -> np.ndarray:
         """The score of every unit for every seed (itself: zero)."""
         n_terms = len(self.first) - 1
@@ -204,17 +221,24 @@ class Index:
             step = max(1, DENSE // self.n)
             for low in range(0, n_terms, step):
                 high = min(low + step, n_terms)
-                a, b = self.first[low], self.first[high]
-                block = np.zeros((high - low, self.n), dtype=np.float32)
-                block[self.term[a:b] - low, self.unit[a:b]] = self.weight[a:b]
                 x, y = np.searchsorted(terms, [low, high])
                 query = np.zeros((len(seeds), high - low), dtype=np.float32)
                 query[asked[x:y], terms[x:y] - low] = 1
-                out += query @ block
+                out += query @ self._block(low, high)
         out[np.arange(len(seeds)), seeds] = 0
         return out
 
 
+def best_first(units: np.ndarray, score: np.ndarray) -> Iterator[int]:
+    """``units`` by falling score, equal ones as they come; the first are found
+    without sorting the rest."""
+    if len(units) > 4 * FIRST:
+        first = score[units] >= np.partition(score[units], -FIRST)[-FIRST]
+        head, units = units[first], units[~first]
+        yield from head[np.argsort(-score[head], kind="stable")].tolist()
+    yield from units[np.argsort(-score[units], kind="stable")].tolist()
+
+
 def pack_shard(tokens: list[np.ndarray], idf: np.ndarray, mean_length: float,
                window: int = WINDOW) -> list[tuple[int, int, int, int, int]]:
     """Pieces ``(document, start, length, sequence, offset)`` of one shard."""
@@ -246,8 +270,7 @@ def pack_shard(tokens: list[np.ndarray], idf: np.ndarray, mean_length: float,
             scored = dict(zip(batch.tolist(), index.scores(batch), strict=True))
         score = scored[seed]
         near = np.flatnonzero((score > 0) & unused)
-        near = near[np.lexsort((near, -score[near]))]  # best first, equal ones by their place in the shard
-        for u in [seed, *near.tolist()]:
+        for u in chain([seed], best_first(near, score)):
             d = owner[u]
             take = int(min(left[d], window - filled))
             pieces.append((int(d), int(begin[d]), take, sequence, filled))
@@ -284,11 +307,10 @@ PIECE = ("doc_id bigint, start bigint, length bigint, ids binary, doc_tokens big
 
 
 def dealt(tokens: DataFrame, n_tokens: int, shards: int) -> tuple[DataFrame, int]:
-    """``tokens`` with ``__shard``, and how many there are: ranges of (signature,
-    hash of the row) of about equal tokens.  One row repeated very often is dealt
+    """``tokens`` with ``__shard``, and how many there are: ranges of (``__hash``,
+    ``__tie``) of about equal tokens.  One row repeated very often is dealt
     to several shards."""
-    rows = tokens.withColumn("__tie", F.xxhash64("doc_id", "ids"))
-    keys = stage(rows.groupBy("__hash", "__tie", F.col("n").alias("__size")).agg(F.count(F.lit(1)).alias("copies")), "packing-keys")
+    keys = stage(tokens.groupBy("__hash", "__tie", F.col("n").alias("__size")).agg(F.count(F.lit(1)).alias("copies")), "packing-keys")
     splitters, found = split(keys.withColumn("weight", (F.col("__size") * F.col("copies")).cast("double")), float(n_tokens), shards)
     table, first = [], 0
     for r in found:
@@ -297,7 +319,7 @@ def dealt(tokens: DataFrame, n_tokens: int, shards: int) -> tuple[DataFrame, int
         first += parts
     ranges = F.broadcast(tokens.sparkSession.createDataFrame(table, "range int, first int, parts int"))
     part = F.col("first") + F.pmod(F.monotonically_increasing_id(), F.col("parts")).cast("int")
-    return rows.select("*", splitters.column().alias("range")).join(ranges, "range").select(*rows.columns, part.alias("__shard")), first
+    return tokens.select("*", splitters.column().alias("range")).join(ranges, "range").select(*tokens.columns, part.alias("__shard")), first
 
 
 def pack(docs: DataFrame, window: int = WINDOW, shard_tokens: int = SHARD_TOKENS, name: str = TOKENIZER) -> DataFrame:
@@ -312,7 +334,7 @@ def pack(docs: DataFrame, window: int = WINDOW, shard_tokens: int = SHARD_TOKENS
     idf = np.log1p((n_docs - df + 0.5) / (df + 0.5))
     shared = spark.sparkContext.broadcast(idf)
     mean_length = n_tokens / n_docs
-    placed, shards = dealt(signatures(tokens, shared), n_tokens, max(1, -(-n_tokens // shard_tokens)))
+    placed, shards = dealt(tokens, n_tokens, max(1, -(-n_tokens // shard_tokens)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, names, shard = [], [], 0

@@ -11,8 +11,9 @@ nothing, so every message is there once however often tasks or runs are tried.
 beside its place and renamed into it, so an object is the old or the new one,
 whole; trying a task again puts the same objects again.
 
-Both use the file system that ``path`` names (pyarrow's: local folders, HDFS,
-object stores) from the tasks, one file open at a time, rows streamed.
+Both use the file system that ``path`` names (pyarrow's) from the tasks, one file
+open at a time, rows streamed.  The outbox needs one that renames folders (local
+folders, HDFS); objects go to any, object stores included.
 
     register(spark)
     messages.write.format("keyledger_outbox").option("run_id", "r1").mode("append").save(path)
